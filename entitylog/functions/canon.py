@@ -39,7 +39,7 @@ def config_from_entries(entries: Column, name: str = "name", value: str = "value
 def config_to_entries(col: Column) -> Column:
     """A config map as an entry list in key order, null values as ''."""
     return F.transform(
-        F.array_sort(F.map_entries(config(col))),
+        F.sort_array(F.map_entries(config(col))),
         lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")),
     )
 
@@ -69,9 +69,9 @@ def canon(col: Column, dtype: DataType) -> Column:
     if not _needs_canon(dtype):
         return col
     if isinstance(dtype, MapType):
-        entries = F.array_sort(F.map_entries(col))
+        entries = F.sort_array(F.map_entries(col))
         if isinstance(dtype.valueType, StringType):
-            return F.array_sort(F.map_entries(config(col)))
+            return F.sort_array(F.map_entries(config(col)))
         return F.coalesce(entries, F.array().cast(ArrayType(_entry_type(dtype))))
     if isinstance(dtype, ArrayType):
         return F.transform(col, lambda item: canon(item, dtype.elementType))

@@ -154,8 +154,8 @@ def from_snapshots(
 ) -> DataFrame:
     """All changes of many consecutive rounds in one job.
 
-    ``rounds`` is the first and last round polled; a round without rows is a
-    poll that listed nothing. ``snaps`` has one row per key and round. ``state``
+    ``rounds`` is the first and last round polled; other rows are left out, and
+    a round without rows is a poll that listed nothing. ``snaps`` has one row per key and round. ``state``
     is what was known before the first round. The result equals applying
     ``diff`` round by round.
 
@@ -165,43 +165,43 @@ def from_snapshots(
     """
     first, last = rounds
     dtype = _value_type(snaps, values)
-    placed = snaps.select(
+    value = F.struct(*values)
+    # A row that says nothing keeps its place but not its value.
+    placed = snaps.filter(F.col(round).between(first, last)).select(
         *keys,
         F.col(round).cast("long").alias("_r"),
-        (F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))).alias("_ok"),
-        F.struct(*values).alias("_v"),
+        (value if eligible is None else F.when(eligible, value)).alias("_v"),
     )
     start = first
     if state is not None:
         # The state before the first round acts as one more round.
         start = first - 1
         placed = placed.union(
-            state.select(
-                *keys,
-                F.lit(start).cast("long"),
-                F.lit(True),
-                F.struct(*values).cast(dtype),
-            )
+            state.select(*keys, F.lit(start).cast("long"), F.struct(*values).cast(dtype))
         )
     chunked = last - start >= chunk
     group = list(keys)
     if chunked or not keys:
-        placed = placed.withColumn("_chunk", F.floor((F.col("_r") - start) / chunk))
+        placed = placed.withColumn("_chunk", F.expr(f"(_r - {start}) div {chunk}"))
         group = [*keys, "_chunk"]
+    # Said here, so that Spark need not say it for one of the two uses below
+    # only and shuffle twice: rows without a key are no entity.
+    for column in [*group, "_r"]:
+        placed = placed.filter(F.col(column).isNotNull())
     if chunked:
-        # Named, so that both uses below read the same shuffled rows.
         placed = placed.repartition(*group)
 
     w = Window.partitionBy(*group).orderBy("_r")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.when(F.col("_ok"), F.struct("_r", "_v"))
+    spoken = F.when(F.col("_v").isNotNull(), F.col("_r"))
     rows = placed.withColumns(
         {
             "_prev": F.lag("_r").over(w),
             "_next": F.lead("_r").over(w),
             "_begin": F.min("_r").over(so_far),
-            "_seen": F.last(seen, ignorenulls=True).over(before),
+            "_seen_r": F.max(spoken).over(before),
+            "_seen_v": F.last("_v", ignorenulls=True).over(before),
         }
     )
     # Start of the current run of consecutive rounds, where it is in this chunk.
@@ -212,38 +212,41 @@ def from_snapshots(
     else:
         rows = rows.withColumn("_run", F.coalesce("_run", "_begin"))
 
-    is_known = F.col("_seen").isNotNull()
+    is_known = F.col("_seen_r").isNotNull()
     if forget_absent:
-        is_known = is_known & (F.col("_seen._r") >= F.col("_run"))
+        is_known = is_known & (F.col("_seen_r") >= F.col("_run"))
+    speaks = F.col("_v").isNotNull()
     op = F.when(
-        F.col("_ok"),
-        F.when(~is_known, CREATED).when(
-            ~same(F.col("_v"), F.col("_seen._v"), dtype), UPDATED
-        ),
+        speaks,
+        F.when(~is_known, CREATED).when(~same(F.col("_v"), F.col("_seen_v"), dtype), UPDATED),
     )
-    change = F.struct(F.col("_r").alias("r"), op.alias("op"), F.col("_v").alias("v"))
-    changes = F.array(change)
+    rows = rows.withColumn("_op", op)
     if forget_absent:
         gone = (
             (F.col("_r") < last)
             & (F.col("_next").isNull() | (F.col("_next") > F.col("_r") + 1))
-            & (F.col("_ok") | is_known)
+            & (speaks | is_known)
         )
-        delete = F.struct(
-            (F.col("_r") + 1).alias("r"),
-            F.when(gone, DELETED).alias("op"),
-            F.lit(None).cast(dtype).alias("v"),
-        )
-        changes = F.array(change, delete)
-    return (
-        rows.select(*keys, F.explode(changes).alias("_c"))
-        .filter(F.col("_c.op").isNotNull() & (F.col("_c.r") >= first))
-        .select(
-            *keys,
-            F.col("_c.r").alias(round),
-            F.col("_c.op").alias("op"),
-            *[F.col("_c.v")[v].alias(v) for v in values],
+        # A key's last row before an absence stands for the delete after it too.
+        own = F.struct(F.col("_r").alias("r"), F.col("_op").alias("op"))
+        delete = F.struct((F.col("_r") + 1).alias("r"), F.lit(DELETED).alias("op"))
+        both = F.when(F.col("_op").isNull(), F.array(delete)).otherwise(F.array(own, delete))
+        rows = (
+            rows.withColumn("_gone", gone)
+            .filter(F.col("_op").isNotNull() | F.col("_gone"))
+            .select(*keys, "_v", F.explode(F.when(F.col("_gone"), both).otherwise(F.array(own))).alias("_c"))
+            .select(
+                *keys,
+                F.col("_c.r").alias("_r"),
+                F.col("_c.op").alias("_op"),
+                F.when(F.col("_c.op") != DELETED, F.col("_v")).alias("_v"),
+            )
         )
+    return rows.filter(F.col("_op").isNotNull() & (F.col("_r") >= first)).select(
+        *keys,
+        F.col("_r").alias(round),
+        F.col("_op").alias("op"),
+        *[F.col("_v")[v].alias(v) for v in values],
     )
 
 
@@ -254,7 +257,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> Data
         "_begin",
         F.col("_r").alias("_end"),
         "_run",
-        F.coalesce(F.when(F.col("_ok"), F.struct("_r", "_v")), F.col("_seen")).alias("_seen"),
+        F.coalesce(F.when(F.col("_v").isNotNull(), F.col("_r")), F.col("_seen_r")).alias("_seen_r"),
+        F.coalesce("_v", "_seen_v").alias("_seen_v"),
     )
     w = Window.partitionBy(*keys).orderBy("_chunk")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -266,7 +270,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> Data
             {
                 "_opens": F.when(opens, F.col("_begin")),
                 "_next0": F.lead("_begin").over(w),
-                "_seen0": F.last("_seen", ignorenulls=True).over(before),
+                "_seen_r0": F.max("_seen_r").over(before),
+                "_seen_v0": F.last("_seen_v", ignorenulls=True).over(before),
             }
         )
         # A run that opens with a chunk starts there; otherwise the last run
@@ -276,7 +281,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> Data
             *group,
             F.coalesce("_opens", "_earlier").alias("_run0"),
             "_next0",
-            "_seen0",
+            "_seen_r0",
+            "_seen_v0",
         )
     )
     return (
@@ -285,7 +291,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> Data
             {
                 "_run": F.coalesce("_run", "_run0"),
                 "_next": F.coalesce("_next", "_next0"),
-                "_seen": F.coalesce("_seen", "_seen0"),
+                "_seen_r": F.coalesce("_seen_r", "_seen_r0"),
+                "_seen_v": F.coalesce("_seen_v", "_seen_v0"),
             }
         )
     )

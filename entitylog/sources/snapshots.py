@@ -56,7 +56,8 @@ def write_snapshot(df: DataFrame, root: str, kind: str, round: int) -> None:
 
 def write_snapshots(df: DataFrame, root: str, kind: str, rounds: tuple[int, int]) -> None:
     """Store the rows of several rounds, a directory each, and mark all of them."""
-    rows = tidy(df, SNAPSHOT[kind])
+    # Gathered by round into files of a useful size, a large round into several.
+    rows = tidy(df, SNAPSHOT[kind]).hint("rebalance", "snapshot_id")
     rows.write.mode("append").partitionBy("snapshot_id").parquet(data_path(root, kind))
     first, last = rounds
     marks = df.sparkSession.range(first, last + 1, 1, 1).toDF("snapshot_id")
@@ -112,7 +113,7 @@ def replica_lists(
         rows.select(*keys, member)
         .distinct()
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(member)).alias(into))
+        .agg(F.sort_array(F.collect_list(member)).alias(into))
     )
 
 
@@ -132,7 +133,7 @@ def build_descriptions(
         partitions.groupBy(topic)
         .agg(
             F.max(internal).alias("internal"),
-            F.array_sort(F.collect_list(F.struct(*fields))).alias("partitions"),
+            F.sort_array(F.collect_list(F.struct(*fields))).alias("partitions"),
         )
         .select(topic, F.struct("internal", "partitions").alias("description"))
     )

@@ -62,7 +62,8 @@ def _step(root: str, out: str, kind: str, params: Params):
                 raise ValueError(f"{kind}: rounds {lo}..{hi} after {last} are not all there")
             snaps = read_snapshots(spark, root, kind, (lo, hi))
             events = EVENTS[kind](snaps, (lo, hi), params, state)
-            append_log(events, log_path(out), writer=kind.lower(), batch=batch)
+            # Few of the compared rows become events: gather them into few files.
+            append_log(events.hint("rebalance"), log_path(out), writer=kind.lower(), batch=batch)
             # Read back what was written, rather than computing it again.
             written = read_log(spark, log_path(out)).filter(
                 (F.col("entity_type") == kind) & F.col("round").between(lo, hi)
