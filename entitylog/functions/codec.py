@@ -1,11 +1,14 @@
 """Event payloads as bytes: JSON, or Protocol Buffers for other consumers.
 
-JSON runs inside the JVM. Protocol Buffers runs in Arrow batches and needs the
-``google.protobuf`` Python package on the executors.
+An event is reshaped into its message, a struct with the fields the record
+format has, and the message is written as bytes; reading goes the other way.
+JSON stays inside the JVM. Protocol Buffers bytes are made in Arrow batches and
+need the ``google.protobuf`` Python package on the executors.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -13,19 +16,24 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from entitylog.functions.canon import config_from_entries, config_to_entries
+from entitylog.functions.canon import canon, config_from_entries, config_to_entries
 from entitylog.schema import (
+    ARM,
+    BOOL,
     BROKER,
     CLUSTER,
+    CREATED,
     DESCRIPTION,
     EVENT,
+    INT,
     NODE,
+    OPERATIONS,
     STRING,
     TOPIC,
     UPDATED,
     ArrayType,
+    StructType,
     struct,
 )
 
@@ -34,41 +42,132 @@ from entitylog.schema import (
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # What the payload holds; the position in the log is kept beside it.
-PAYLOAD = struct(**{f.name: f.dataType for f in EVENT.fields if f.name not in ("op_tag", "round", "seq")})
-
-# The same with configs as entry lists.
-ENTRIES = ArrayType(struct(name=STRING, value=STRING))
-WIRE = struct(
-    entity_type=STRING,
-    entity_id=STRING,
-    op=STRING,
-    cluster=struct(id=STRING, controller=NODE),
-    broker=struct(id=STRING, node=NODE, config=ENTRIES),
-    topic=struct(name=STRING, description=DESCRIPTION, config=ENTRIES),
+PAYLOAD = struct(
+    **{f.name: f.dataType for f in EVENT.fields if f.name not in ("op_tag", "round", "seq")}
 )
 
-# Messages of the wire format, as field number, name and type.
-# A trailing * marks a repeated field, a leading | a member of the oneof.
+# Messages of the record format, as field number, name and type.
+# A trailing * marks a repeated field, a leading | a member of the one-of. The
+# field of Empty is never set; a struct needs one.
 MESSAGES = {
-    "Event": ["1 entity_type int32", "2 entity_id string", "3 |cluster ClusterEvent", "4 |broker BrokerEvent", "5 |topic TopicEvent"],
+    "Event": [
+        "1 entity_type int32", "2 entity_id string",
+        "3 |cluster ClusterEvent", "4 |broker BrokerEvent", "5 |topic TopicEvent",
+    ],
     "ClusterEvent": ["1 id string", "2 |Created ClusterValue", "3 |Updated ClusterValue"],
     "ClusterValue": ["1 controller Node"],
     "BrokerEvent": ["1 id string", "2 |Created BrokerValue", "3 |Updated BrokerValue"],
     "BrokerValue": ["1 node Node", "2 config Config"],
     "TopicEvent": ["1 name string", "2 |Created Empty", "3 |Updated TopicValue", "4 |Deleted Empty"],
-    "Empty": [],
     "TopicValue": ["1 description Description", "2 config Config"],
     "Description": ["1 internal bool", "2 partitions Partition*"],
     "Partition": ["1 id int32", "2 leader Node", "3 replicas Node*", "4 isr Node*"],
     "Node": ["1 id int32", "2 host string", "3 port int32", "4 rack string"],
     "Config": ["1 entries Entry*"],
     "Entry": ["1 name string", "2 value string"],
+    "Empty": ["1 unset bool"],
 }
+SCALARS = {"int32": INT, "string": STRING, "bool": BOOL}
 
-# Numbers of the entity types on the wire.
+# Numbers of the entity types in a record.
 ENTITY_NUMBERS = {CLUSTER: 0, BROKER: 1, TOPIC: 2}
 
 
+def _fields(message: str) -> list[tuple[int, str, str, bool, bool]]:
+    """Number, name, type, repeated and one-of member of each field."""
+    lines = [line.split() for line in MESSAGES[message]]
+    return [
+        (int(number), name.lstrip("|"), kind.rstrip("*"), kind.endswith("*"), name.startswith("|"))
+        for number, name, kind in lines
+    ]
+
+
+def message_type(message: str = "Event") -> StructType:
+    """The struct type of a message."""
+    types = {}
+    for _, name, kind, repeated, _ in _fields(message):
+        dtype = SCALARS.get(kind) or message_type(kind)
+        types[name] = ArrayType(dtype) if repeated else dtype
+    return struct(**types)
+
+
+# Events and their messages
+
+
+def _flags(event: Column, kind: str) -> dict[str, Column]:
+    """For each operation of a kind, whether it is the event's."""
+    return {op: event["op"] == op for op in OPERATIONS[kind]}
+
+
+def to_message(event: Column) -> Column:
+    """The message of an event."""
+    cluster, broker, topic = (event[ARM[kind]] for kind in (CLUSTER, BROKER, TOPIC))
+
+    def config(state: Column) -> Column:
+        return F.struct(config_to_entries(state["config"]).alias("entries")).alias("config")
+
+    values = {
+        CLUSTER: F.struct(cluster["controller"].alias("controller")),
+        BROKER: F.struct(broker["node"].alias("node"), config(broker)),
+        TOPIC: F.struct(topic["description"].alias("description"), config(topic)),
+    }
+    empty = F.struct(F.lit(None).cast("boolean").alias("unset"))
+    arms = []
+    for kind, arm in ARM.items():
+        state = event[arm]
+        key = "name" if kind == TOPIC else "id"
+        ops = [
+            F.when(is_op, empty if kind == TOPIC and op != UPDATED else values[kind]).alias(op)
+            for op, is_op in _flags(event, kind).items()
+        ]
+        arms.append(F.when(state.isNotNull(), F.struct(state[key].alias(key), *ops)).alias(arm))
+    numbers = F.create_map(*[F.lit(x) for pair in ENTITY_NUMBERS.items() for x in pair])
+    return F.struct(
+        numbers[event["entity_type"]].alias("entity_type"), event["entity_id"].alias("entity_id"), *arms
+    )
+
+
+def from_message(message: Column) -> Column:
+    """The event of a message: an empty rack is none, an absent config is empty."""
+
+    def value(arm: str, part: str) -> Column:
+        ops = (UPDATED,) if arm == "topic" else (CREATED, UPDATED)
+        return F.coalesce(*[message[arm][op][part] for op in ops])
+
+    def config(arm: str) -> Column:
+        return config_from_entries(value(arm, "config")["entries"]).alias("config")
+
+    states = {
+        "cluster": F.struct(
+            message["cluster"]["id"].alias("id"),
+            canon(value("cluster", "controller"), NODE).alias("controller"),
+        ),
+        "broker": F.struct(
+            message["broker"]["id"].alias("id"),
+            canon(value("broker", "node"), NODE).alias("node"),
+            config("broker"),
+        ),
+        "topic": F.struct(
+            message["topic"]["name"].alias("name"),
+            canon(value("topic", "description"), DESCRIPTION).alias("description"),
+            F.when(message["topic"][UPDATED].isNotNull(), config("topic")).alias("config"),
+        ),
+    }
+    ops = [
+        F.when(message[arm][op].isNotNull(), op) for kind, arm in ARM.items() for op in OPERATIONS[kind]
+    ]
+    names = F.create_map(*[F.lit(x) for name, n in ENTITY_NUMBERS.items() for x in (n, name)])
+    return F.struct(
+        names[message["entity_type"]].alias("entity_type"),
+        message["entity_id"].alias("entity_id"),
+        F.coalesce(*ops).alias("op"),
+        *[F.when(message[arm].isNotNull(), state).alias(arm) for arm, state in states.items()],
+    )
+
+
+# Messages and their bytes
+
+
 def has_protobuf() -> bool:
     try:
         import google.protobuf  # noqa: F401
@@ -78,164 +177,73 @@ def has_protobuf() -> bool:
 
 
 def _event_class():
-    """The message class of an event, made from MESSAGES."""
+    """The Protocol Buffers class of an event, made from MESSAGES."""
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
     field = descriptor_pb2.FieldDescriptorProto
     scalars = {"int32": field.TYPE_INT32, "string": field.TYPE_STRING, "bool": field.TYPE_BOOL}
     file = descriptor_pb2.FileDescriptorProto(name="entitylog.proto", package="entitylog", syntax="proto3")
-    for name, lines in MESSAGES.items():
+    for name in MESSAGES:
         message = file.message_type.add(name=name)
-        for line in lines:
-            number, label, kind = line.split()
-            member = message.field.add(name=label.lstrip("|"), number=int(number))
-            member.label = field.LABEL_REPEATED if kind.endswith("*") else field.LABEL_OPTIONAL
+        for number, label, kind, repeated, member in _fields(name):
+            added = message.field.add(name=label, number=number)
+            added.label = field.LABEL_REPEATED if repeated else field.LABEL_OPTIONAL
             if kind in scalars:
-                member.type = scalars[kind]
+                added.type = scalars[kind]
             else:
-                member.type, member.type_name = field.TYPE_MESSAGE, f".entitylog.{kind.rstrip('*')}"
-            if label.startswith("|"):
+                added.type, added.type_name = field.TYPE_MESSAGE, f".entitylog.{kind}"
+            if member:
                 if not message.oneof_decl:
                     message.oneof_decl.add(name="value")
-                member.oneof_index = 0
+                added.oneof_index = 0
     pool = descriptor_pool.DescriptorPool()
     pool.Add(file)
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("entitylog.Event"))
 
 
-def _fill(message, value) -> None:
-    """Copy a dict into a message; nulls stay at the proto3 default."""
-    for name, item in value.items():
-        if item is None:
-            continue
-        field = message.DESCRIPTOR.fields_by_name[name]
+def _as_dict(message) -> dict:
+    """A message as the row of its struct type; unset messages as null."""
+    row = {}
+    for field in message.DESCRIPTOR.fields:
+        value = getattr(message, field.name)
         if field.message_type is None:
-            setattr(message, name, item)
-        elif isinstance(item, list):
-            target = getattr(message, name)
-            for each in item:
-                _fill(target.add(), each)
+            row[field.name] = value
+        elif field.is_repeated:
+            row[field.name] = [_as_dict(item) for item in value]
         else:
-            getattr(message, name).SetInParent()
-            _fill(getattr(message, name), item)
-
-
-def _event_bytes(cls, row: dict) -> bytes:
-    event = cls(entity_type=ENTITY_NUMBERS[row["entity_type"]], entity_id=row["entity_id"])
-    for arm, id_field in (("cluster", "id"), ("broker", "id"), ("topic", "name")):
-        payload = row[arm]
-        if payload is None:
-            continue
-        target = getattr(event, arm)
-        target.SetInParent()
-        setattr(target, id_field, payload[id_field])
-        if row["op"] not in target.DESCRIPTOR.fields_by_name:
-            continue
-        value = getattr(target, row["op"])
-        value.SetInParent()
-        parts = {k: v for k, v in payload.items() if k in value.DESCRIPTOR.fields_by_name}
-        if parts.get("config") is not None:
-            parts["config"] = {"entries": parts["config"]}
-        _fill(value, parts)
-    return event.SerializeToString()
-
-
-def _node(message) -> dict:
-    return {"id": message.id, "host": message.host, "port": message.port, "rack": message.rack or None}
-
-
-def _node_in(message, field: str) -> dict | None:
-    return _node(getattr(message, field)) if message.HasField(field) else None
-
-
-def _entries(message) -> list[dict]:
-    return [{"name": e.name, "value": e.value} for e in message.config.entries]
-
-
-def _event_row(cls, data: bytes) -> dict:
-    event = cls.FromString(data)
-    names = {number: name for name, number in ENTITY_NUMBERS.items()}
-    row = dict.fromkeys(WIRE.fieldNames())
-    row.update(entity_type=names.get(event.entity_type), entity_id=event.entity_id)
-    arm = event.WhichOneof("value")
-    if arm is None:
-        return row
-    payload = getattr(event, arm)
-    op = payload.WhichOneof("value")
-    row["op"] = op
-    value = getattr(payload, op) if op else None
-    if arm == "topic":
-        state = {"name": payload.name, "description": None, "config": None}
-        if op == UPDATED:
-            state["config"] = _entries(value)
-            if value.HasField("description"):
-                state["description"] = {
-                    "internal": value.description.internal,
-                    "partitions": [
-                        {
-                            "id": p.id,
-                            "leader": _node_in(p, "leader"),
-                            "replicas": [_node(n) for n in p.replicas],
-                            "isr": [_node(n) for n in p.isr],
-                        }
-                        for p in value.description.partitions
-                    ],
-                }
-    elif arm == "broker":
-        state = {"id": payload.id, "node": None, "config": None}
-        if value is not None:
-            state.update(node=_node_in(value, "node"), config=_entries(value))
-    else:
-        state = {"id": payload.id, "controller": None}
-        if value is not None:
-            state["controller"] = _node_in(value, "controller")
-    row[arm] = state
+            row[field.name] = _as_dict(value) if message.HasField(field.name) else None
     return row
 
 
-def _with_config(event: Column, convert, into) -> Column:
-    """The event with the config of its broker and topic arm converted."""
-    def arm(name: str) -> Column:
-        state = event[name]
-        changed = state.withField("config", F.when(state["config"].isNotNull(), convert(state["config"])))
-        return F.when(state.isNotNull(), changed)
+def to_json(message: Column) -> Column:
+    return F.encode(F.to_json(message), "UTF-8")
 
-    return event.withField("broker", arm("broker")).withField("topic", arm("topic")).cast(into)
 
+def from_json(value: Column) -> Column:
+    return F.from_json(F.decode(value, "UTF-8"), message_type())
 
-def to_protobuf(wire: Column) -> Column:
-    """A wire struct as Protocol Buffers bytes."""
 
+def to_protobuf(message: Column) -> Column:
     @F.arrow_udf("binary")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def serialize(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = _event_class()
         for batch in batches:
-            yield pa.array([_event_bytes(cls, row) for row in batch.to_pylist()], pa.binary())
+            rows = (json.loads(text) for text in batch.to_pylist())
+            yield pa.array([cls(**row).SerializeToString() for row in rows], pa.binary())
 
-    return encode(wire)
+    # JSON crosses to Python faster than nested structs do.
+    return serialize(F.to_json(message))
 
 
 def from_protobuf(value: Column) -> Column:
-    """Protocol Buffers bytes as a wire struct."""
-    arrow = to_arrow_type(WIRE)
-
-    @F.arrow_udf(WIRE)
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("string")
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = _event_class()
         for batch in batches:
-            yield pa.array([_event_row(cls, data) for data in batch.to_pylist()], arrow)
-
-    return decode(value)
+            messages = (cls.FromString(data) for data in batch.to_pylist())
+            yield pa.array([json.dumps(_as_dict(message)) for message in messages], pa.string())
 
-
-def to_json(wire: Column) -> Column:
-    """A wire struct as UTF-8 JSON bytes."""
-    return F.encode(F.to_json(wire), "UTF-8")
-
-
-def from_json(value: Column) -> Column:
-    """UTF-8 JSON bytes as a wire struct."""
-    return F.from_json(F.decode(value, "UTF-8"), WIRE)
+    return F.from_json(parse(value), message_type())
 
 
 ENCODE = {"json": to_json, "protobuf": to_protobuf}
@@ -244,8 +252,9 @@ DECODE = {"json": from_json, "protobuf": from_protobuf}
 
 def encode(events: DataFrame, format: str = "json", into: str = "value") -> DataFrame:
     """Events with their payload as bytes in one column."""
-    payload = F.struct(*[F.col(f.name) for f in PAYLOAD.fields])
-    return events.withColumn(into, ENCODE[format](_with_config(payload, config_to_entries, WIRE)))
+    event = F.struct(*[F.col(f.name) for f in PAYLOAD.fields])
+    messages = events.withColumn("_message", to_message(event))
+    return messages.withColumn(into, ENCODE[format](F.col("_message"))).drop("_message")
 
 
 def decode(records: DataFrame, format: str = "json", value: str = "value") -> DataFrame:
@@ -254,6 +263,6 @@ def decode(records: DataFrame, format: str = "json", value: str = "value") -> Da
     ``op_tag`` is not part of the payload; a decoded event has its own op there.
     """
     others = [c for c in records.columns if c not in (value, "key", "headers")]
-    wire = records.withColumn("_wire", DECODE[format](F.col(value)))
-    decoded = wire.withColumn("_event", _with_config(F.col("_wire"), config_from_entries, PAYLOAD))
-    return decoded.select("_event.*", F.col("_event.op").alias("op_tag"), *others)
+    messages = records.withColumn("_message", DECODE[format](F.col(value)))
+    events = messages.withColumn("_event", from_message(F.col("_message")))
+    return events.select("_event.*", F.col("_event.op").alias("op_tag"), *others)
