@@ -94,11 +94,14 @@ def diff_one(state: DataFrame, snap: DataFrame, values: Sequence[str]) -> DataFr
 
     Another id in the slot is an update like any other change of value.
     """
-    slot = F.lit(1).alias("_slot")
-    return diff(
-        state.select(slot, *values), snap.select(slot, *values), ["_slot"], values,
-        forget_absent=False,
-    ).drop("_slot")
+    new, old = F.struct(*values), F.col("_old")
+    op = F.when(old.isNull(), CREATED).when(~same(new, old, _value_type(snap, values)), UPDATED)
+    return (
+        snap.withColumn("_old", state.select(F.struct(*values)).scalar())
+        .withColumn("op", op)
+        .filter(F.col("op").isNotNull())
+        .select("op", *values)
+    )
 
 
 def missing_nodes(state: DataFrame, nodes: DataFrame, key: str = "id", node: str = "node") -> DataFrame:

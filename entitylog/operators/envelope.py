@@ -44,6 +44,16 @@ def wrap(df: DataFrame, kind: str) -> DataFrame:
     return tidy(rows, EVENT)
 
 
+def wrap_mixed(df: DataFrame, kind: Column, payloads: dict[str, Column]) -> DataFrame:
+    """Log rows of several kinds in one table as events, in one pass.
+
+    ``payloads`` has the state of each kind as a struct; ``df`` has entity_id,
+    op, op_tag, round and seq.
+    """
+    values = {ARM[k]: F.when(kind == k, payload) for k, payload in payloads.items()}
+    return tidy(df.withColumns({"entity_type": kind, **values}), EVENT)
+
+
 def merge(*events: DataFrame) -> DataFrame:
     """Events of several kinds as one log."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), events)

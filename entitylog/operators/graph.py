@@ -161,7 +161,9 @@ def from_state(
 ) -> tuple[DataFrame, DataFrame]:
     """Entities and relations of the current state.
 
-    Clients and schemas are not part of the state; the caller brings them.
+    The tables are read several times, so give state that is stored, not state
+    that is still to be folded. Clients and schemas are not part of the state;
+    the caller brings them.
     """
     partitions = partition_rows(topics)
     replicas = replica_rows(partitions)

@@ -122,14 +122,14 @@ def apply(
     Unchanged rows only meet the changed keys; where those are few, Spark sends
     them to the state's partitions and the state is not shuffled.
     """
-    slot = list(keys) or ["_slot"]
-    if not keys:
-        state, log = (df.withColumn("_slot", F.lit(1)) for df in (state, log))
     changed = log.filter(~F.col(op).isin(list(ignore))) if ignore else log
-    touched = changed.select(*slot).distinct()
-    rows = fold(changed, slot, order, values, op, remove=remove).select(*slot, *values)
-    after = state.select(*slot, *values).join(touched, slot, "left_anti").unionByName(rows)
-    return after.select(*keys, *values)
+    rows = fold(changed, keys, order, values, op, remove=remove).select(*keys, *values)
+    if keys:
+        untouched = state.join(changed.select(*keys).distinct(), list(keys), "left_anti")
+    else:
+        any_change = changed.select(F.max(F.lit(True))).scalar()
+        untouched = state.filter(any_change.isNull())
+    return untouched.select(*keys, *values).unionByName(rows)
 
 
 IGNORED = {TOPIC: (CREATED,), BROKER: (DELETED,), CLUSTER: (DELETED,)}

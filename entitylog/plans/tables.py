@@ -85,15 +85,23 @@ def canonical_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     description = F.struct(
         (F.col("event_type") == "view").alias("internal"), F.array(partition).alias("partitions")
     )
-    rows = log.withColumns({"_node": node, "op_tag": F.col("op"), "round": o, "seq": F.lit(0)})
-    position = ["op", "op_tag", "round", "seq"]
-    id = F.col("k").cast("string")
-    of_kind = {kind: rows.filter(F.col("entity_type") == kind) for kind in (CLUSTER, BROKER, TOPIC)}
-    return envelope.merge(
-        envelope.wrap(of_kind[CLUSTER].select(id.alias("id"), F.col("_node").alias("controller"), *position), CLUSTER),
-        envelope.wrap(of_kind[BROKER].select(id.alias("id"), F.col("_node").alias("node"), config.alias("config"), *position), BROKER),
-        envelope.wrap(of_kind[TOPIC].select(id.alias("name"), description.alias("description"), config.alias("config"), *position), TOPIC),
-    )
+    rows = log.withColumns(
+        {"_node": node, "_config": config, "entity_id": F.col("k").cast("string"),
+         "op_tag": F.col("op"), "round": o, "seq": F.lit(0)}
+    )
+    updated = F.col("op") == UPDATED
+    payloads = {
+        CLUSTER: F.struct(F.col("entity_id").alias("id"), F.col("_node").alias("controller")),
+        BROKER: F.struct(
+            F.col("entity_id").alias("id"), F.col("_node").alias("node"), F.col("_config").alias("config")
+        ),
+        TOPIC: F.struct(
+            F.col("entity_id").alias("name"),
+            F.when(updated, description).alias("description"),
+            F.when(updated, F.col("_config")).alias("config"),
+        ),
+    }
+    return envelope.wrap_mixed(rows, F.col("entity_type"), payloads)
 
 
 def _orders_between(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
@@ -500,12 +508,19 @@ def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = envelope.route(canonical_log(spark, sf_dir))
-    sizes = [
-        rows.groupBy(F.lit(kind).alias("kind"), "op").agg(F.count(F.lit(1)).alias("n"))
-        for kind, rows in routed.items()
+    """Events wrapped kind by kind and merged into one log."""
+    log = event_log(spark, sf_dir)
+    rows = log.select(
+        "entity_type", "op", F.col("o").alias("round"), F.lit(0).alias("seq"),
+        F.col("k").cast("string").alias("id"), F.col("k").cast("string").alias("name"),
+        F.from_json("props", CONFIG).alias("config"),
+        F.lit(None).alias("controller"), F.lit(None).alias("node"), F.lit(None).alias("description"),
+    )
+    kinds = [
+        envelope.wrap(rows.filter(F.col("entity_type") == kind), kind) for kind in (CLUSTER, BROKER, TOPIC)
     ]
-    return graph.union(*sizes)
+    merged = envelope.merge(*kinds)
+    return merged.groupBy(envelope.kind_of().alias("kind"), "op").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -640,8 +655,11 @@ def graph_replica_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph of the folded canonical log, counted by kind and name."""
-    log = canonical_log(spark, sf_dir)
-    entities, relations = graph.from_state(views.topics(log), views.brokers(log), views.cluster(log))
+    path = scratch(spark, "views")
+    views.write_views(canonical_log(spark, sf_dir), path)
+    entities, relations = graph.from_state(
+        *[views.read_view(spark, path, name) for name in ("topics", "brokers", "cluster")]
+    )
     kinds = entities.groupBy(F.lit("entity").alias("what"), F.col("entity_type").alias("name"))
     edges = relations.groupBy(F.lit("relation").alias("what"), "name")
     return graph.union(*[g.agg(F.count(F.lit(1)).alias("n")) for g in (kinds, edges)])

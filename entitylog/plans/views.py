@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylog.operators.state import brokers_current, cluster_current, topics_current
+from entitylog.schema import BROKER_STATE, CLUSTER_STATE, TOPIC_STATE
 
-VIEWS = ("topics", "brokers", "cluster", "events")
+STATES = {"topics": TOPIC_STATE, "brokers": BROKER_STATE, "cluster": CLUSTER_STATE}
+VIEWS = (*STATES, "events")
 
 
 def topics(log: DataFrame) -> DataFrame:
@@ -27,6 +29,17 @@ def events(log: DataFrame) -> DataFrame:
     return log
 
 
+def write_views(log: DataFrame, path: str) -> None:
+    """Fold the log once per view and keep the state as tables."""
+    for name, view in zip(STATES, (topics, brokers, cluster)):
+        view(log).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def read_view(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A kept view, as it was when it was written."""
+    return spark.read.schema(STATES[name]).parquet(f"{path}/{name}")
+
+
 def register_views(log: DataFrame, prefix: str = "") -> None:
     """Make the views available to SQL under their names, optionally prefixed."""
     for name, view in zip(VIEWS, (topics, brokers, cluster, events)):

@@ -34,9 +34,13 @@ def read_snapshots(
     root: str,
     kind: str,
     rounds: tuple[int, int] | None = None,
+    format: str = "parquet",
 ) -> DataFrame:
-    """Snapshot rows of one kind, optionally of a range of rounds only."""
-    df = spark.read.schema(SNAPSHOT[kind]).parquet(data_path(root, kind))
+    """Snapshot rows of one kind, optionally of a range of rounds only.
+
+    Other producers may store their rows as JSON; ours are parquet.
+    """
+    df = spark.read.schema(SNAPSHOT[kind]).format(format).load(data_path(root, kind))
     if rounds is not None:
         df = df.filter(F.col("snapshot_id").between(*rounds))
     return df
