@@ -20,8 +20,9 @@ from entitylog.functions.canon import same
 from entitylog.schema import CREATED, DELETED, SEQ, UPDATED
 
 # Rounds per window group. One key's rounds are split into groups of at most
-# this many rows, whatever share of the table the key holds.
-CHUNK = 4096
+# this many rows, whatever share of the table the key holds. Spark buffers up to
+# 4096 rows of a window group in memory.
+CHUNK = 2048
 
 
 def _value_type(df: DataFrame, values: Sequence[str]) -> StructType:
@@ -195,25 +196,31 @@ def from_snapshots(
         placed = placed.repartition(*group)
 
     w = Window.partitionBy(*group).orderBy("_r")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    spoken = F.when(F.col("_v").isNotNull(), F.col("_r"))
-    rows = placed.withColumns(
-        {
-            "_prev": F.lag("_r").over(w),
-            "_next": F.lead("_r").over(w),
-            "_begin": F.min("_r").over(so_far),
-            "_seen_r": F.max(spoken).over(before),
-            "_seen_v": F.last("_v", ignorenulls=True).over(before),
-        }
-    )
-    # Start of the current run of consecutive rounds, where it is in this chunk.
-    resumes = F.when(F.col("_prev") < F.col("_r") - 1, F.col("_r"))
-    rows = rows.withColumn("_run", F.max(resumes).over(so_far))
+    rows = placed.withColumns({"_prev": F.lag("_r").over(w), "_next": F.lead("_r").over(w)})
+    follows = F.col("_prev") == F.col("_r") - 1
+    # _seen_r and _seen_v: the last row that said something. _run: where the run
+    # of consecutive rounds began, or any of its rounds up to the last row seen.
+    if eligible is None:
+        rows = rows.withColumns(
+            {
+                "_seen_r": F.col("_prev"),
+                "_seen_v": F.lag("_v").over(w),
+                "_run": F.when(follows, F.col("_prev")).otherwise(F.col("_r")),
+            }
+        )
+    else:
+        so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        spoken = F.when(F.col("_v").isNotNull(), F.col("_r"))
+        begins = F.when(F.coalesce(~follows, F.lit(True)), F.col("_r"))
+        rows = rows.withColumns(
+            {
+                "_seen_r": F.max(spoken).over(before),
+                "_seen_v": F.last("_v", ignorenulls=True).over(before),
+            }
+        ).withColumn("_run", F.max(begins).over(so_far))
     if chunked:
         rows = _carried(rows, keys, group)
-    else:
-        rows = rows.withColumn("_run", F.coalesce("_run", "_begin"))
 
     is_known = F.col("_seen_r").isNotNull()
     if forget_absent:
@@ -255,47 +262,50 @@ def from_snapshots(
 
 def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
     """Fill what a chunk cannot know by itself from the chunks around it."""
-    closing = rows.filter(F.col("_next").isNull()).select(
-        *group,
-        "_begin",
-        F.col("_r").alias("_end"),
+    edges = rows.filter(F.col("_prev").isNull() | F.col("_next").isNull())
+    closing = F.struct(
         "_run",
         F.coalesce(F.when(F.col("_v").isNotNull(), F.col("_r")), F.col("_seen_r")).alias("_seen_r"),
         F.coalesce("_v", "_seen_v").alias("_seen_v"),
     )
+    chunks = (
+        edges.groupBy(*group)
+        .agg(
+            F.min("_r").alias("_begin"),
+            F.max("_r").alias("_end"),
+            F.max_by(closing, "_r").alias("_last"),
+        )
+        .select(*group, "_begin", "_end", "_last.*")
+    )
     w = Window.partitionBy(*keys).orderBy("_chunk")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_end = F.lag("_end").over(w)
-    opens = prev_end.isNull() | (prev_end < F.col("_begin") - 1)
+    opens = F.coalesce(F.lag("_end").over(w) < F.col("_begin") - 1, F.lit(True))
     carry = (
-        closing.withColumns(
+        chunks.withColumns(
             {
-                "_opens": F.when(opens, F.col("_begin")),
+                "_opens": opens,
                 "_next0": F.lead("_begin").over(w),
                 "_seen_r0": F.max("_seen_r").over(before),
                 "_seen_v0": F.last("_seen_v", ignorenulls=True).over(before),
             }
         )
-        # A run that opens with a chunk starts there; otherwise the last run
-        # start of an earlier chunk still holds.
-        .withColumn("_earlier", F.last(F.coalesce("_run", "_opens"), ignorenulls=True).over(before))
+        # A chunk that only goes on with a run knows nothing of its beginning.
+        .withColumn("_own", F.when(F.col("_opens") | (F.col("_run") > F.col("_begin")), F.col("_run")))
+        .withColumn("_earlier", F.last("_own", ignorenulls=True).over(before))
         .select(
             *group,
-            F.coalesce("_opens", "_earlier").alias("_run0"),
+            "_begin",
+            F.when(F.col("_opens"), F.col("_begin")).otherwise(F.col("_earlier")).alias("_run0"),
             "_next0",
             "_seen_r0",
             "_seen_v0",
         )
     )
-    return (
-        rows.join(carry, list(group), "left")
-        .withColumns(
-            {
-                "_run": F.coalesce("_run", "_run0"),
-                "_next": F.coalesce("_next", "_next0"),
-                "_seen_r": F.coalesce("_seen_r", "_seen_r0"),
-                "_seen_v": F.coalesce("_seen_v", "_seen_v0"),
-            }
-        )
+    return rows.join(carry, list(group), "left").withColumns(
+        {
+            "_run": F.when(F.col("_run") == F.col("_begin"), F.col("_run0")).otherwise(F.col("_run")),
+            "_next": F.coalesce("_next", "_next0"),
+            "_seen_r": F.coalesce("_seen_r", "_seen_r0"),
+            "_seen_v": F.coalesce("_seen_v", "_seen_v0"),
+        }
     )

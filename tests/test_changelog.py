@@ -68,6 +68,21 @@ def test_rounds_equal_the_loop(spark, chunk, forget_absent, with_state):
     assert sort(tuple(r) for r in got.select("k", "r", "op", "a").collect()) == sort(expected)
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+@pytest.mark.parametrize("forget_absent", [True, False])
+def test_rounds_where_all_speak(spark, chunk, forget_absent):
+    rows, rounds = made_up(chunk + 20)
+    rows = [(k, r, True, a, m) for k, r, _, a, m in rows]
+    known = {k: (k % 3, ()) for k in range(4, 20)}
+    before = spark.createDataFrame([(k, v[0], {}) for k, v in known.items()], "k long, a int, m map<string,string>")
+    got = changelog.from_snapshots(
+        spark.createDataFrame(rows, SCHEMA), ["k"], ["a", "m"], rounds, "r",
+        forget_absent=forget_absent, state=before, chunk=chunk,
+    )
+    expected, _ = loop(rows, rounds, known, forget_absent)
+    assert sort(tuple(r) for r in got.select("k", "r", "op", "a").collect()) == sort(expected)
+
+
 @pytest.mark.parametrize("chunk", [2, 100])
 def test_rounds_of_one_slot(spark, chunk):
     rows, rounds = made_up(7, keys=1)
