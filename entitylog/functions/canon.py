@@ -23,25 +23,26 @@ def config(col: Column) -> Column:
 
 def config_from_entries(entries: Column, name: str = "name", value: str = "value") -> Column:
     """An entry list as a map; of entries with the same name the last one wins."""
-    named = F.filter(entries, lambda e: e[name].isNotNull())
-    names = F.array_distinct(F.transform(named, lambda e: e[name]))
+    names = entries[name]
+    distinct = F.array_except(names, F.array(F.lit(None).cast("string")))
     last = F.transform(
-        names,
-        lambda n: F.struct(
-            n.alias("key"),
-            F.element_at(F.filter(named, lambda e: e[name] == n), -1)[value].alias("value"),
-        ),
+        distinct,
+        lambda n: F.element_at(F.filter(entries, lambda e: e[name] == n), -1)[value],
     )
-    empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.map_from_entries(last), empty)
+    found = F.when(
+        F.size(distinct) == F.size(names), F.map_from_arrays(names, entries[value])
+    ).otherwise(F.map_from_arrays(distinct, last))
+    return F.coalesce(found, F.create_map().cast("map<string,string>"))
 
 
 def config_to_entries(col: Column) -> Column:
     """A config map as an entry list in key order, null values as ''."""
-    return F.transform(
-        F.sort_array(F.map_entries(config(col))),
-        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")),
+    entries = F.transform(
+        F.sort_array(F.map_entries(col)),
+        lambda e: F.struct(e["key"].alias("name"), F.coalesce(e["value"], F.lit("")).alias("value")),
     )
+    none = F.array().cast("array<struct<name:string,value:string>>")
+    return F.coalesce(entries, none)
 
 
 def node(id: Column, host: Column, port: Column, rack: Column) -> Column:
@@ -71,7 +72,7 @@ def canon(col: Column, dtype: DataType) -> Column:
     if isinstance(dtype, MapType):
         entries = F.sort_array(F.map_entries(col))
         if isinstance(dtype.valueType, StringType):
-            return F.sort_array(F.map_entries(config(col)))
+            return config_to_entries(col)
         return F.coalesce(entries, F.array().cast(ArrayType(_entry_type(dtype))))
     if isinstance(dtype, ArrayType):
         return F.transform(col, lambda item: canon(item, dtype.elementType))

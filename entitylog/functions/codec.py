@@ -201,17 +201,17 @@ def _event_class():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("entitylog.Event"))
 
 
-def _as_dict(message) -> dict:
+def _as_dict(message, name: str, fields: dict) -> dict:
     """A message as the row of its struct type; unset messages as null."""
     row = {}
-    for field in message.DESCRIPTOR.fields:
-        value = getattr(message, field.name)
-        if field.message_type is None:
-            row[field.name] = value
-        elif field.is_repeated:
-            row[field.name] = [_as_dict(item) for item in value]
-        else:
-            row[field.name] = _as_dict(value) if message.HasField(field.name) else None
+    for field, kind, repeated in fields[name]:
+        value = getattr(message, field)
+        if kind in SCALARS:
+            row[field] = value
+        elif repeated:
+            row[field] = [_as_dict(item, kind, fields) for item in value]
+        elif message.HasField(field):
+            row[field] = _as_dict(value, kind, fields)
     return row
 
 
@@ -239,9 +239,11 @@ def from_protobuf(value: Column) -> Column:
     @F.arrow_udf("string")
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = _event_class()
+        fields = {m: [(f, kind, many) for _, f, kind, many, _ in _fields(m)] for m in MESSAGES}
         for batch in batches:
             messages = (cls.FromString(data) for data in batch.to_pylist())
-            yield pa.array([json.dumps(_as_dict(message)) for message in messages], pa.string())
+            rows = (_as_dict(message, "Event", fields) for message in messages)
+            yield pa.array([json.dumps(row) for row in rows], pa.string())
 
     return F.from_json(parse(value), message_type())
 

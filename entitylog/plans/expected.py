@@ -191,6 +191,9 @@ select k, op, count(*) as n_events, max(r) as last_round from changes group by 1
 """,
     "snapshot_sizes": """
 select r, count(*) as n_keys from snap group by 1
+""",
+    "stored_snapshots": """
+select k, r, n, p from snap
 """,
     "allow_deny": """
 select c_custkey, c_mktsegment from customer
@@ -236,6 +239,10 @@ select k, event_type as name, value from (
 select topic, count(*) as n_partitions,
   string_agg(cast(partition_id as varchar) || ':' || cast(leader as varchar) || ':' || replicas, ';' order by partition_id) as partitions
 from part_rows group by 1
+""",
+    "described_topics": """
+select o_orderkey as name, o_orderpriority, n_partitions
+from orders join (select topic, count(*) as n_partitions from part_rows group by 1) t on o_orderkey = topic
 """,
     "envelope_keys": """
 select entity_type || '-' || cast(k as varchar) as record_key, count(*) as n from log group by 1
@@ -301,6 +308,18 @@ select 'broker' as name,
   cast(topic as varchar) || '-' || cast(partition_id as varchar) || '-' || cast(broker as varchar) as source,
   cast(broker as varchar) as destination
 from replica_rows
+""",
+    "graph_isr": """
+, flags as (select l_orderkey as topic, l_linenumber as partition_id, l_suppkey as broker,
+    max(case when l_linestatus = 'O' then 1 else 0 end) as in_sync
+  from lineitem group by 1, 2, 3),
+ids as (select *, cast(topic as varchar) || '-' || cast(partition_id as varchar) as source,
+    cast(topic as varchar) || '-' || cast(partition_id as varchar) || '-' || cast(broker as varchar) as destination,
+    min(broker) over (partition by topic, partition_id) as leader
+  from flags)
+select 'isr' as name, source, destination from ids where in_sync = 1
+union all
+select 'leader', source, destination from ids where broker = leader
 """,
     "graph_from_state": """
 , counts as (select (select count(*) from topics_now) as topics, (select count(*) from brokers_now) as brokers,
@@ -343,8 +362,11 @@ from broker_all
 """,
 }
 
-# A stream that has read everything gives what the batch query gives.
+# What is written and read back, and a stream that has read everything, give
+# what the batch query gives.
 SAME_AS = {
+    "stored_counters": "consumed_counters",
+    "stored_json": "canonical_brokers",
     "stream_topics": "topics_current",
     "stream_brokers": "brokers_current",
     "stream_cluster": "cluster_current",

@@ -135,6 +135,19 @@ def quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _topic_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as topics, their quarter's orders as config."""
+    partitions = TOPIC_STATE["description"].dataType["partitions"].dataType
+    return quarterly(spark, sf_dir).select(
+        F.col("r").alias("snapshot_id"),
+        F.col("k").cast("string").alias("name"),
+        F.struct(
+            F.lit(False).alias("internal"), F.array().cast(partitions).alias("partitions")
+        ).alias("description"),
+        F.create_map(F.lit("n"), F.col("n").cast("string"), F.lit("p"), F.col("p")).alias("config"),
+    )
+
+
 def quarters(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """First and last quarter, read off one column."""
     return snapshots.round_bounds(table(spark, sf_dir, "orders").select(_quarter().alias("r")), "r")
@@ -382,6 +395,17 @@ def snapshot_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.snapshot_sizes(quarterly(spark, sf_dir), "r")
 
 
+def stored_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters written as topic snapshots and read back as a range of rounds."""
+    path, rounds = scratch(spark, "snapshots"), quarters(spark, sf_dir)
+    snapshots.write_snapshots(_topic_snapshots(spark, sf_dir), path, TOPIC, rounds)
+    rows = snapshots.read_snapshots(spark, path, TOPIC, rounds)
+    return rows.select(
+        F.col("name").cast("long").alias("k"), F.col("snapshot_id").alias("r"),
+        F.col("config")["n"].cast("long").alias("n"), F.col("config")["p"].alias("p"),
+    )
+
+
 # Filters, lookups, projections
 
 
@@ -468,6 +492,16 @@ def config_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", "name", F.col("value").cast("double").alias("value"))
 
 
+def described_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the number of their lines; orders without lines drop out."""
+    names = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("name"), "o_orderpriority")
+    lines = (
+        replicas(spark, sf_dir).select("topic", "partition_id").distinct()
+        .groupBy(F.col("topic").alias("name")).agg(F.count(F.lit(1)).alias("n_partitions"))
+    )
+    return enrich.with_description(names, lines)
+
+
 def topic_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("topic"),
@@ -614,6 +648,21 @@ def json_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brokers view written as JSON lines and read back."""
+    path = scratch(spark, "json")
+    views.write_json_view(views.brokers(canonical_log(spark, sf_dir)), path)
+    shape = "id string, node struct<host:string,rack:string>, config struct<entries:map<string,string>>"
+    rows = spark.read.schema(shape).json(path)
+    return rows.select("id", "node.host", "node.rack", F.col("config.entries")["k"].alias("config_k"))
+
+
+def stored_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "counters")
+    counters.write_counters(counters.consumed(event_log(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered views queried in SQL: topics by configured value."""
     views.register_views(canonical_log(spark, sf_dir), prefix="log_")
@@ -653,6 +702,28 @@ def graph_replica_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.replica_brokers(replicas(spark, sf_dir))
 
 
+def graph_isr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replicas with open lines are in sync, the lowest supplier leads."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("topic"), F.col("l_linenumber").alias("partition_id"),
+        F.col("l_suppkey").alias("broker"), "l_linestatus",
+    )
+    at = ["topic", "partition_id"]
+    held = snapshots.replica_lists(lines, at, "broker")
+    in_sync = snapshots.replica_lists(lines.filter(F.col("l_linestatus") == "O"), at, "broker", "isr")
+    nodes = {
+        name: F.transform(F.coalesce(name, F.array().cast("array<bigint>")), lambda id: F.struct(id.alias("id")))
+        for name in ("replicas", "isr")
+    }
+    partitions = held.join(in_sync, at, "left").withColumns(nodes).withColumn("leader", F.col("replicas")[0])
+    flags = graph.replica_rows(partitions)
+    return graph.partition_isr(flags).unionByName(
+        flags.filter("leader").select(
+            F.lit("leader").alias("name"), graph.partition_id().alias("source"), graph.replica_id().alias("destination")
+        )
+    )
+
+
 def graph_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph of the folded canonical log, counted by kind and name."""
     path = scratch(spark, "views")
@@ -763,13 +834,9 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_snapshots_to_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarters written as topic snapshots, followed by the poll stream."""
     path = scratch(spark, "poll")
-    topics = quarterly(spark, sf_dir).select(
-        F.col("r").alias("snapshot_id"),
-        F.col("k").cast("string").alias("name"),
-        F.struct(F.lit(False).alias("internal"), F.array().cast(TOPIC_STATE["description"].dataType["partitions"].dataType).alias("partitions")).alias("description"),
-        F.create_map(F.lit("n"), F.col("n").cast("string"), F.lit("p"), F.col("p")).alias("config"),
+    snapshots.write_snapshots(
+        _topic_snapshots(spark, sf_dir), f"{path}/in", TOPIC, quarters(spark, sf_dir)
     )
-    snapshots.write_snapshots(topics, f"{path}/in", TOPIC, quarters(spark, sf_dir))
     streaming_poll.snapshots_to_log(
         spark, f"{path}/in", f"{path}/out", TOPIC, Params(include_internal=True), once=True
     ).awaitTermination()
@@ -789,14 +856,14 @@ QUERIES = {
         topic_changelog, topic_changelog_filtered, produced_counters,
         broker_diff, missing_brokers, cluster_diff, failed_lookups,
         multi_round_changelog, multi_round_chunked, multi_round_filtered,
-        broker_changelog, cluster_changelog, replayed_state, dated_rounds, snapshot_sizes,
+        broker_changelog, cluster_changelog, replayed_state, dated_rounds, snapshot_sizes, stored_snapshots,
         allow_deny, allow_deny_tables, csv_lists, include_internal,
         topic_names, brokers_of, config_enrich, resource_configs, config_map, config_last_wins,
-        topic_descriptions,
+        topic_descriptions, described_topics,
         envelope_keys, route_topics, merged_kinds, quarantine,
         codec_json, codec_protobuf, record_log, record_keys, table_log, described_created,
-        json_topics, sql_views,
-        graph_entities, graph_relations, graph_partitions, graph_replica_brokers,
+        json_topics, stored_json, stored_counters, sql_views,
+        graph_entities, graph_relations, graph_partitions, graph_replica_brokers, graph_isr,
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,

@@ -41,6 +41,11 @@ def read_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     return tidy(reader.schema(_log_schema()).parquet(path), EVENT)
 
 
+def read_batch(spark: SparkSession, path: str, writer: str, batch: int) -> DataFrame:
+    """The events of one batch of a table log; no other batch is looked at."""
+    return tidy(spark.read.schema(EVENT).parquet(f"{path}/writer={writer}/batch={batch}"), EVENT)
+
+
 def to_records(events: DataFrame, format: str = "json") -> DataFrame:
     """Events as keyed records."""
     return tidy(codec.encode(with_key(events), format), RECORD)

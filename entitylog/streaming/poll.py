@@ -19,7 +19,7 @@ from entitylog.operators.state import apply_events
 from entitylog.params import Params
 from entitylog.plans.poll import EVENTS
 from entitylog.schema import STATE, TOPIC
-from entitylog.sources.log import append_log, read_log
+from entitylog.sources.log import append_log, read_batch
 from entitylog.sources.snapshots import ROUND, read_snapshots, rounds_path
 
 
@@ -65,10 +65,7 @@ def _step(root: str, out: str, kind: str, params: Params):
             # Few of the compared rows become events: gather them into few files.
             append_log(events.hint("rebalance"), log_path(out), writer=kind.lower(), batch=batch)
             # Read back what was written, rather than computing it again.
-            written = read_log(spark, log_path(out)).filter(
-                (F.col("entity_type") == kind) & F.col("round").between(lo, hi)
-            )
-            known = apply_events(known, written, kind)
+            known = apply_events(known, read_batch(spark, log_path(out), kind.lower(), batch), kind)
         known.write.mode("overwrite").parquet(state_path(out, kind, batch))
         spark.range(1).select(F.lit(hi if n else last).cast("bigint").alias("last")).write.mode(
             "overwrite"
