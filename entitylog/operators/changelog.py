@@ -159,9 +159,9 @@ def from_snapshots(
     """All changes of many consecutive rounds in one job.
 
     ``rounds`` is the first and last round polled; other rows are left out, and
-    a round without rows is a poll that listed nothing. ``snaps`` has one row per key and round. ``state``
-    is what was known before the first round. The result equals applying
-    ``diff`` round by round.
+    a round without rows is a poll that listed nothing. ``snaps`` has one row
+    per key and round. ``state`` is what was known before the first round. The
+    result equals applying ``diff`` round by round.
 
     Rows are shuffled once, by key and chunk of rounds. Only if the rounds span
     several chunks, one row per key and chunk is shuffled again to carry the
