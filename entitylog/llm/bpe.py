@@ -149,7 +149,10 @@ class Vocabulary:
 
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of one non-empty pre-split word: the accepted path that spells it."""
-        return self._walk("".join([self.shown[b] for b in word.encode()]))
+        return self.spell(word.encode())
+
+    def spell(self, word: bytes) -> tuple[int, ...]:
+        return self._walk("".join([self.shown[b] for b in word]))
 
     def ids(self, words: list[str]) -> list[int]:
         if len(self.words) >= KEPT_WORDS:

@@ -144,7 +144,12 @@ def mixed(
 
 
 def taken(
-    df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED
+    df: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    seed: str = SEED,
+    keep: str | None = None,
 ) -> DataFrame:
     """Per document its size, its source's size and target, and the words the mix takes of it."""
     mix, documents, strata = mixed(df, id, text, source, seed)
@@ -153,5 +158,34 @@ def taken(
     return (
         rows.join(words.withColumnRenamed("start", "from"), ["stratum", "from"], "left")
         .join(strata.select("stratum", "source_size", "target"), "stratum")
-        .select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"))
+        .select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("words", F.lit(0)).alias("taken"),
+            *([keep] if keep else []),
+        )
+    )
+
+
+def repeated(
+    df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = SEED
+) -> DataFrame:
+    """Whole rows, each as often as the mix takes its words, rounded.
+
+    Rows alike in id, source and size share what is taken of them.
+    """
+    key = ["doc_id", "_size", "_stratum"]
+    words = stored(taken(df, id, text, source, seed, keep="stratum"), "taken")
+    times = words.groupBy("doc_id", F.col("size").alias("_size"), F.col("stratum").alias("_stratum")).agg(
+        F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("_times")
+    )
+    rows = df.withColumns({"_size": word_count(text), "_stratum": source_key(source), "_id": F.col(id)})
+    same = F.col("_id").eqNullSafe(F.col("t.doc_id"))
+    for name in key[1:]:
+        same = same & (F.col(f"d.{name}") == F.col(f"t.{name}"))
+    joined = rows.alias("d").join(times.filter("_times > 0").alias("t"), same)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
+        *(F.col(f"d.{c}") for c in df.columns)
     )

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylog.llm import bpe, embed, mix, quality, shards, simhash
-from entitylog.llm.common import small_batches, table
+from entitylog.llm import bpe, embed, langid, licenses, lm, mix, quality, repeats, shards, simhash
+from entitylog.llm.common import small_batches, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,10 +26,27 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of the nearest directory above.
+
+    Documents have no path: they are laid out by source, ten thousands and hundreds
+    of their id. A document that opens with its licence's line is a licence file.
+    """
+    rows = table(spark, sf_dir, "documents")
+    match = licenses.matcher(rows)
+    place = [F.coalesce("source", F.lit("none")), F.expr("doc_id div 10000"), F.expr("doc_id div 100"), F.col("doc_id")]
+    rows = rows.select("doc_id", "text", F.concat_ws("/", *(p.cast("string") for p in place)).alias("path"))
+    found = stored(licenses.scan(rows, match).drop("text"), "licenses")
+    found = licenses.inherit(found.withColumn("is_file", F.coalesce(F.col("line") == 0, F.lit(False))))
+    return found.select(
+        "doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "line", "effective", "basis", "from_dir"
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the groups of near ones."""
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
-    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    digits = F.lower(F.lpad(F.hex(F.col("fingerprint")[0]), 16, "0"))
     return groups.select(
         F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id")
     )
@@ -51,6 +68,31 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from two thirds of the ids."""
+    rows = table(spark, sf_dir, "documents")
+    held_out = langid.remainder("doc_id", 3) == 1
+    model = langid.learn(rows.filter(~held_out))
+    rows = rows.select("doc_id", "text").withColumn("held_out", held_out)
+    return langid.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text, learned from six sevenths of the ids."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = rows.withColumn("held_out", langid.remainder("doc_id", 7) == 2)
+    model = lm.train(rows.filter(~F.col("held_out")), VOCABULARY)
+    return lm.scores(rows, model, VOCABULARY)
+
+
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every text keeps without its passages of 400 bytes that stand elsewhere too."""
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of all documents, base verdict, and verdict with their host's."""
     judged = quality.judge(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -72,5 +114,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op3_simhash, op4_embeddings, op5_mixing, op9_quality, op10_sharding)
+    for f in (op1_bpe, op2_licenses, op3_simhash, op4_embeddings, op5_mixing, op6_language, op7_lm, op8_suffixes, op9_quality, op10_sharding)
 }

@@ -1,12 +1,12 @@
 """Near-duplicate groups by SimHash and a Gray-order hierarchical index.
 
 A fingerprint has 64 bits, from the XXH64 hashes (seed 42) of a text's word
-shingles. Two texts are linked if their fingerprints differ in few bits, and a
-group is what links connect.
+shingles, or ``width`` times as many from the same hashes mixed anew. Two texts
+are linked if their fingerprints differ in few bits, and a group is what links
+connect.
 
-The index holds every fingerprint five times, each time turned so that another
-fifth of its bits comes first. Fingerprints that differ in at most four bits
-agree in one of the fifths. The turned fingerprints are sorted by their rank in
+The index holds every 64 bits of a fingerprint once for each of several parts,
+turned so that the part comes first. The turned bits are sorted by their rank in
 the Gray code, in which those that share their first bits stand together: an
 upper node is such a shared pattern, and a block is a run of at most
 ``BATCH_ROWS`` fingerprints of one node. A block keeps the mask of bits that all
@@ -15,14 +15,21 @@ already differ too often are never compared, nor are such groups inside a block.
 Links leave a block as a spanning forest, so a group of any size emits no more
 rows than it has members, and a node of any size is spread over its blocks.
 
+With more parts than bits that may differ, two linked fingerprints agree in a
+part, and no link is lost: ``EXACT`` has five parts for four bits. ``SIMILAR`` is
+for texts that share 0.8 of their shingles (Jaccard): 256 bits differ by 39 on
+average, 48 may, and one of 24 parts agrees in 99 of 100 such pairs; of pairs that
+share 0.9 all but one in 10,000 are found, of those that share half 2 in 1,000.
+
 Empty and null texts have fingerprint zero and are linked like others. Rows of
-one id and equal rows are one document. Rows with a null id
-link nothing; they get the group of an equal fingerprint, or null.
+one id and equal rows are one document. Rows with a null id link nothing; they
+get the group of an equal fingerprint, or null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
@@ -35,18 +42,41 @@ from pyspark.sql import functions as F
 from entitylog.llm.common import components, small_batches, stored
 
 BITS = 64
-#: Lengths of the parts of a fingerprint: one more than the bits that may differ.
-PARTS = (13, 13, 13, 13, 12)
 #: Hashes whose bits are added up at once.
 HASHES = 1 << 16
 #: Neighbours in Gray order that form the lowest group of the hierarchy.
 GROUP = 16
 
+_SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Law:
+    """Words in a shingle, 64-bit words in a fingerprint, bits that may differ, bits of each part."""
+
+    words: int
+    width: int
+    most: int
+    parts: tuple[int, ...]
+
+
+EXACT = Law(4, 1, 4, (13, 13, 13, 13, 12))
+SIMILAR = Law(5, 4, 48, (11, 11, 11, 11, 10, 10))
+
 
-def fingerprint_of(text: str | None, words: int) -> int:
+def _mixed(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes anew for the n-th 64 bits; the first are as they are."""
+    if n:
+        h = (h ^ np.uint64(0x9E3779B97F4A7C15 * n % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h = h ^ (h >> np.uint64(31))
+    return h
+
+
+def fingerprint_of(text: str | None, words: int, width: int = 1) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return np.zeros(width, np.int64)
     whole, digest = b" ".join(found), xxhash.xxh64_intdigest
     if len(found) <= words:
         hashes = [digest(whole, 42)]
@@ -54,20 +84,26 @@ def fingerprint_of(text: str | None, words: int) -> int:
         ends = list(accumulate(len(w) + 1 for w in found))
         starts = [0, *ends]
         hashes = [digest(whole[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :])]
-    counts = np.zeros(BITS, np.int64)
+    # Values of each byte are counted, and their bits then.
+    values = np.zeros((width, 8 * 256), np.int64)
     for i in range(0, len(hashes), HASHES):
-        part = np.array(hashes[i : i + HASHES], ">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes)).view(">i8")[0])
+        part = np.array(hashes[i : i + HASHES], np.uint64)
+        for n in range(width):
+            each = _mixed(part, n).astype(">u8").view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
+            values[n] += np.bincount(each.ravel(), minlength=2048)
+    counts = (values.reshape(width * 8, 256) @ _SET).reshape(width, BITS)
+    return np.packbits(2 * counts > len(hashes), axis=1).view(">i8").astype(np.int64).ravel()
 
 
-def fingerprints(df: DataFrame, text: str = "text", words: int = 4, into: str = "fingerprint") -> DataFrame:
-    """Adds the fingerprint of every whole text as a long."""
+def fingerprints(
+    df: DataFrame, text: str = "text", words: int = 4, width: int = 1, into: str = "fingerprint"
+) -> DataFrame:
+    """Adds the fingerprint of every whole text as an array of longs."""
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("array<long>")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
-            yield pd.Series([fingerprint_of(t, words) for t in part], dtype="int64")
+            yield pd.Series([fingerprint_of(t, words, width) for t in part], dtype=object)
 
     small_batches(df.sparkSession)
     return df.withColumn(into, of(text))
@@ -86,28 +122,43 @@ def _gray_rank(code: Column) -> Column:
     return code.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-NODE = "part int, pattern long"
-BLOCK = f"{NODE}, first long, mask long, bits long, codes binary, ids binary"
+BLOCK = "part int, pattern long, first long, mask array<long>, bits array<long>, codes binary, ids binary"
 EDGE = "a long, b long"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted entries as blocks; a node is cut wherever a batch ends."""
-    for batch in batches:
-        part, pattern, rank, code, ids = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(part):
-            continue
-        starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (pattern[1:] != pattern[:-1])])
-        every, some = np.bitwise_and.reduceat(code, starts), np.bitwise_or.reduceat(code, starts)
-        ends = np.r_[starts[1:], len(part)]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "part": part[starts], "pattern": pattern[starts], "first": rank[starts],
-                "mask": ~(every ^ some), "bits": every,
-                "codes": [code[a:b].tobytes() for a, b in zip(starts, ends)],
-                "ids": [ids[a:b].tobytes() for a, b in zip(starts, ends)],
-            }
-        )
+def _blocks(width: int):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted entries as blocks; a node is cut wherever a batch ends."""
+        for batch in batches:
+            part, pattern, rank, ids = (batch.column(n).to_numpy() for n in (0, 1, 2, 4))
+            if not len(part):
+                continue
+            code = batch.column(3).flatten().to_numpy().reshape(-1, width)
+            starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (pattern[1:] != pattern[:-1])])
+            every, some = np.bitwise_and.reduceat(code, starts), np.bitwise_or.reduceat(code, starts)
+            ends = np.r_[starts[1:], len(part)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": part[starts], "pattern": pattern[starts], "first": rank[starts],
+                    "mask": pa.array(list(~(every ^ some)), pa.list_(pa.int64())),
+                    "bits": pa.array(list(every), pa.list_(pa.int64())),
+                    "codes": [code[a:b].tobytes() for a, b in zip(starts, ends)],
+                    "ids": [ids[a:b].tobytes() for a, b in zip(starts, ends)],
+                }
+            )
+
+    return blocks
+
+
+def _apart(a: np.ndarray, b: np.ndarray, mask_a=None, mask_b=None) -> np.ndarray:
+    """Number of differing bits of every code of a from every code of b, under masks."""
+    out = np.zeros((*np.broadcast_shapes(a.shape[:-1], b.shape[:-1]),), np.int16)
+    for n in range(a.shape[-1]):
+        differ = a[..., n] ^ b[..., n]
+        if mask_a is not None:
+            differ &= mask_a[..., n] & mask_b[..., n]
+        out += np.bitwise_count(differ)
+    return out
 
 
 def _close_pairs(a: np.ndarray, b: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,16 +170,15 @@ def _close_pairs(a: np.ndarray, b: np.ndarray, most: int) -> tuple[np.ndarray, n
         return every, ~(every ^ some)
 
     if len(a) * len(b) <= 4096:
-        return np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= most)
+        return np.nonzero(_apart(a[:, None], b[None, :]) <= most)
     (bits_a, mask_a), (bits_b, mask_b) = level(a), level(b)
-    differ = (bits_a[:, None] ^ bits_b[None, :]) & mask_a[:, None] & mask_b[None, :]
-    ga, gb = np.nonzero(np.bitwise_count(differ) <= most)
+    differ = _apart(bits_a[:, None], bits_b[None, :], mask_a[:, None], mask_b[None, :])
+    ga, gb = np.nonzero(differ <= most)
     i = (ga[:, None] * GROUP + np.arange(GROUP)).reshape(-1, GROUP, 1)
     j = (gb[:, None] * GROUP + np.arange(GROUP)).reshape(-1, 1, GROUP)
     there = (i < len(a)) & (j < len(b))
     i, j = np.minimum(i, len(a) - 1), np.minimum(j, len(b) - 1)
-    near = there & (np.bitwise_count(a[i] ^ b[j]) <= most)
-    pair, x, y = np.nonzero(near)
+    pair, x, y = np.nonzero(there & (_apart(a[i], b[j]) <= most))
     return ga[pair] * GROUP + x, gb[pair] * GROUP + y
 
 
@@ -146,15 +196,15 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _links(most: int):
+def _links(most: int, width: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out_a, out_b = [], []
-            columns = [c.to_pylist() for c in batch.columns]
-            for codes, ids, *other in zip(*columns):
-                a, ids = np.frombuffer(codes, np.int64), np.frombuffer(ids, np.int64)
+            for codes, ids, *other in zip(*(c.to_pylist() for c in batch.columns)):
+                # Unsigned, as bits of a negative number would be counted in its absolute value.
+                a, ids = np.frombuffer(codes, np.uint64).reshape(-1, width), np.frombuffer(ids, np.int64)
                 if other:
-                    b = np.frombuffer(other[0], np.int64)
+                    b = np.frombuffer(other[0], np.uint64).reshape(-1, width)
                     i, j = _close_pairs(a, b, most)
                     j = j + len(a)
                     ids = np.r_[ids, np.frombuffer(other[1], np.int64)]
@@ -162,6 +212,7 @@ def _links(most: int):
                     continue
                 else:
                     i, j = _close_pairs(a, a, most)
+                    i, j = i[i < j], j[i < j]
                 if len(i):
                     root = forest(len(ids), i, j)
                     moved = np.flatnonzero(root != np.arange(len(ids)))
@@ -173,68 +224,66 @@ def _links(most: int):
     return links
 
 
-def links(codes: DataFrame, most: int = 4) -> DataFrame:
+def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
     """Edges that connect, directly or through others, all ids with close codes.
 
-    ``codes``: a stored table of distinct longs ``code``, each with its long ``id``.
+    ``codes``: a stored table of distinct fingerprints ``code``, each with its long ``id``.
     """
-    if most != len(PARTS) - 1:
-        raise ValueError(f"the index is laid out for {len(PARTS) - 1} bits")
     small_batches(codes.sparkSession)
-    at = [sum(PARTS[:n]) for n in range(len(PARTS))]
-    entries = codes.select(
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(n).alias("part"),
-                        F.shiftrightunsigned(_turned(F.col("code"), start), BITS - PARTS[n]).alias("pattern"),
-                        _gray_rank(_turned(F.col("code"), start)).alias("rank"),
-                        _turned(F.col("code"), start).alias("code"),
-                        F.col("id"),
-                    )
-                    for n, start in enumerate(at)
+    entries = []
+    for word in range(law.width):
+        for n, bits in enumerate(law.parts):
+            turned = _turned(F.col("code")[word], sum(law.parts[:n]))
+            entries.append(
+                F.struct(
+                    F.lit(word * len(law.parts) + n).alias("part"),
+                    F.shiftrightunsigned(turned, BITS - bits).alias("pattern"),
+                    _gray_rank(turned).alias("rank"),
+                    "code",
+                    "id",
                 )
             )
-        ).alias("e")
-    ).select("e.*")
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(
-        entries.repartitionByRange(parts, "part", "rank")
+        codes.select(F.explode(F.array(*entries)).alias("e"))
+        .select("e.*")
+        .repartitionByRange(parts, "part", "rank")
         .sortWithinPartitions("part", "rank")
-        .mapInArrow(_blocks, BLOCK),
+        .mapInArrow(_blocks(law.width), BLOCK),
         "blocks",
     )
-    inside = blocks.select("codes", "ids").mapInArrow(_links(most), EDGE)
+    found = _links(law.most, law.width)
+    inside = blocks.select("codes", "ids").mapInArrow(found, EDGE)
     x, y = blocks.alias("x"), blocks.alias("y")
-    differ = (
-        F.col("x.bits").bitwiseXOR(F.col("y.bits")).bitwiseAND(F.col("x.mask")).bitwiseAND(F.col("y.mask"))
-    )
+    differ = sum(
+        F.bit_count(
+            F.col("x.bits")[n].bitwiseXOR(F.col("y.bits")[n])
+            .bitwiseAND(F.col("x.mask")[n])
+            .bitwiseAND(F.col("y.mask")[n])
+        )
+        for n in range(law.width)
+    )
     pairs = x.join(
         y,
         (F.col("x.part") == F.col("y.part"))
         & (F.col("x.pattern") == F.col("y.pattern"))
         & (F.col("x.first") < F.col("y.first"))
-        & (F.bit_count(differ) <= most),
+        & (differ <= law.most),
     )
     across = pairs.select(
         "x.codes", "x.ids", F.col("y.codes").alias("codes2"), F.col("y.ids").alias("ids2")
-    ).mapInArrow(_links(most), EDGE)
+    ).mapInArrow(found, EDGE)
     return inside.union(across)
 
 
-def near_groups(
-    df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, most: int = 4
-) -> DataFrame:
-    """One row per document: ``id``, ``fingerprint`` (long), ``component`` (its group's smallest id)."""
-    rows = stored(
-        fingerprints(df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("_text")), "_text", words)
-        .select("id", "fingerprint"),
-        "fingerprints",
-    )
+def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", law: Law = EXACT) -> DataFrame:
+    """One row per document: ``id``, ``fingerprint`` (longs), ``component`` (its group's smallest id)."""
+    texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("_text"))
+    rows = fingerprints(texts, "_text", law.words, law.width).select("id", "fingerprint")
+    rows = stored(rows, "fingerprints")
     firsts = stored(rows.groupBy("fingerprint").agg(F.min("id").alias("id")), "firsts")
     codes = firsts.filter("id is not null").select(F.col("fingerprint").alias("code"), "id")
-    groups = components(links(codes, most))
+    groups = components(links(codes, law))
     labels = firsts.join(groups, F.col("id") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("component", "id").alias("component")
     )
