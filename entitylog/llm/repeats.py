@@ -11,15 +11,19 @@ else, in the same text or another. Texts are compared as UTF-8 bytes.
 2. Anchors are counted by gram, and by gram and stretch. A stretch that stands
    twice is repeated as a whole; a gram with a single stretch that stands once
    is not. What is left are grams with several stretches.
-3. One of each such stretch is gathered with the others of its gram, in blocks
-   of bounded size; blocks of one gram also meet in pairs, so a gram in any
-   number of rows is spread over tasks. For a block, or a pair, a suffix array
-   and its Burrows-Wheeler transform are made. Starting from the interval of all
-   suffixes, intervals are extended backwards, breadth first: an interval met
-   for the first time at depth ``l`` ends where neighbouring suffixes share
-   ``l`` bytes, so common prefixes are found by increasing length. It stops at
-   ``LEAST``: boundaries not met by then lie between suffixes that share as much.
-   Such suffixes are repeated if they stand at different places.
+3. Such a stretch is split by where its strings lie about the anchor, and each
+   part gets a core, the bytes that all its strings share: 344 bytes with parts
+   of 56 strings. Parts are counted like stretches, by core and by part, so what
+   is left are parts of one core, a few bytes apart. Cores with more than
+   ``GROUP`` different parts are split again, into parts of 8 and at last of single
+   strings, where parts of a core are equal; so no group grows without bound.
+4. The others are gathered by core, many cores together, and for each such set a
+   suffix array and its Burrows-Wheeler transform are made. Starting from the
+   interval of all suffixes, intervals are extended backwards, breadth first: an
+   interval met for the first time at depth ``l`` ends where neighbouring
+   suffixes share ``l`` bytes, so common prefixes are found by increasing length.
+   It stops at ``LEAST``: boundaries not met by then lie between suffixes that
+   share as much. Such suffixes are repeated if they stand at different places.
 
 Copies of one text share a key (its MD5) and are handled once. Null texts are
 empty; texts shorter than ``LEAST`` lose nothing. Rows of one id are documents
@@ -29,10 +33,12 @@ of their own. Output columns replace those of their name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +47,10 @@ from entitylog.llm.common import small_batches, stored
 LEAST, GRAM = 400, 64
 #: Starts of a text that are hashed at once.
 STARTS = 1 << 18
-#: Bytes whose suffixes are sorted at once, unless a single pair of blocks has more.
-TOGETHER = 1 << 20
+#: Strings about an anchor in one part, level by level, and parts of a core that are compared at once.
+STEPS, GROUP = (56, 8, 1), 512
+#: Parts whose suffixes are sorted together, on average.
+TOGETHER = 2048
 #: Bits of a packed value that hold a position.
 PLACE = 24
 
@@ -71,7 +79,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def anchors_of(data: bytes, least: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Gram hash, stretch hash, and first and last start of every anchor of a text."""
+    """Gram hash, stretch hash, first and last start, and place of every anchor of a text."""
     out: list[tuple] = []
     total = len(data) - least + 1
     width = least - gram + 1
@@ -94,66 +102,79 @@ def anchors_of(data: bytes, least: int, gram: int) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         last = np.r_[first[1:], starts] - 1
         stretch = _mixed((sums[last + least] - sums[first]) * down[first])
-        out.append((grams[at[first]].view(np.int64), stretch.view(np.int64), first + begin, last + begin))
+        out.append((grams[at[first]].view(np.int64), stretch.view(np.int64), first + begin, last + begin, at[first] + begin))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-ANCHOR = "gram long, stretch long, key binary, low long, high long"
+ANCHOR = "gram long, stretch long, key binary, low int, high int, at int"
 
 
 def _anchors(least: int, gram: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, stretches, lows, highs, counts = [], [], [], [], []
             keys, texts = batch.column(0), batch.column(1)
-            for text in texts:
-                g, s, low, high = anchors_of(text.as_buffer().to_pybytes(), least, gram)
-                grams.append(g)
-                stretches.append(s)
-                lows.append(low)
-                highs.append(high)
-                counts.append(len(g))
-            if not counts:
+            found = [anchors_of(text.as_buffer().to_pybytes(), least, gram) for text in texts]
+            if not found:
                 continue
-            columns = [np.concatenate(c) for c in (grams, stretches, lows, highs)]
-            key = keys.take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-            yield pa.RecordBatch.from_pydict(
-                {"gram": columns[0], "stretch": columns[1], "key": key, "low": columns[2], "high": columns[3]}
-            )
+            grams, stretches, *places = (np.concatenate(c) for c in zip(*found))
+            key = keys.take(pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found])))
+            places = dict(zip(("low", "high", "at"), (p.astype(np.int32) for p in places)))
+            yield pa.RecordBatch.from_pydict({"gram": grams, "stretch": stretches, "key": key, **places})
 
     return anchors
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array and ranks by prefix doubling; the last symbol must be unique."""
-    n = len(symbols)
-    base = int(symbols.max()) + 2
-    rank, length = symbols.astype(np.int64) + 1, 1
-    while length < 4 and base < 1 << 31:
-        rank = rank * base + np.r_[rank[length:], np.zeros(length, np.int64)]
-        base, length = base * base, 2 * length
+def suffix_array(symbols: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
+    """Suffixes sorted by at least ``least + 1`` symbols, by prefix doubling.
+
+    ``symbols``: below 256, and at ``ends`` what ends a stretch, which sorts first
+    and differs from all others.
+    """
+    n, m = len(symbols), len(ends)
+    letters = np.unique(symbols)
+    dense = np.zeros(257, np.int64)
+    dense[letters] = np.arange(1, len(letters) + 1)
+    codes = dense[symbols]
+    codes[ends] = 0
+    bits, spare = int(len(letters)).bit_length(), int(m).bit_length()
+    length = min((63 - spare) // bits, n)
+    left = np.repeat(ends, np.diff(np.r_[-1, ends])) - np.arange(n)
+    key = np.zeros(n, np.int64)
+    for k in range(length):
+        moved = np.zeros(n, np.int64)
+        moved[: n - k] = codes[k:]
+        moved[left < k] = 0
+        key = key << bits | moved
+    # What reaches its stretch's end is told apart by the stretch.
+    short = left < length
+    key = key << spare
+    key[short] |= np.repeat(np.arange(m), np.diff(np.r_[-1, ends]))[short]
     while True:
-        order = np.argsort(rank)
-        sorted_ = rank[order]
-        dense = np.cumsum(np.r_[True, sorted_[1:] != sorted_[:-1]])
+        order = np.argsort(key)
+        sorted_ = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = dense
-        if dense[-1] == n:
-            return order, rank - 1
-        rank = rank * (n + 1) + np.r_[rank[length:], np.zeros(length, np.int64)]
+        rank[order] = np.cumsum(np.r_[0, sorted_[1:] != sorted_[:-1]])
+        if length > least or rank[order[-1]] == n - 1:
+            return order
+        key = rank * n
+        key[: n - length] += rank[length:]
         length *= 2
 
 
-def shared(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def shared(symbols: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array, and for each of its places a number equal where ``least`` symbols are.
 
     Intervals are extended backwards through the transform, as steps of the
     suffixes to those one symbol longer.
     """
     n = len(symbols)
-    order, rank = suffix_array(symbols)
+    order = suffix_array(symbols, ends, least)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    symbols = symbols.copy()
+    symbols[ends] = np.arange(256, 256 + len(ends))
     before = order - 1
     before[before < 0] = n - 1
     # The place of the suffix that is one symbol longer, the symbol, and the way back.
@@ -193,10 +214,9 @@ def repeated_starts(
     """
     n = len(stretches)
     lengths = np.array([len(s) for s in stretches])
-    data = np.frombuffer(b"\0".join([*stretches, b""]), np.uint8).astype(np.int64) + n
+    data = np.frombuffer(b"\0".join([*stretches, b""]), np.uint8).astype(np.int64)
     ends = np.cumsum(lengths + 1) - 1
-    data[ends] = np.arange(n)
-    order, group = shared(data, least)
+    order, group = shared(data, ends, least)
     of = np.repeat(np.arange(n), lengths + 1)[order]
     place = order - (ends - lengths)[of]
     # A place in a text; what stands twice as a whole counts as two places.
@@ -214,64 +234,53 @@ def repeated_starts(
     return list(zip(stretch.tolist(), offset[:, 0].tolist(), (offset[:, 1] - 1).tolist()))
 
 
-BLOCK = "gram long, first long, size long, keys array<binary>, lows array<long>, whole array<boolean>, texts array<binary>"
-SPAN = "key binary, low long, high long"
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted stretches as blocks; a gram's are cut wherever a batch ends."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        gram = batch.column("gram").to_numpy()
-        starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-        cuts = pa.array(np.r_[starts, len(gram)], pa.int32())
-        lists = {
-            to: pa.ListArray.from_arrays(cuts, batch.column(name))
-            for to, name in (("keys", "key"), ("lows", "low"), ("whole", "whole"), ("texts", "text"))
-        }
-        lengths = np.array([len(t.as_buffer()) for t in batch.column("text")])
-        yield pa.RecordBatch.from_pydict(
-            {
-                "gram": gram[starts], "first": batch.column("stretch").to_numpy()[starts],
-                "size": np.add.reduceat(lengths, starts), **lists,
-            }
-        )
+PART = "core long, part long, whole boolean, key binary, low int, high int, at int, text binary"
+SPAN = "key binary, low int, high int"
 
 
-def _compare(least: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(least: int, step: int):
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Stretches cut by the place of their strings about the anchor, with core and content hashes."""
+        digest = xxhash.xxh64_intdigest
+        signed = lambda h: h - (1 << 64) if h >> 63 else h
         for batch in batches:
-            held, size = [], 0
-            found: list[tuple] = []
-            for row in batch.to_pylist():
-                for end in ("", "2"):
-                    if f"keys{end}" in row:
-                        held += zip(*(row[f"{c}{end}"] for c in ("keys", "lows", "whole", "texts")))
-                        size += sum(map(len, row[f"texts{end}"]))
-                if size > TOGETHER:
-                    found += _spans(held, least)
-                    held, size = [], 0
-            found += _spans(held, least)
-            if found:
-                keys, lows, highs = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())],
-                    ["key", "low", "high"],
-                )
+            out = []
+            for key, low, high, at, whole, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for n in range((at - high) // step, (at - low) // step + 1):
+                    first, last = max(low, at - n * step - step + 1), min(high, at - n * step)
+                    core = at - n * step - low
+                    content = text[first - low : last - low + least]
+                    out.append(
+                        (
+                            signed(digest(text[core : core + least - step], n)), signed(digest(content)),
+                            whole, key, first, last, at, content,
+                        )
+                    )
+            if out:
+                names = [f.split()[0] for f in PART.split(", ")]
+                types = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return parts
 
-    return compare
 
+def _compare(least: int):
+    def compare(part: pa.Table) -> pa.Table:
+        keys, lows, whole, texts = (part.column(c).to_pylist() for c in ("key", "low", "whole", "text"))
+        numbers = {k: n for n, k in enumerate(dict.fromkeys(keys))}
+        runs = repeated_starts(
+            texts, np.array([numbers[k] for k in keys]), np.array(lows, np.int64), np.array(whole, bool), least
+        )
+        stretch, low, high = zip(*runs) if runs else ((), (), ())
+        return pa.table(
+            {
+                "key": pa.array([keys[n] for n in stretch], pa.binary()),
+                "low": pa.array(low, pa.int32()),
+                "high": pa.array(high, pa.int32()),
+            }
+        )
 
-def _spans(held: list[tuple], least: int) -> list[tuple[bytes, int, int]]:
-    if len(held) < 2:
-        return []
-    keys, lows, whole, texts = zip(*held)
-    numbers = {k: n for n, k in enumerate(dict.fromkeys(keys))}
-    runs = repeated_starts(
-        list(texts), np.array([numbers[k] for k in keys]), np.array(lows, np.int64), np.array(whole, bool), least
-    )
-    return [(keys[n], low, high) for n, low, high in runs]
+    return compare
 
 
 def repeated_spans(texts: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame:
@@ -279,40 +288,51 @@ def repeated_spans(texts: DataFrame, least: int = LEAST, gram: int = GRAM) -> Da
 
     ``texts``: rows of ``key`` and binary ``text``, equal keys for equal texts.
     """
-    spark = texts.sparkSession
-    small_batches(spark)
+    small_batches(texts.sparkSession)
     long = texts.filter(F.octet_length("text") >= least)
-    anchors = stored(long.mapInArrow(_anchors(least, gram), ANCHOR), "anchors")
-    place = F.struct("key", "low", "high")
+    anchors = long.mapInArrow(_anchors(least, gram), ANCHOR)
+    # Grams first, by themselves: most stand once, and their anchors go no further.
+    grams = stored(
+        anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "grams"
+    )
+    anchors = stored(anchors.join(grams, "gram", "left_semi"), "anchors")
     stretches = stored(
-        anchors.groupBy("gram", "stretch").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")),
+        anchors.groupBy("gram", "stretch").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "low", "high", "at")).alias("place")
+        ),
         "stretches",
     )
     grams = stretches.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).filter("d > 1")
     twice = stretches.filter("n > 1").select("gram", "stretch")
-    whole = anchors.join(twice, ["gram", "stretch"], "left_semi").select("key", "low", "high")
-    open_ = stretches.join(grams, "gram", "left_semi").select(
-        "gram", "stretch", (F.col("n") > 1).alias("whole"), "at.*"
-    )
-    content = F.expr(f"substring(text, cast(low as int) + 1, cast(high - low as int) + {least})")
-    open_ = open_.join(long, "key").select("gram", "stretch", "whole", "key", "low", content.alias("text"))
-    open_ = open_.groupBy("gram", "stretch", "whole", "key", "low").agg(F.first("text").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = stored(
-        stored(open_, "open")
-        .repartitionByRange(parts, "gram", "stretch")
-        .sortWithinPartitions("gram", "stretch")
-        .mapInArrow(_blocks, BLOCK),
-        "blocks",
-    )
-    content = ["keys", "lows", "whole", "texts"]
-    inside = blocks.select(*content).mapInArrow(_compare(least), SPAN)
-    x, y = blocks.alias("x"), blocks.alias("y")
-    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.first") < F.col("y.first")))
-    across = pairs.select(
-        *(F.col(f"x.{c}") for c in content), *(F.col(f"y.{c}").alias(f"{c}2") for c in content)
-    ).mapInArrow(_compare(least), SPAN)
-    return whole.union(inside).union(across).distinct()
+    found = [anchors.join(twice, ["gram", "stretch"], "left_semi").select("key", "low", "high")]
+    left = stretches.join(grams, "gram", "left_semi").select((F.col("n") > 1).alias("whole"), "place.*")
+    content = F.expr(f"substring(text, low + 1, high - low + {least})")
+    left = left.join(long, "key").select("key", "low", "high", "at", "whole", content.alias("text"))
+    # Copies of a text give the same stretch again.
+    left = left.groupBy("key", "low", "high", "at", "whole").agg(F.first("text").alias("text"))
+    for step in STEPS:
+        parts = stored(left.mapInArrow(_parts(least, min(step, least)), PART), "parts")
+        each = stored(
+            parts.groupBy("core", "part").agg(
+                F.sum(F.when(F.col("whole"), 2).otherwise(1)).alias("n"),
+                F.min(F.struct("key", "low", "high", "at")).alias("place"),
+            ),
+            "each",
+        )
+        twice = each.filter("n > 1").select("core", "part")
+        found.append(parts.join(twice, ["core", "part"], "left_semi").select("key", "low", "high"))
+        cores = each.groupBy("core").agg(F.count(F.lit(1)).alias("d")).filter("d > 1")
+        open_ = each.join(cores, "core").select("core", "part", "d", (F.col("n") > 1).alias("whole"), "place.*")
+        place = ["core", "part", "key", "low", "high", "at"]
+        open_ = stored(open_.join(parts.select(*place, "text"), place), "open")
+        few = open_.filter(F.col("d") <= GROUP)
+        sets = max(few.count() // TOGETHER, 1)
+        few = few.withColumn("set", F.pmod(F.col("core"), F.lit(sets)))
+        found.append(few.groupBy("set").applyInArrow(_compare(least), SPAN))
+        left = open_.filter(F.col("d") > GROUP).select("key", "low", "high", "at", "whole", "text")
+        if left.isEmpty():
+            break
+    return reduce(DataFrame.union, found).distinct()
 
 
 REMOVED = "n_bytes long, n_removed long, n_spans long, kept_bytes binary"
