@@ -78,11 +78,16 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of every whole text, learned from six sevenths of the ids."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Scores of every whole text, learned from six sevenths of the ids.
+
+    Blocks are runs of rows of a file.
+    """
+    rows = table(spark, sf_dir, "documents")
+    at = F.xxhash64(F.col("_metadata.file_path"), F.expr(f"_metadata.row_index div {lm.BLOCK}"))
+    rows = rows.select("doc_id", "text", at.alias("block"))
     rows = rows.withColumn("held_out", langid.remainder("doc_id", 7) == 2)
     model = lm.train(rows.filter(~F.col("held_out")), VOCABULARY)
-    return lm.scores(rows, model, VOCABULARY)
+    return lm.scores(rows, model, VOCABULARY, block=F.col("block"))
 
 
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
