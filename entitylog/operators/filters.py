@@ -24,7 +24,7 @@ def allowed(name: Column, allow: Sequence[str] = (), deny: Sequence[str] = ()) -
     """
     passes = F.lit(True)
     if deny:
-        passes = passes & ~name.isin(list(deny))
+        passes = passes & ~F.coalesce(name.isin(list(deny)), F.lit(False))
     if allow:
         passes = passes & name.isin(list(allow))
     return passes
@@ -38,13 +38,15 @@ def allow_deny(
 ) -> DataFrame:
     """Rows whose key passes the lists; an empty list filters nothing.
 
+    A null key is on no list: never denied, and not allowed where a list is given.
+
     A table given as a list has the key column of ``df``. An empty allow table
     counts as no list, which the plan finds out by itself.
     """
     if isinstance(deny, DataFrame):
         df = df.join(deny.select(key), key, "left_anti")
     elif deny:
-        df = df.filter(~F.col(key).isin(list(deny)))
+        df = df.filter(~F.coalesce(F.col(key).isin(list(deny)), F.lit(False)))
     if isinstance(allow, DataFrame):
         listed = allow.select(key).filter(F.col(key).isNotNull())
         any_listed = listed.select(F.max(F.lit(True)).alias("any")).scalar()

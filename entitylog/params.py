@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
@@ -33,6 +34,26 @@ def boolean(text: str) -> bool:
     raise ValueError(f"not a boolean: {text!r}")
 
 
+#: Units of a duration as configuration files write them, in microseconds.
+UNITS = {
+    ("us", "micro", "micros", "microsecond", "microseconds"): 1,
+    ("", "ms", "milli", "millis", "millisecond", "milliseconds"): 1_000,
+    ("s", "second", "seconds"): 1_000_000,
+    ("m", "minute", "minutes"): 60_000_000,
+    ("h", "hour", "hours"): 3_600_000_000,
+    ("d", "day", "days"): 86_400_000_000,
+}
+
+
+def duration(text: str) -> str:
+    """A duration such as ``10s``, ``1 minute`` or ``500`` (milliseconds) as Spark takes it."""
+    found = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([a-z]*)\s*", text)
+    unit = next((size for names, size in UNITS.items() if found and found[2] in names), None)
+    if unit is None:
+        raise ValueError(f"not a duration: {text!r}")
+    return f"{round(float(found[1]) * unit)} microseconds"
+
+
 @dataclass(frozen=True)
 class Params:
     bootstrap_servers: str = "localhost:29092"

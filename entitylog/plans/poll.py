@@ -56,8 +56,15 @@ def broker_events(
 def cluster_events(
     snaps: DataFrame, rounds: Rounds, params: Params = Params(), state: DataFrame | None = None
 ) -> DataFrame:
-    """Cluster events of consecutive rounds; a listing may come in several rows."""
-    slots = snaps.select("snapshot_id", *VALUES[CLUSTER]).dropDuplicates(["snapshot_id"])
+    """Cluster events of consecutive rounds; a listing may come in several rows.
+
+    Should its rows disagree, the least counts, so that every run gives the same.
+    """
+    slots = (
+        snaps.groupBy("snapshot_id")
+        .agg(F.min(F.struct(*VALUES[CLUSTER])).alias("_slot"))
+        .select("snapshot_id", "_slot.*")
+    )
     changes = changelog.from_snapshots(
         slots, KEYS[CLUSTER], VALUES[CLUSTER], rounds, forget_absent=False, state=state
     )

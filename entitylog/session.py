@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,13 +37,13 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder path all executors can reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    session on one machine may do without that setting.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``. A session
+    on one machine may do without that setting, and gets one below its warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no shared folder")
-        shared = tempfile.mkdtemp(prefix="entitylog-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/entitylog/{name}-{uuid.uuid4().hex}"

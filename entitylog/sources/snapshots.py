@@ -9,17 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from entitylog.functions.canon import tidy
 from entitylog.schema import LONG, PARTITION, SNAPSHOT, struct
+from entitylog.session import scratch
 
 ROUND = struct(snapshot_id=LONG)
 
-# At 16 bytes a round, 1.6 MB.
-BROADCAST_ROUNDS = 100_000
-
 
 def data_path(root: str, kind: str) -> str:
     return f"{root}/{kind.lower()}/data"
@@ -59,10 +57,16 @@ def write_snapshot(df: DataFrame, root: str, kind: str, round: int) -> None:
 
 
 def write_snapshots(df: DataFrame, root: str, kind: str, rounds: tuple[int, int]) -> None:
-    """Store the rows of several rounds, a directory each, and mark all of them."""
+    """Store the rows of several rounds, a directory each, and mark all of them.
+
+    A round's directory is replaced, so a write may be tried again; a round marked
+    twice counts once.
+    """
     # Gathered by round into files of a useful size, a large round into several.
     rows = tidy(df, SNAPSHOT[kind]).hint("rebalance", "snapshot_id")
-    rows.write.mode("append").partitionBy("snapshot_id").parquet(data_path(root, kind))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "snapshot_id"
+    ).parquet(data_path(root, kind))
     first, last = rounds
     marks = df.sparkSession.range(first, last + 1, 1, 1).toDF("snapshot_id")
     marks.write.mode("append").json(rounds_path(root, kind))
@@ -75,21 +79,26 @@ def round_bounds(df: DataFrame, round: str = "snapshot_id") -> tuple[int, int] |
 
 
 def number_rounds(snaps: DataFrame, listed: DataFrame, round: str = "snapshot_id") -> DataFrame:
-    """Rows with ``round_no`` 0, 1, ... for rounds whose ids are not consecutive.
+    """All rows with ``round_no`` 0, 1, ... for rounds whose ids are not consecutive.
 
     ``listed`` has one row per poll, also for polls that listed nothing. Ids are
-    sorted and numbered in parallel, however many there are. Up to
-    ``BROADCAST_ROUNDS`` of them are sent to every task, so that a round with
-    any share of the rows is not gathered by its id; beyond that it is a join
-    whose skew Spark splits at run time.
+    sorted in ranges and numbered in each; the ranges' few counts are added up.
+    The ranges are stored, so that all that is made of them agrees. Rows of rounds
+    that are not listed, or have no id, get no number: ``round_no`` is null.
     """
-    ids = listed.select(round).distinct()
-    numbered = ids.sort(round).rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    schema = struct(**{round: listed.schema[round].dataType, "round_no": LONG})
-    table = listed.sparkSession.createDataFrame(numbered, schema)
-    if ids.count() <= BROADCAST_ROUNDS:
-        table = F.broadcast(table)
-    return snaps.join(table, round)
+    spark = listed.sparkSession
+    ids = listed.select(round).filter(F.col(round).isNotNull()).distinct()
+    path = scratch(spark, "rounds")
+    ids.repartitionByRange(round).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ids = spark.read.parquet(path)
+    whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(whole), F.lit(0)).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(round)) - 1
+    numbered = ids.withColumn("_inside", inside).join(before, "_part")
+    numbered = numbered.select(round, (F.col("_before") + F.col("_inside")).cast("long").alias("round_no"))
+    return snaps.join(numbered, round, "left")
 
 
 def topic_names(snap: DataFrame, name: str = "name") -> DataFrame:

@@ -1,24 +1,29 @@
 """The poll loop as a stream: completed rounds in, events and state out.
 
 The stream follows the table of completed rounds, not the snapshot files, so a
-round is only ever seen whole, and an empty round is seen too.
+round is only ever seen whole, and an empty round is seen too. A new row there
+only wakes it up: each batch reads the table itself and takes the rounds that
+follow the last one without a gap. Rounds beyond a gap wait until it is filled.
 
 Layout under ``out``: ``log`` (a table log, one directory per kind and batch),
-``state/<kind>/batch=<n>``, ``progress/<kind>/batch=<n>`` and ``checkpoints``.
+``state/<kind>/batch=<n>`` for batches that had rounds, ``bound/<kind>/batch=<n>``
+(how far a batch goes, written before it starts, so that it goes as far when
+tried again), ``progress/<kind>/batch=<n>`` and ``checkpoints``.
 Every directory belongs to one batch and is replaced when that batch is tried
 again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from entitylog.operators.state import apply_events
-from entitylog.params import Params
+from entitylog.params import Params, duration
 from entitylog.plans.poll import EVENTS
-from entitylog.schema import STATE, TOPIC
+from entitylog.schema import LONG, STATE, TOPIC, struct
 from entitylog.sources.log import append_log, read_batch
 from entitylog.sources.snapshots import ROUND, read_snapshots, rounds_path
 
@@ -35,41 +40,86 @@ def progress_path(out: str, kind: str) -> str:
     return f"{out}/progress/{kind.lower()}"
 
 
+PROGRESS = struct(last=LONG, at=LONG)
+
+
+def _progress(spark: SparkSession, out: str, kind: str, batch: int) -> tuple[int | None, int | None]:
+    row = spark.read.schema(PROGRESS).parquet(f"{progress_path(out, kind)}/batch={batch}").first()
+    return row["last"], row["at"]
+
+
 def read_progress(spark: SparkSession, out: str, kind: str, batch: int) -> int | None:
     """Last round that was in the log after a batch: one row to the driver."""
-    row = spark.read.schema("last bigint").parquet(f"{progress_path(out, kind)}/batch={batch}").first()
-    return row["last"]
+    return _progress(spark, out, kind, batch)[0]
 
 
 def read_state(spark: SparkSession, out: str, kind: str, batch: int) -> DataFrame:
-    return spark.read.schema(STATE[kind]).parquet(state_path(out, kind, batch))
+    """State after a batch, stored by it or by the last one before that had rounds."""
+    at = _progress(spark, out, kind, batch)[1]
+    if at is None:
+        return spark.createDataFrame([], STATE[kind])
+    return spark.read.schema(STATE[kind]).parquet(state_path(out, kind, at))
+
+
+def _fresh(spark: SparkSession, root: str, kind: str, last: int | None) -> tuple[int, int] | None:
+    """First and last of the rounds that follow ``last`` without a gap: one row to the driver.
+
+    Before anything was read, the least round marked is the first.
+    """
+    ids = spark.read.schema(ROUND).json(rounds_path(root, kind)).distinct()
+    if last is not None:
+        ids = ids.filter(F.col("snapshot_id") > last)
+    first = ids.agg(F.min("snapshot_id")).first()[0] if last is None else last + 1
+    if first is None:
+        return None
+    # Rounds that wait are few: those marked since the last batch.
+    place = F.row_number().over(Window.orderBy("snapshot_id"))
+    run = ids.withColumn("_at", F.col("snapshot_id") - place).filter(F.col("_at") == first - 1)
+    end = run.agg(F.max("snapshot_id")).first()[0]
+    return None if end is None else (first, end)
+
+
+def _one(spark: SparkSession, path: str, **values: int | None) -> None:
+    columns = [F.lit(v).cast("bigint").alias(k) for k, v in values.items()]
+    spark.range(1).select(*columns).write.mode("overwrite").parquet(path)
+
+
+def _bound(
+    spark: SparkSession, root: str, out: str, kind: str, batch: int, last: int | None
+) -> tuple[int, int] | None:
+    """The rounds of a batch, as found when it was first tried."""
+    path = f"{out}/bound/{kind.lower()}/batch={batch}"
+    try:
+        row = spark.read.schema(struct(first=LONG, last=LONG)).parquet(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    if row is None:
+        row = _fresh(spark, root, kind, last) or (None, None)
+        _one(spark, path, first=row[0], last=row[1])
+    return None if row[0] is None else (row[0], row[1])
 
 
 def _step(root: str, out: str, kind: str, params: Params):
     def step(listed: DataFrame, batch: int) -> None:
         spark = listed.sparkSession
-        state, last = None, None
+        state, last, at = None, None, None
         if batch > 0:
-            state = read_state(spark, out, kind, batch - 1)
-            last = read_progress(spark, out, kind, batch - 1)
-        fresh = listed if last is None else listed.filter(F.col("snapshot_id") > last)
-        lo, hi, n = fresh.agg(
-            F.min("snapshot_id"), F.max("snapshot_id"), F.countDistinct("snapshot_id")
-        ).first()
-        known = state if state is not None else spark.createDataFrame([], STATE[kind])
-        if n:
-            if hi - lo + 1 != n or (last is not None and lo != last + 1):
-                raise ValueError(f"{kind}: rounds {lo}..{hi} after {last} are not all there")
-            snaps = read_snapshots(spark, root, kind, (lo, hi))
-            events = EVENTS[kind](snaps, (lo, hi), params, state)
+            last, at = _progress(spark, out, kind, batch - 1)
+            state = read_state(spark, out, kind, batch - 1) if at is not None else None
+        rounds = _bound(spark, root, out, kind, batch, last)
+        if rounds:
+            snaps = read_snapshots(spark, root, kind, rounds)
+            events = EVENTS[kind](snaps, rounds, params, state)
             # Few of the compared rows become events: gather them into few files.
             append_log(events.hint("rebalance"), log_path(out), writer=kind.lower(), batch=batch)
+            known = state if state is not None else spark.createDataFrame([], STATE[kind])
             # Read back what was written, rather than computing it again.
             known = apply_events(known, read_batch(spark, log_path(out), kind.lower(), batch), kind)
-        known.write.mode("overwrite").parquet(state_path(out, kind, batch))
-        spark.range(1).select(F.lit(hi if n else last).cast("bigint").alias("last")).write.mode(
-            "overwrite"
-        ).parquet(f"{progress_path(out, kind)}/batch={batch}")
+            known.write.mode("overwrite").parquet(state_path(out, kind, batch))
+            last, at = rounds[1], batch
+        _one(spark, f"{progress_path(out, kind)}/batch={batch}", last=last, at=at)
 
     return step
 
@@ -89,7 +139,7 @@ def snapshots_to_log(
     there and ends.
     """
     interval = params.topic_poll_interval if kind == TOPIC else params.cluster_poll_interval
-    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    trigger = {"availableNow": True} if once else {"processingTime": duration(interval)}
     return (
         spark.readStream.schema(ROUND)
         .option("maxFilesPerTrigger", rounds_per_batch)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import random
 
-import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from rows import description, events, node, snapshot, table, topic
 
@@ -152,13 +150,31 @@ def test_brokers_and_cluster_are_polled_too(spark, tmp_path):
     ]
 
 
-def test_a_missing_round_stops_the_poll_stream(spark, tmp_path):
+def test_rounds_beyond_a_gap_wait_until_it_is_filled(spark, tmp_path):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for r in (0, 2):
-        snapshots.write_snapshot(snapshot(spark, TOPIC, *rounds_of(spark)[r]), root, TOPIC, r)
-    query = poll.snapshots_to_log(spark, root, out, TOPIC, ALL, once=True)
-    with pytest.raises(StreamingQueryException, match="not all there"):
-        query.awaitTermination()
+    rounds = rounds_of(spark, 5)
+
+    def run(*marked):
+        for r in marked:
+            snapshots.write_snapshot(snapshot(spark, TOPIC, *rounds[r]), root, TOPIC, r)
+        poll.snapshots_to_log(spark, root, out, TOPIC, ALL, once=True).awaitTermination()
+        return {r.round for r in logs.read_log(spark, poll.log_path(out)).select("round").distinct().collect()}
+
+    assert run(0, 2) <= {0}
+    assert run(4) <= {0}
+    run(1)
+    assert max(run(3)) == 4
+    rows = [row for listed in rounds.values() for row in listed]
+    whole = poll_plans.topic_events(snapshot(spark, TOPIC, *rows), (0, 4), ALL)
+    columns = ["round", "seq", "entity_id", "op", "op_tag"]
+    assert table(logs.read_log(spark, poll.log_path(out)), *columns) == table(whole, *columns)
+
+
+def test_snapshots_can_be_written_again(spark, tmp_path):
+    rows = snapshot(spark, TOPIC, *rounds_of(spark, 2)[0])
+    for _ in range(2):
+        snapshots.write_snapshots(rows, str(tmp_path), TOPIC, (0, 1))
+    assert snapshots.read_snapshots(spark, str(tmp_path), TOPIC).count() == rows.count()
 
 
 def test_streams_can_be_stopped(spark, tmp_path):

@@ -150,3 +150,10 @@ def test_snapshot_round_trip(spark, tmp_path):
     back = snapshots.read_snapshots(spark, root, BROKER)
     assert table(back, "snapshot_id", "id", "node.host") == [(5, "0", "localhost")]
     assert snapshots.read_snapshots(spark, root, BROKER, (6, 6)).count() == 0
+
+
+def test_durations_in_their_usual_spellings():
+    from entitylog.params import duration
+
+    spelled = {"10s": 10_000_000, "30 seconds": 30_000_000, "1m": 60_000_000, "500ms": 500_000, "250": 250_000, "1.5 h": 5_400_000_000}
+    assert {text: duration(text) for text in spelled} == {text: f"{n} microseconds" for text, n in spelled.items()}
