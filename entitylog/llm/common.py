@@ -81,7 +81,7 @@ def running(
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph given as columns ``a`` and ``b``.
 
-    Returns one row per node with an edge to another node: ``node`` and
+    Returns one row per node that reaches a smaller one: ``node`` and
     ``component``, the smallest node it reaches. Edges with a null end are
     ignored. Large and small stars are made in turn until nothing changes, a
     number of rounds that grows with the logarithm of the longest path. Every

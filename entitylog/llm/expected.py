@@ -23,7 +23,7 @@ verdict as (select *, len(w) < 20 or 100 * n_repeat_words > 30 * len(w) as base_
 hosts as (select source, count(*) as n, count(*) filter (base_failed) as k from verdict group by 1),
 mean as (select sum(k) / sum(n) as m from hosts),
 spread as (select m, sum(n * pow(k / n - m, 2)) / sum(n) as v from hosts, mean group by m),
-prior as (select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 2.0), 1e6) else 1e6 end as a from spread),
+prior as (select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 20.0), 1e6) else 1e6 end as a from spread),
 rates as (select source, (k + m * a) / (n + a) > {quality.MAX_RATE} as host_failed from hosts, prior)
 """
 

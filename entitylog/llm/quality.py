@@ -3,8 +3,8 @@
 ``measure`` counts words, symbols, repeated lines and repeated eight-word
 windows of every text. ``judge`` adds up the failures of each host, shrinks the
 hosts' rates towards the rate of all with a beta prior fitted to the hosts
-themselves, and rejects hosts whose shrunk rate is too high, so a host is never
-rejected for a handful of documents.
+themselves, and rejects hosts whose shrunk rate is too high, so a handful of
+documents hardly moves a host from the rate of all.
 
 Null texts have no words, and fail. Null hosts are one host. Columns with a
 measure's name are replaced. Everything is built-in DataFrame functions.
@@ -75,7 +75,7 @@ def hosts(measured: DataFrame, host: str = "source", max_rate: float = MAX_RATE)
     """One row per host: ``documents``, ``failures``, shrunk ``rate`` and ``host_failed``.
 
     The prior's mean is the rate of all documents; its weight follows from how
-    far the hosts' rates spread (method of moments), between 2 and a million
+    far the hosts' rates spread (method of moments), between 20 and a million
     documents. The prior's two sums are all that comes to the driver.
     """
     each = stored(
@@ -88,7 +88,7 @@ def hosts(measured: DataFrame, host: str = "source", max_rate: float = MAX_RATE)
     mean = failures / total if total else 0.0
     off = F.col("failures") / F.col("documents") - F.lit(mean)
     spread = (each.agg(F.sum(F.col("documents") * off * off)).first()[0] or 0.0) / (total or 1)
-    weight = min(max(mean * (1 - mean) / spread - 1, 2.0), 1e6) if spread > 0 else 1e6
+    weight = min(max(mean * (1 - mean) / spread - 1, 20.0), 1e6) if spread > 0 else 1e6
     rate = (F.col("failures") + F.lit(mean * weight)) / (F.col("documents") + F.lit(weight))
     return stored(
         each.withColumn("rate", rate).withColumn("host_failed", F.col("rate") > max_rate), "verdicts"
