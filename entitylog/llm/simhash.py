@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitylog.llm.common import components, small_batches, stored
@@ -109,19 +109,6 @@ def fingerprints(
     return df.withColumn(into, of(text))
 
 
-def _turned(code: Column, bits: int) -> Column:
-    if not bits:
-        return code
-    return F.shiftleft(code, bits).bitwiseOR(F.shiftrightunsigned(code, BITS - bits))
-
-
-def _gray_rank(code: Column) -> Column:
-    for shift in (1, 2, 4, 8, 16, 32):
-        code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
-    # As a signed value that sorts like the unsigned one.
-    return code.bitwiseXOR(F.lit(-(1 << 63)))
-
-
 BLOCK = "part int, pattern long, first long, mask array<long>, bits array<long>, codes binary, ids binary"
 EDGE = "a long, b long"
 
@@ -230,23 +217,28 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
     ``codes``: a stored table of distinct fingerprints ``code``, each with its long ``id``.
     """
     small_batches(codes.sparkSession)
-    entries = []
-    for word in range(law.width):
-        for n, bits in enumerate(law.parts):
-            turned = _turned(F.col("code")[word], sum(law.parts[:n]))
-            entries.append(
-                F.struct(
-                    F.lit(word * len(law.parts) + n).alias("part"),
-                    F.shiftrightunsigned(turned, BITS - bits).alias("pattern"),
-                    _gray_rank(turned).alias("rank"),
-                    "code",
-                    "id",
-                )
-            )
+    places = [
+        F.struct(
+            F.lit(word * len(law.parts) + n).alias("part"),
+            F.lit(word).alias("word"),
+            F.lit(sum(law.parts[:n])).alias("start"),
+            F.lit(bits).alias("bits"),
+        )
+        for word in range(law.width)
+        for n, bits in enumerate(law.parts)
+    ]
+    entries = codes.select("code", "id", F.explode(F.array(*places)).alias("p")).select("code", "id", "p.*")
+    entries = entries.withColumn(
+        "rank", F.expr("shiftleft(code[word], start) | shiftrightunsigned(code[word], 64 - start)")
+    ).withColumn("pattern", F.expr("shiftrightunsigned(rank, 64 - bits)"))
+    # Step by step, as a single expression would double with every step.
+    for shift in (1, 2, 4, 8, 16, 32):
+        entries = entries.withColumn("rank", F.expr(f"rank ^ shiftrightunsigned(rank, {shift})"))
+    # As a signed value that sorts like the unsigned one.
+    entries = entries.withColumn("rank", F.col("rank").bitwiseXOR(F.lit(-(1 << 63))))
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(
-        codes.select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.*")
+        entries.select("part", "pattern", "rank", "code", "id")
         .repartitionByRange(parts, "part", "rank")
         .sortWithinPartitions("part", "rank")
         .mapInArrow(_blocks(law.width), BLOCK),
