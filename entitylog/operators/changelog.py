@@ -11,6 +11,7 @@ failed lookup) say nothing about their key: no change, and no delete either.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,10 +20,17 @@ from pyspark.sql.types import StructType
 from entitylog.functions.canon import same
 from entitylog.schema import CREATED, DELETED, SEQ, UPDATED
 
-# Rounds per window group. One key's rounds are split into groups of at most
-# this many rows, whatever share of the table the key holds. Spark buffers up to
-# 4096 rows of a window group in memory.
-CHUNK = 2048
+
+def keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a null among ``keys``. They are no entity: every comparison here
+    leaves them out, so report them with this (for rounds, name that column too)."""
+    return df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.lit(False)))
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def _value_type(df: DataFrame, values: Sequence[str]) -> StructType:
@@ -31,12 +39,12 @@ def _value_type(df: DataFrame, values: Sequence[str]) -> StructType:
 
 def created(state: DataFrame, snap: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Snapshot rows whose key is not in the state."""
-    return snap.join(state.select(*keys), list(keys), "left_anti")
+    return _keyed(snap, keys).join(state.select(*keys), list(keys), "left_anti")
 
 
 def deleted(state: DataFrame, snap: DataFrame, keys: Sequence[str]) -> DataFrame:
     """State keys that the snapshot does not list (pass it unfiltered)."""
-    return state.select(*keys).join(snap.select(*keys), list(keys), "left_anti")
+    return _keyed(state.select(*keys), keys).join(snap.select(*keys), list(keys), "left_anti")
 
 
 def known(state: DataFrame, snap: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,12 +79,12 @@ def diff(
     join only has to follow the snapshot's side.
     """
     dtype = _value_type(snap, values)
-    new = snap.select(
+    new = _keyed(snap, keys).select(
         *keys,
         F.struct(*values).alias("_new"),
         (F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))).alias("_ok"),
     )
-    old = state.select(*keys, F.struct(*values).alias("_old"))
+    old = _keyed(state, keys).select(*keys, F.struct(*values).alias("_old"))
     both = new.join(old, list(keys), "full" if forget_absent else "left")
     op = (
         F.when(F.col("_ok").isNull(), DELETED)
@@ -154,7 +162,7 @@ def from_snapshots(
     eligible: Column | None = None,
     forget_absent: bool = True,
     state: DataFrame | None = None,
-    chunk: int = CHUNK,
+    chunk: int | None = None,
 ) -> DataFrame:
     """All changes of many consecutive rounds in one job.
 
@@ -163,9 +171,11 @@ def from_snapshots(
     per key and round. ``state`` is what was known before the first round. The
     result equals applying ``diff`` round by round.
 
-    Rows are shuffled once, by key and chunk of rounds. Only if the rounds span
-    several chunks, one row per key and chunk is shuffled again to carry the
-    last known value from one chunk into the next.
+    Rows are shuffled once, by key. For keys with very many rounds, ``chunk``
+    splits each key's rounds into window groups of so many: rows are then
+    shuffled by key and chunk, and one row per key and chunk once more, to carry
+    the last known value from one chunk into the next. Without keys there is one
+    slot, so its rounds are one group unless they are split.
     """
     first, last = rounds
     dtype = _value_type(snaps, values)
@@ -183,15 +193,14 @@ def from_snapshots(
         placed = placed.union(
             state.select(*keys, F.lit(start).cast("long"), F.struct(*values).cast(dtype))
         )
-    chunked = last - start >= chunk
+    chunked = chunk is not None
     group = list(keys)
-    if chunked or not keys:
+    if chunked:
         placed = placed.withColumn("_chunk", F.expr(f"(_r - {start}) div {chunk}"))
         group = [*keys, "_chunk"]
     # Said here, so that Spark need not say it for one of the two uses below
-    # only and shuffle twice: rows without a key are no entity.
-    for column in [*group, "_r"]:
-        placed = placed.filter(F.col(column).isNotNull())
+    # only and shuffle twice.
+    placed = _keyed(placed, [*group, "_r"])
     if chunked:
         placed = placed.repartition(*group)
 

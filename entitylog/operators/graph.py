@@ -55,6 +55,11 @@ def replica_rows(partitions: DataFrame) -> DataFrame:
     )
 
 
+def isr_rows(partitions: DataFrame) -> DataFrame:
+    """One row per member in sync, also of members that are no replicas."""
+    return partitions.select("topic", "partition_id", F.explode("isr.id").alias("broker"))
+
+
 # Ids.
 
 
@@ -81,6 +86,17 @@ def replica_entities(replicas: DataFrame) -> DataFrame:
     return _entities(replicas, "TopicPartitionReplica", replica_id())
 
 
+def held_entities(replicas: DataFrame) -> DataFrame:
+    """Topics, partitions and replicas of flat replica rows, in one pass."""
+    ids = {
+        "Topic": F.col("topic").cast("string"),
+        "TopicPartition": partition_id(),
+        "TopicPartitionReplica": replica_id(),
+    }
+    each = F.create_map(*[column for kind, id in ids.items() for column in (F.lit(kind), id)])
+    return replicas.select(F.explode(each).alias("entity_type", "entity_id")).distinct()
+
+
 def cluster_entities(cluster: DataFrame, id: str = "id") -> DataFrame:
     return _entities(cluster, "Cluster", F.col(id))
 
@@ -114,9 +130,19 @@ def partition_replicas(replicas: DataFrame) -> DataFrame:
     return _relations(replicas, "replicas", partition_id(), replica_id())
 
 
-def partition_isr(replicas: DataFrame) -> DataFrame:
-    in_sync = replicas.filter("in_sync")
-    return _relations(in_sync, "isr", partition_id(), replica_id())
+def partition_isr(members: DataFrame) -> DataFrame:
+    return _relations(members, "isr", partition_id(), replica_id())
+
+
+def replica_roles(replicas: DataFrame) -> DataFrame:
+    """Who is in sync and who leads, of replica rows with both flags, in one pass."""
+    roles = F.filter(
+        F.array(F.when(F.col("in_sync"), "isr"), F.when(F.col("leader"), "leader")), lambda r: r.isNotNull()
+    )
+    found = replicas.withColumn("_role", F.explode(roles))
+    return found.select(
+        F.col("_role").alias("name"), partition_id().alias("source"), replica_id().alias("destination")
+    )
 
 
 def replica_brokers(replicas: DataFrame) -> DataFrame:
@@ -179,7 +205,7 @@ def from_state(
     relations = [
         topic_partitions(partitions),
         partition_replicas(replicas),
-        partition_isr(replicas),
+        partition_isr(isr_rows(partitions)),
         replica_brokers(replicas),
         cluster_brokers(brokers, cluster),
         member_brokers(racked, "rack"),

@@ -9,10 +9,13 @@ with log as (
     case user_id % 3 when 0 then 'CLUSTER' when 1 then 'BROKER' else 'TOPIC' end as entity_type
   from events),
 valid_log as (select * from log where entity_type = 'TOPIC' or op <> 'Deleted'),
-prev as (select o_custkey as k, count(*) as n, max(o_orderpriority) as p from orders
-  where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1995-04-01' group by 1),
-cur as (select o_custkey as k, count(*) as n, max(o_orderpriority) as p from orders
-  where o_orderdate >= timestamp '1995-04-01' and o_orderdate < timestamp '1995-07-01' group by 1),
+dated as (select *, cast((year(o_orderdate) - 1995) * 4 + quarter(o_orderdate) - 1 as bigint) as q from orders),
+cut as (select (min(q) + max(q)) // 2 as middle from dated),
+prev as (select o_custkey as k, count(*) as n, max(o_orderpriority) as p from dated
+  where q < (select middle from cut) group by 1),
+cur as (select o_custkey as k, count(*) as n, max(o_orderpriority) as p from dated
+  where q >= (select middle from cut) group by 1),
+ordered as (select o_custkey as k, count(*) as n, max(o_orderpriority) as p from orders group by 1),
 broker_all as (select s_suppkey as id, s_name as host, s_nationkey as port,
     case when s_suppkey % 5 = 0 then null else n_name end as rack,
     cast(floor(s_acctbal / 1000) as bigint) as tier, n_regionkey as region
@@ -66,7 +69,16 @@ select k, r + 1, 'Deleted' from (select *, lead(r) over (partition by k order by
 where (nr is null or nr > r + 1) and r < (select max(r) from snap)
 """
 
+STEPS = f"""
+, changes as ({MULTI_ROUND})
+select c.k, c.r, s.seq, s.op, c.op as op_tag, case when s.seq = 2 then snap.n end as n
+from changes c join (values ('Deleted', 0, 'Deleted'), ('Created', 1, 'Created'), ('Created', 2, 'Updated'),
+    ('Updated', 2, 'Updated')) s(change, seq, op) on c.op = s.change
+  left join snap on snap.k = c.k and snap.r = c.r
+"""
+
 STATEMENTS = {
+    "stream_snapshots_to_log": STEPS,
     "topics_current": """
 select k, o, value from (select *, row_number() over (partition by k order by o desc) as rn
   from log where op <> 'Created') t where rn = 1 and op = 'Updated'
@@ -120,11 +132,19 @@ union all select cur.k, 2, 'Updated' from cur join prev on cur.k = prev.k
   where cur.p in ('1-URGENT', '5-LOW') and (cur.n is distinct from prev.n or cur.p is distinct from prev.p)
 """,
     "produced_counters": """
-select op_tag, cast(count(*) as double) as total from (
-  select 'Created' as op_tag from cur where k not in (select k from prev)
-  union all select 'Created' from cur where k not in (select k from prev)
-  union all select 'Updated' from cur join prev using (k) where cur.n <> prev.n or cur.p <> prev.p
-  union all select 'Deleted' from prev where k not in (select k from cur)) t group by 1
+select entity_type, op_tag, cast(count(*) as double) as total from (
+  select 'TOPIC' as entity_type, 'Created' as op_tag from cur where k not in (select k from prev)
+  union all select 'TOPIC', 'Created' from cur where k not in (select k from prev)
+  union all select 'TOPIC', 'Updated' from cur join prev using (k) where cur.n <> prev.n or cur.p <> prev.p
+  union all select 'TOPIC', 'Deleted' from prev where k not in (select k from cur)
+  union all select 'BROKER', case when p.id is null then 'Created' else 'Updated' end
+    from broker_cur c left join broker_prev p on c.id = p.id
+    where p.id is null or c.host is distinct from p.host or c.port is distinct from p.port
+      or c.rack is distinct from p.rack or c.tier is distinct from p.tier
+  union all select 'CLUSTER', case when b.id is null then 'Created' else 'Updated' end
+    from controllers a left join controllers b on b.r = a.r - 1
+    where a.r = (select max(r) from controllers)
+      and (a.id is distinct from b.id or a.controller is distinct from b.controller)) t group by 1, 2
 """,
     "broker_diff": """
 select cast(c.id as varchar) as id, case when p.id is null then 'Created' else 'Updated' end as op, c.host
@@ -144,8 +164,8 @@ where a.r = (select max(r) from controllers)
 """,
     "failed_lookups": """
 select c_custkey, case when c_acctbal >= 5000 then 'Updated' else 'Created' end as op, coalesce(p, '') as p
-from customer left join cur on c_custkey = k
-where coalesce(n, 0) <= 1 and (c_acctbal < 5000 or p is not null)
+from customer left join ordered on c_custkey = k
+where coalesce(n, 0) % 2 = 0 and (c_acctbal < 5000 or p is not null)
 """,
     "multi_round_changelog": MULTI_ROUND,
     "multi_round_chunked": MULTI_ROUND,
@@ -187,7 +207,7 @@ changes as (
   union all
   select k, r + 1, 'Deleted' from (select *, lead(r) over (partition by k order by r) as nr from daily) t
   where (nr is null or nr > r + 1) and r < (select max(r) from daily))
-select k, op, count(*) as n_events, max(r) as last_round from changes group by 1, 2
+select k, r as round_no, op from changes
 """,
     "snapshot_sizes": """
 select r, count(*) as n_keys from snap group by 1
@@ -201,7 +221,7 @@ where c_mktsegment not in ('FURNITURE') and c_mktsegment in ('FURNITURE', 'BUILD
 """,
     "allow_deny_tables": """
 select c_custkey, c_nationkey from customer
-where c_custkey in (select k from cur)
+where c_custkey in (select o_custkey from orders)
   and c_nationkey not in (select n_nationkey from nation where n_regionkey = 1)
 """,
     "csv_lists": """
@@ -220,7 +240,7 @@ union all
 select cast(region as bigint), cast(id + 1000000 as varchar), host, rack from broker_all
 """,
     "config_enrich": """
-select c_custkey, coalesce(t.p, '') as priority from customer left join cur t on c_custkey = t.k
+select c_custkey, coalesce(t.p, '') as priority from customer left join ordered t on c_custkey = t.k
 """,
     "resource_configs": """
 select c_custkey, config_k from customer left join (
@@ -245,24 +265,22 @@ select o_orderkey as name, o_orderpriority, n_partitions
 from orders join (select topic, count(*) as n_partitions from part_rows group by 1) t on o_orderkey = topic
 """,
     "envelope_keys": """
-select entity_type || '-' || cast(k as varchar) as record_key, count(*) as n from log group by 1
+select entity_type || '-' || cast(k as varchar) as record_key, o from log
 """,
     "route_topics": """
 select k, o, op from log where entity_type = 'TOPIC'
 """,
     "merged_kinds": """
-select entity_type as kind, op, count(*) as n from log group by 1, 2
+select entity_type as kind, op, o, cast(k as varchar) as id from log
 """,
     "quarantine": """
-, seen as (select case when o % 13 = 0 then 'CLUSTER' else entity_type end as label,
+, seen as (select o, case when o % 13 = 0 then 'CLUSTER' else entity_type end as label,
     case when o % 11 = 0 then 'no payload'
       when entity_type <> 'TOPIC' and op = 'Deleted' then 'no such operation' end as problem,
     o % 13 = 0 and entity_type <> 'CLUSTER' as mislabelled from log)
-select problem, label as entity_type, count(*) as n from (
-  select 'valid' as problem, label from seen where problem is null
-  union all select coalesce(problem, 'entity type differs'), label from seen
-    where problem is not null or mislabelled) t
-group by 1, 2
+select 'valid' as problem, label as entity_type, o from seen where problem is null
+union all select coalesce(problem, 'entity type differs'), label, o from seen
+  where problem is not null or mislabelled
 """,
     "codec_json": CODEC,
     "codec_protobuf": CODEC,
@@ -271,8 +289,12 @@ group by 1, 2
 select entity_type || '-' || cast(k as varchar) as key, entity_type as header, count(*) as n, max(o) as last
 from valid_log group by 1, 2
 """,
-    "table_log": """
-select entity_type, op, cast(count(*) as double) as total from valid_log group by 1, 2
+    "table_log": CODEC,
+    "stored_topics": TOPICS,
+    "sql_events": """
+select o, cast(k as varchar) as entity_id, op, cast(k as varchar) as id,
+  case when entity_type = 'CLUSTER' then 'host-' || cast(o % 10 as varchar) end as host
+from log where (entity_type = 'TOPIC' and op = 'Created') or (entity_type = 'CLUSTER' and op = 'Updated')
 """,
     "described_created": """
 select cast(log.k as varchar) as name, log.o, 'Updated' as op, 'Created' as op_tag, 2 as seq,
@@ -286,12 +308,11 @@ select json_extract_string(props, '$.k') as config_k, count(*) as n_topics,
 from topics_now group by 1
 """,
     "graph_entities": """
-select entity_type, count(*) as n from (
-  select distinct 'Topic' as entity_type, cast(topic as varchar) as id from part_rows
+select distinct 'Topic' as entity_type, cast(topic as varchar) as entity_id from part_rows
   union all select 'TopicPartition', cast(topic as varchar) || '-' || cast(partition_id as varchar) from part_rows
   union all select 'TopicPartitionReplica', cast(topic as varchar) || '-' || cast(partition_id as varchar) || '-' || cast(broker as varchar) from replica_rows
   union all select 'Broker', cast(id as varchar) from broker_all
-  union all select distinct 'Rack', rack from broker_all where rack is not null) t group by 1
+  union all select distinct 'Rack', rack from broker_all where rack is not null
 """,
     "graph_relations": """
 select 'replicas' as name, cast(topic as varchar) || '-' || cast(partition_id as varchar) as source,
@@ -322,21 +343,20 @@ union all
 select 'leader', source, destination from ids where broker = leader
 """,
     "graph_from_state": """
-, counts as (select (select count(*) from topics_now) as topics, (select count(*) from brokers_now) as brokers,
-    (select count(*) from cluster_now) as clusters,
-    (select count(distinct o % 3) from brokers_now where o % 3 <> 0) as racks,
-    (select count(*) from brokers_now where o % 3 <> 0) as racked)
-select 'entity' as what, 'Topic' as name, topics as n from counts
-union all select 'entity', 'TopicPartition', topics from counts
-union all select 'entity', 'TopicPartitionReplica', topics from counts
-union all select 'entity', 'Broker', brokers from counts
-union all select 'entity', 'Cluster', clusters from counts
-union all select 'entity', 'Rack', racks from counts
-union all select 'relation', 'partitions', topics from counts
-union all select 'relation', 'replicas', topics from counts
-union all select 'relation', 'isr', topics from counts
-union all select 'relation', 'broker', topics from counts
-union all select 'relation', 'brokers', clusters * brokers + racked from counts
+, held as (select cast(k as varchar) as topic, cast(o % 7 as varchar) as part, cast(o % 10 as varchar) as broker from topics_now),
+ids as (select topic, topic || '-' || part as part, topic || '-' || part || '-' || broker as replica, broker from held)
+select 'entity' as what, 'Topic' as name, topic as source, cast(null as varchar) as destination from ids
+union all select 'entity', 'TopicPartition', part, null from ids
+union all select 'entity', 'TopicPartitionReplica', replica, null from ids
+union all select 'entity', 'Broker', cast(k as varchar), null from brokers_now
+union all select 'entity', 'Cluster', cast(k as varchar), null from cluster_now
+union all select distinct 'entity', 'Rack', 'rack-' || cast(o % 3 as varchar), null from brokers_now where o % 3 <> 0
+union all select 'relation', 'partitions', topic, part from ids
+union all select 'relation', 'replicas', part, replica from ids
+union all select 'relation', 'isr', part, replica from ids
+union all select 'relation', 'broker', replica, broker from ids
+union all select 'relation', 'brokers', cast(c.k as varchar), cast(b.k as varchar) from cluster_now c, brokers_now b
+union all select 'relation', 'brokers', 'rack-' || cast(o % 3 as varchar), cast(k as varchar) from brokers_now where o % 3 <> 0
 """,
     "rack_brokers": """
 select 'brokers' as name, rack as source, cast(id as varchar) as destination from broker_all where rack is not null
@@ -349,7 +369,7 @@ from supplier join nation on s_nationkey = n_nationkey join region on n_regionke
 select 'producing' as name, cast(o_custkey as varchar) as source, cast(o_orderkey as varchar) as destination from orders
 union all
 select distinct 'consuming', cast(l_suppkey as varchar), cast(l_orderkey as varchar)
-from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority = '1-URGENT'
+from lineitem
 """,
     "graph_schemas": """
 select distinct 'usedBy' as name, p_brand as source, cast(l_suppkey as varchar) as destination
@@ -371,7 +391,6 @@ SAME_AS = {
     "stream_brokers": "brokers_current",
     "stream_cluster": "cluster_current",
     "stream_counters": "consumed_counters",
-    "stream_snapshots_to_log": "multi_round_changelog",
 }
 
 

@@ -54,11 +54,13 @@ def broker_events(
 
 
 def cluster_events(
-    snaps: DataFrame, rounds: Rounds, params: Params = Params(), state: DataFrame | None = None
+    snaps: DataFrame, rounds: Rounds, params: Params = Params(), state: DataFrame | None = None,
+    chunk: int | None = 2048,
 ) -> DataFrame:
     """Cluster events of consecutive rounds; a listing may come in several rows.
 
     Should its rows disagree, the least counts, so that every run gives the same.
+    The slot's rounds are compared in groups of ``chunk``.
     """
     slots = (
         snaps.groupBy("snapshot_id")
@@ -66,7 +68,7 @@ def cluster_events(
         .select("snapshot_id", "_slot.*")
     )
     changes = changelog.from_snapshots(
-        slots, KEYS[CLUSTER], VALUES[CLUSTER], rounds, forget_absent=False, state=state
+        slots, KEYS[CLUSTER], VALUES[CLUSTER], rounds, forget_absent=False, state=state, chunk=chunk
     )
     return wrap(changelog.plain_steps(changes).withColumnRenamed("snapshot_id", "round"), CLUSTER)
 

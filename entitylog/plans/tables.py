@@ -8,10 +8,10 @@ line.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from entitylog.functions import canon, codec
+from entitylog.functions import canon
 from entitylog.operators import changelog, counters, enrich, envelope, filters, graph, state
 from entitylog.params import Params
 from entitylog.plans import poll, views
@@ -104,22 +104,29 @@ def canonical_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.wrap_mixed(rows, F.col("entity_type"), payloads)
 
 
-def _orders_between(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
-    date = F.col("o_orderdate")
+def ordered(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Customers with the number of their orders and the last of their priorities."""
+    orders = table(spark, sf_dir, "orders")
     return (
-        table(spark, sf_dir, "orders")
-        .filter((date >= F.to_timestamp_ntz(F.lit(start))) & (date < F.to_timestamp_ntz(F.lit(end))))
+        (orders if where is None else orders.filter(where))
         .groupBy(F.col("o_custkey").alias("k"))
         .agg(F.count(F.lit(1)).alias("n"), F.max("o_orderpriority").alias("p"))
     )
 
 
+def _cut(spark: SparkSession, sf_dir: str) -> Column:
+    """The start of the middle quarter: what was ordered before it is the state,
+    all else the snapshot."""
+    year, quarter = divmod(sum(quarters(spark, sf_dir)) // 2, 4)
+    return F.to_timestamp_ntz(F.lit(f"{1995 + year}-{3 * quarter + 1:02}-01 00:00:00"))
+
+
 def before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_between(spark, sf_dir, "1995-01-01 00:00:00", "1995-04-01 00:00:00")
+    return ordered(spark, sf_dir, F.col("o_orderdate") < _cut(spark, sf_dir))
 
 
 def after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_between(spark, sf_dir, "1995-04-01 00:00:00", "1995-07-01 00:00:00")
+    return ordered(spark, sf_dir, F.col("o_orderdate") >= _cut(spark, sf_dir))
 
 
 def _quarter() -> Column:
@@ -219,8 +226,11 @@ def consumed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.topics(canonical_log(spark, sf_dir))
-    return rows.select(
+    return _flat_topics(views.topics(canonical_log(spark, sf_dir)))
+
+
+def _flat_topics(topics: DataFrame) -> DataFrame:
+    return topics.select(
         "name",
         F.col("description.internal").alias("internal"),
         F.col("description.partitions")[0]["leader"]["host"].alias("leader_host"),
@@ -276,15 +286,26 @@ def topic_changelog_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def produced_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = changelog.topic_steps(_changes(spark, sf_dir)).withColumn("entity_type", F.lit(TOPIC))
-    return counters.produced(steps).select("op_tag", "total")
+    """What one round of topics, brokers and the cluster would publish."""
+    steps = {
+        TOPIC: changelog.topic_steps(_changes(spark, sf_dir)),
+        BROKER: changelog.plain_steps(_broker_changes(spark, sf_dir)),
+        CLUSTER: changelog.plain_steps(cluster_diff(spark, sf_dir)),
+    }
+    return counters.produced(
+        graph.union(*[rows.select(F.lit(kind).alias("entity_type"), "op_tag") for kind, rows in steps.items()])
+    )
 
 
-def broker_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = changelog.diff(
+def _broker_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.diff(
         brokers_before(spark, sf_dir), brokers_after(spark, sf_dir), ["id"], ["node", "tier"],
         forget_absent=False,
     )
+
+
+def broker_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = _broker_changes(spark, sf_dir)
     return changes.select(F.col("id").cast("string").alias("id"), "op", "node.host")
 
 
@@ -305,10 +326,10 @@ def cluster_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def failed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with a config lookup; where it failed there is no event."""
-    configs = after(spark, sf_dir).select(
+    configs = ordered(spark, sf_dir).select(
         F.col("k").alias("c_custkey"),
         F.create_map(F.lit("p"), F.col("p")).alias("config"),
-        (F.col("n") > 1).alias("lookup_failed"),
+        (F.col("n") % 2 == 1).alias("lookup_failed"),
     )
     customers = table(spark, sf_dir, "customer")
     known = customers.filter(F.col("c_acctbal") >= 5000).select(
@@ -385,10 +406,7 @@ def dated_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     numbered = snapshots.number_rounds(daily, daily.select("d"), "d")
     bounds = snapshots.round_bounds(numbered, "round_no")
-    changes = changelog.from_snapshots(numbered, K, ["n"], bounds, "round_no")
-    return changes.groupBy("k", "op").agg(
-        F.count(F.lit(1)).alias("n_events"), F.max("round_no").alias("last_round")
-    )
+    return changelog.from_snapshots(numbered, K, ["n"], bounds, "round_no").select("k", "round_no", "op")
 
 
 def snapshot_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,8 +438,8 @@ def allow_deny_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists that are tables: customers who ordered, less those of one region's nations."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == 1)
-    ordered = after(spark, sf_dir).select(F.col("k").alias("c_custkey"))
-    kept = filters.allow_deny(rows, "c_custkey", allow=ordered)
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    kept = filters.allow_deny(rows, "c_custkey", allow=buyers)
     return filters.allow_deny(
         kept, "c_nationkey", deny=nations.select(F.col("n_nationkey").alias("c_nationkey"))
     )
@@ -455,7 +473,7 @@ def brokers_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configs = after(spark, sf_dir).select(F.col("k").alias("c_custkey"), F.col("p").alias("priority"))
+    configs = ordered(spark, sf_dir).select(F.col("k").alias("c_custkey"), F.col("p").alias("priority"))
     rows = enrich.with_config(
         table(spark, sf_dir, "customer").select("c_custkey"), configs, "c_custkey", "priority", F.lit("")
     )
@@ -533,7 +551,7 @@ def topic_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = event_log(spark, sf_dir).withColumn("entity_id", F.col("k").cast("string"))
-    return log.groupBy(envelope.entity_key().alias("record_key")).agg(F.count(F.lit(1)).alias("n"))
+    return log.select(envelope.entity_key().alias("record_key"), "o")
 
 
 def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -554,20 +572,24 @@ def merged_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope.wrap(rows.filter(F.col("entity_type") == kind), kind) for kind in (CLUSTER, BROKER, TOPIC)
     ]
     merged = envelope.merge(*kinds)
-    return merged.groupBy(envelope.kind_of().alias("kind"), "op").agg(F.count(F.lit(1)).alias("n"))
+    id = F.coalesce("cluster.id", "broker.id", "topic.name")
+    return merged.select(envelope.kind_of().alias("kind"), "op", F.col("round").alias("o"), id.alias("id"))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid and reported events by kind; some lose their payload, some are mislabelled."""
+    """Valid and reported events; some lose their payload, some are mislabelled."""
     log = canonical_log(spark, sf_dir)
     emptied = F.col("round") % 11 == 0
     log = log.withColumns(
         {arm: F.when(~emptied, F.col(arm)) for arm in ("cluster", "broker", "topic")}
     ).withColumn("entity_type", F.when(F.col("round") % 13 == 0, CLUSTER).otherwise(F.col("entity_type")))
     valid, report = envelope.quarantine(log)
-    return valid.groupBy(F.lit("valid").alias("problem"), "entity_type").agg(
-        F.count(F.lit(1)).alias("n")
-    ).unionByName(report.groupBy("problem", "entity_type").agg(F.count(F.lit(1)).alias("n")))
+    return graph.union(
+        *[
+            rows.select("problem", "entity_type", F.col("round").alias("o"))
+            for rows in (valid.withColumn("problem", F.lit("valid")), report)
+        ]
+    )
 
 
 def _flat_events(events: DataFrame) -> DataFrame:
@@ -620,10 +642,17 @@ def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written to a table log and counted from it."""
+    """Events written to a table log and read back."""
+    path = scratch(spark, "log")
+    logs.append_log(_valid_events(spark, sf_dir), path, batch=0)
+    return _flat_events(logs.read_log(spark, path))
+
+
+def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics folded from the written log, of which only their own files are read."""
     path = scratch(spark, "log")
     logs.append_log(_valid_events(spark, sf_dir), path, batch=0)
-    return counters.consumed(logs.read_log(spark, path))
+    return _flat_topics(views.topics(logs.read_log(spark, path)))
 
 
 def described_created(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -665,29 +694,42 @@ def stored_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered views queried in SQL: topics by configured value."""
-    views.register_views(canonical_log(spark, sf_dir), prefix="log_")
-    return spark.sql(
+    return _queried(
+        spark, sf_dir,
         "select config['k'] as config_k, count(*) as n_topics,"
-        " count_if(description.internal) as n_internal from log_topics group by 1"
+        " count_if(description.internal) as n_internal from log_topics group by 1",
+    )
+
+
+def sql_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events view queried in SQL: announced topics and moved controllers."""
+    return _queried(
+        spark, sf_dir,
+        "select round as o, entity_id, op, coalesce(topic.name, cluster.id) as id,"
+        " cluster.controller.host as host from log_events"
+        " where (topic is not null and op = 'Created') or (cluster is not null and op = 'Updated')",
     )
 
 
+def _queried(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """SQL over the registered views, which are gone again afterwards."""
+    views.register_views(canonical_log(spark, sf_dir), prefix="log_")
+    rows = spark.sql(sql)
+    for name in views.VIEWS:
+        spark.catalog.dropTempView(f"log_{name}")
+    return rows
+
+
 # Graph
 
 
 def graph_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = replicas(spark, sf_dir)
-    partitions = held.select("topic", "partition_id").distinct()
-    topics = partitions.select("topic").distinct()
     brokers = suppliers(spark, sf_dir).select("id", F.col("node.rack").alias("rack"))
-    entities = graph.union(
-        graph.topic_entities(topics, "topic"),
-        graph.partition_entities(partitions),
-        graph.replica_entities(held),
+    return graph.union(
+        graph.held_entities(replicas(spark, sf_dir)),
         graph.broker_entities(brokers),
         graph.rack_entities(brokers),
     )
-    return entities.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def graph_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -709,31 +751,22 @@ def graph_isr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("broker"), "l_linestatus",
     )
     at = ["topic", "partition_id"]
-    held = snapshots.replica_lists(lines, at, "broker")
-    in_sync = snapshots.replica_lists(lines.filter(F.col("l_linestatus") == "O"), at, "broker", "isr")
-    nodes = {
-        name: F.transform(F.coalesce(name, F.array().cast("array<bigint>")), lambda id: F.struct(id.alias("id")))
-        for name in ("replicas", "isr")
-    }
-    partitions = held.join(in_sync, at, "left").withColumns(nodes).withColumn("leader", F.col("replicas")[0])
-    flags = graph.replica_rows(partitions)
-    return graph.partition_isr(flags).unionByName(
-        flags.filter("leader").select(
-            F.lit("leader").alias("name"), graph.partition_id().alias("source"), graph.replica_id().alias("destination")
-        )
-    )
+    flags = lines.groupBy(*at, "broker").agg(F.max(F.col("l_linestatus") == "O").alias("in_sync"))
+    lowest = F.min("broker").over(Window.partitionBy(*at))
+    return graph.replica_roles(flags.withColumn("leader", F.col("broker") == lowest))
 
 
 def graph_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The graph of the folded canonical log, counted by kind and name."""
+    """Entities and relations of the folded canonical log."""
     path = scratch(spark, "views")
     views.write_views(canonical_log(spark, sf_dir), path)
     entities, relations = graph.from_state(
         *[views.read_view(spark, path, name) for name in ("topics", "brokers", "cluster")]
     )
-    kinds = entities.groupBy(F.lit("entity").alias("what"), F.col("entity_type").alias("name"))
-    edges = relations.groupBy(F.lit("relation").alias("what"), "name")
-    return graph.union(*[g.agg(F.count(F.lit(1)).alias("n")) for g in (kinds, edges)])
+    return entities.select(
+        F.lit("entity").alias("what"), F.col("entity_type").alias("name"),
+        F.col("entity_id").alias("source"), F.lit(None).cast("string").alias("destination"),
+    ).unionByName(relations.withColumn("what", F.lit("relation")))
 
 
 def rack_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -749,16 +782,14 @@ def cluster_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as clients producing to the topic named after their order; the
-    suppliers of urgent orders' lines consume it."""
+    suppliers of its lines consume it."""
     orders = table(spark, sf_dir, "orders")
     produce = orders.select(
         F.lit("producing").alias("role"), F.col("o_custkey").alias("client"), F.col("o_orderkey").alias("topic")
     )
-    urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
     consume = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_suppkey").distinct()
-        .join(urgent, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(F.lit("consuming").alias("role"), F.col("l_suppkey").alias("client"), F.col("l_orderkey").alias("topic"))
     )
     return graph.client_topics(produce.unionByName(consume))
@@ -841,9 +872,9 @@ def stream_snapshots_to_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, f"{path}/in", f"{path}/out", TOPIC, Params(include_internal=True), once=True
     ).awaitTermination()
     log = logs.read_log(spark, streaming_poll.log_path(f"{path}/out"))
-    first_description = (F.col("op") == UPDATED) & (F.col("op_tag") == CREATED)
-    return log.filter(~first_description).select(
-        F.col("entity_id").cast("long").alias("k"), F.col("round").alias("r"), "op"
+    return log.select(
+        F.col("entity_id").cast("long").alias("k"), F.col("round").alias("r"), "seq", "op", "op_tag",
+        F.col("topic.config")["n"].cast("long").alias("n"),
     )
 
 
@@ -861,13 +892,11 @@ QUERIES = {
         topic_names, brokers_of, config_enrich, resource_configs, config_map, config_last_wins,
         topic_descriptions, described_topics,
         envelope_keys, route_topics, merged_kinds, quarantine,
-        codec_json, codec_protobuf, record_log, record_keys, table_log, described_created,
-        json_topics, stored_json, stored_counters, sql_views,
+        codec_json, codec_protobuf, record_log, record_keys, table_log, stored_topics, described_created,
+        json_topics, stored_json, stored_counters, sql_views, sql_events,
         graph_entities, graph_relations, graph_partitions, graph_replica_brokers, graph_isr,
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,
     )
 }
-if not codec.has_protobuf():
-    del QUERIES["codec_protobuf"]
