@@ -87,6 +87,9 @@ def fold_cluster(log: DataFrame, order: Sequence[str], values: Sequence[str], op
 
 def _arm(log: DataFrame, kind: str) -> DataFrame:
     arm = ARM[kind]
+    if "kind" in log.columns:
+        # Of a stored log only this kind's files are read, and those of no single kind.
+        log = log.filter((F.col("kind") == kind) | F.col("kind").isNull())
     return log.filter(F.col(arm).isNotNull()).select("op", *LOG_ORDER, f"{arm}.*")
 
 

@@ -7,43 +7,49 @@ The *record log* keeps key, bytes and headers, as other consumers expect them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylog.functions import codec
 from entitylog.functions.canon import tidy
-from entitylog.operators.envelope import with_key
+from entitylog.operators.envelope import arms_set, kind_of, with_key
 from entitylog.params import Params
 from entitylog.schema import EVENT, LONG, RECORD, STRING, struct
 
+#: Headers that carry an event's place in the log.
+POSITION = ("round", "seq")
+
 
 def append_log(events: DataFrame, path: str, writer: str = "batch", batch: int | None = None) -> None:
-    """Append events to a table log, by writer and entity type.
+    """Append events to a table log, by writer and kind.
 
-    With a batch number the write replaces an earlier attempt at that batch.
+    The kind is the one arm that is set, null where that is none or several, so a
+    fold of one kind reads its files alone. With a batch number the write replaces
+    an earlier attempt at that batch.
     """
-    rows = tidy(events, EVENT)
+    rows = tidy(events, EVENT).withColumn("kind", F.when(arms_set() == 1, kind_of()))
     if batch is None:
         rows = rows.withColumns({"writer": F.lit(writer), "batch": F.lit(None).cast("long")})
-        rows.write.mode("append").partitionBy("writer", "batch", "entity_type").parquet(path)
+        rows.write.mode("append").partitionBy("writer", "batch", "kind").parquet(path)
     else:
         target = f"{path}/writer={writer}/batch={batch}"
-        rows.write.mode("overwrite").partitionBy("entity_type").parquet(target)
+        rows.write.mode("overwrite").partitionBy("kind").parquet(target)
 
 
-def _log_schema():
-    return struct(**{f.name: f.dataType for f in EVENT.fields}, writer=STRING, batch=LONG)
+_FIELDS = {f.name: f.dataType for f in EVENT.fields}
+LOGGED = struct(**_FIELDS, kind=STRING)
 
 
 def read_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """All events of a table log from its beginning, as a table or a stream."""
+    """All events of a table log from its beginning with their kind, as a table or a stream."""
     reader = spark.readStream if stream else spark.read
-    return tidy(reader.schema(_log_schema()).parquet(path), EVENT)
+    stored = struct(**_FIELDS, writer=STRING, batch=LONG, kind=STRING)
+    return tidy(reader.schema(stored).parquet(path), LOGGED)
 
 
 def read_batch(spark: SparkSession, path: str, writer: str, batch: int) -> DataFrame:
     """The events of one batch of a table log; no other batch is looked at."""
-    return tidy(spark.read.schema(EVENT).parquet(f"{path}/writer={writer}/batch={batch}"), EVENT)
+    return tidy(spark.read.schema(LOGGED).parquet(f"{path}/writer={writer}/batch={batch}"), LOGGED)
 
 
 def to_records(events: DataFrame, format: str = "json") -> DataFrame:
@@ -73,9 +79,36 @@ def read_records(
     return from_records(records, format)
 
 
+def kafka_records(events: DataFrame, format: str = "protobuf") -> DataFrame:
+    """Records as they are sent: a key's by one task and in order, their place in
+    the log as headers, since offsets of different keys cannot be compared."""
+    place = [
+        F.struct(F.lit(name).alias("key"), F.encode(F.col(name).cast("string"), "UTF-8").alias("value"))
+        for name in POSITION
+    ]
+    records = to_records(events, format).repartition("key").sortWithinPartitions("key", *POSITION)
+    return records.select("key", "value", F.concat("headers", F.array(*place)).alias("headers"))
+
+
+def from_kafka(rows: DataFrame, format: str = "protobuf") -> DataFrame:
+    """Rows of the Kafka source as events. Records of other writers, without the
+    headers, are ordered by offset."""
+
+    def place(name: str) -> Column:
+        found = F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))
+        return F.decode(found["value"], "UTF-8").cast("long")
+
+    records = rows.select(
+        "value",
+        F.coalesce(place("round"), F.col("offset")).alias("round"),
+        F.coalesce(place("seq").cast("int"), F.lit(0)).alias("seq"),
+    )
+    return from_records(records, format)
+
+
 def write_kafka(events: DataFrame, params: Params, format: str = "protobuf") -> None:
     """Publish events to the event topic; needs Spark's Kafka connector."""
-    to_records(events, format).select("key", "value", "headers").write.format("kafka").options(
+    kafka_records(events, format).write.format("kafka").options(
         **{
             "kafka.bootstrap.servers": params.bootstrap_servers,
             "topic": params.event_topic,
@@ -87,19 +120,14 @@ def write_kafka(events: DataFrame, params: Params, format: str = "protobuf") ->
 def read_kafka(
     spark: SparkSession, params: Params, format: str = "protobuf", stream: bool = False
 ) -> DataFrame:
-    """The event topic from its beginning; needs Spark's Kafka connector.
-
-    All events of a key are in one topic partition, so its offset is their order.
-    """
+    """The event topic from its beginning; needs Spark's Kafka connector."""
     reader = spark.readStream if stream else spark.read
     source = reader.format("kafka").options(
         **{
             "kafka.bootstrap.servers": params.bootstrap_servers,
             "subscribe": params.event_topic,
             "startingOffsets": "earliest",
+            "includeHeaders": "true",
         }
     )
-    records = source.load().select(
-        "value", F.col("offset").alias("round"), F.lit(0).alias("seq")
-    )
-    return from_records(records, format)
+    return from_kafka(source.load(), format)

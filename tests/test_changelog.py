@@ -159,3 +159,12 @@ def test_order_of_values(spark):
     # A missing struct is not a struct without a rack.
     assert table(changelog.updated(old, new, ["k"], values), "k") == [(2,), (3,)]
     assert table(changelog.updated(old, new, ["k"], ["m"]), "k") == []
+
+
+def test_rows_without_a_key_are_reported_and_no_change(spark):
+    snap = spark.createDataFrame([(None, 0, "x"), ("a", 0, "x"), ("b", None, "x")], "k string, r long, v string")
+    none = snap.filter("false")
+    assert table(changelog.diff(none, snap, ["k"], ["v"]), "k", "op") == [("a", "Created"), ("b", "Created")]
+    assert table(changelog.from_snapshots(snap, ["k"], ["v"], (0, 0), "r"), "k", "op") == [("a", "Created")]
+    assert changelog.created(none, snap, ["k"]).count() == changelog.deleted(snap, none, ["k"]).count() == 2
+    assert changelog.keyless(snap, ["k", "r"]).count() == 2

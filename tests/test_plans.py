@@ -45,8 +45,8 @@ def test_a_single_task_only_merges_partial_results(no_broadcast):
         text = plan(tables.QUERIES[name](no_broadcast, SF_DIR))
         for at in re.finditer(r"Exchange SinglePartition", text):
             below = text[at.end():].split("\n")[1]
-            # The rest is one row per chunk of the cluster's rounds.
-            assert "partial_" in below or name == "cluster_changelog", (name, below)
+            # The rest is one row per chunk of the cluster's rounds, and per range of round ids.
+            assert "partial_" in below or name in ("cluster_changelog", "dated_rounds"), (name, below)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -67,6 +67,11 @@ def test_fixed_width_folds_hash_and_others_combine_before_the_shuffle(spark):
     assert "partial_max_by" in plan(tables.canonical_topics(spark, SF_DIR))
 
 
+def test_a_fold_of_the_stored_log_reads_its_own_kind(spark):
+    text = plan(tables.stored_topics(spark, SF_DIR))
+    assert "PartitionFilters: [((kind#" in text and "= TOPIC) OR isnull(kind#" in text
+
+
 def test_one_join_or_one_shuffle_per_round(no_broadcast):
     spark = no_broadcast
     snaps = spark.read.parquet(f"{SF_DIR}/orders.parquet").select(
