@@ -19,7 +19,12 @@ With more parts than bits that may differ, two linked fingerprints agree in a
 part, and no link is lost: ``EXACT`` has five parts for four bits. ``SIMILAR`` is
 for texts that share 0.8 of their shingles (Jaccard): 256 bits differ by 39 on
 average, 48 may, and one of 24 parts agrees in 99 of 100 such pairs; of pairs that
-share 0.9 all but one in 10,000 are found, of those that share half 2 in 1,000.
+share 0.9 all but one in 10,000 are found. Its fingerprints count each shingle
+once, and its links are checked: two texts stay linked only if the sets of their
+shingles, as 32-bit hashes, share ``least``. For that a block hands on ``FORESTS``
+forests of its least differing pairs, one after the other: of the pairs that link
+any part of a group to its rest, these hold that many of the closest, or all. A link
+is lost only where all of these fail, in every block that holds both ends.
 
 Empty and null texts have fingerprint zero and are linked like others. Rows of
 one id and equal rows are one document. Rows with a null id link nothing; they
@@ -46,22 +51,29 @@ BITS = 64
 HASHES = 1 << 16
 #: Neighbours in Gray order that form the lowest group of the hierarchy.
 GROUP = 16
+#: Forests of pairs that a block hands on to be checked, each without the pairs of those before.
+FORESTS = 4
 
 _SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
 @dataclass(frozen=True)
 class Law:
-    """Words in a shingle, 64-bit words in a fingerprint, bits that may differ, bits of each part."""
+    """Words in a shingle, 64-bit words in a fingerprint, bits that may differ, bits of each part.
+
+    ``least``: share of the shingles that linked texts have in common, checked
+    exactly; 0 for no check.
+    """
 
     words: int
     width: int
     most: int
     parts: tuple[int, ...]
+    least: float = 0.0
 
 
 EXACT = Law(4, 1, 4, (13, 13, 13, 13, 12))
-SIMILAR = Law(5, 4, 48, (11, 11, 11, 11, 10, 10))
+SIMILAR = Law(5, 4, 48, (11, 11, 11, 11, 10, 10), 0.8)
 
 
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:
@@ -73,17 +85,21 @@ def _mixed(h: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def fingerprint_of(text: str | None, words: int, width: int = 1) -> np.ndarray:
+def shingle_hashes(text: str | None, words: int) -> list[int]:
+    """Hashes of a text's shingles in order, repeats included."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return np.zeros(width, np.int64)
+        return []
     whole, digest = b" ".join(found), xxhash.xxh64_intdigest
     if len(found) <= words:
-        hashes = [digest(whole, 42)]
-    else:
-        ends = list(accumulate(len(w) + 1 for w in found))
-        starts = [0, *ends]
-        hashes = [digest(whole[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :])]
+        return [digest(whole, 42)]
+    ends = list(accumulate(len(w) + 1 for w in found))
+    starts = [0, *ends]
+    return [digest(whole[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :])]
+
+
+def fingerprint_of(hashes, width: int = 1) -> np.ndarray:
+    """The majority of each bit of the hashes; zero without any."""
     # Values of each byte are counted, and their bits then.
     values = np.zeros((width, 8 * 256), np.int64)
     for i in range(0, len(hashes), HASHES):
@@ -103,12 +119,31 @@ def fingerprints(
     @F.pandas_udf("array<long>")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
-            yield pd.Series([fingerprint_of(t, words, width) for t in part], dtype=object)
+            yield pd.Series([fingerprint_of(shingle_hashes(t, words), width) for t in part], dtype=object)
 
     small_batches(df.sparkSession)
     return df.withColumn(into, of(text))
 
 
+def sketches(df: DataFrame, text: str, law: Law) -> DataFrame:
+    """Adds the fingerprint of a text's different shingles, and their sorted 32-bit hashes."""
+
+    @F.pandas_udf("fingerprint array<long>, shingles array<int>")
+    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in texts:
+            codes, sets = [], []
+            for t in part:
+                hashes = np.unique(np.array(shingle_hashes(t, law.words), np.uint64))
+                codes.append(fingerprint_of(hashes, law.width))
+                sets.append(np.unique(hashes.astype(np.uint32).view(np.int32)))
+            yield pd.DataFrame(
+                {"fingerprint": pd.Series(codes, dtype=object), "shingles": pd.Series(sets, dtype=object)}
+            )
+
+    small_batches(df.sparkSession)
+    return df.withColumn("_of", of(text)).select("*", "_of.*").drop("_of")
+
+
 BLOCK = "part int, pattern long, first long, mask array<long>, bits array<long>, codes binary, ids binary"
 EDGE = "a long, b long"
 
@@ -183,7 +218,24 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _links(most: int, width: int):
+def spanning(n: int, i: np.ndarray, j: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Places of the pairs that make a spanning forest of n nodes at the least cost."""
+    order = np.argsort(cost, kind="stable")
+    i, j = i[order], j[order]
+    root, left, taken = np.arange(n), np.arange(len(i)), np.empty(0, np.int64)
+    while len(left):
+        cheapest = np.full(n, len(i))
+        np.minimum.at(cheapest, root[i[left]], left)
+        np.minimum.at(cheapest, root[j[left]], left)
+        taken = np.union1d(taken, cheapest[cheapest < len(i)])
+        root = forest(n, i[taken], j[taken])
+        left = left[root[i[left]] != root[j[left]]]
+    return order[taken]
+
+
+def _links(law: Law):
+    most, width = law.most, law.width
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out_a, out_b = [], []
@@ -193,6 +245,7 @@ def _links(most: int, width: int):
                 if other:
                     b = np.frombuffer(other[0], np.uint64).reshape(-1, width)
                     i, j = _close_pairs(a, b, most)
+                    cost = _apart(a[i], b[j]) if law.least else None
                     j = j + len(a)
                     ids = np.r_[ids, np.frombuffer(other[1], np.int64)]
                 elif len(a) < 2:
@@ -200,7 +253,14 @@ def _links(most: int, width: int):
                 else:
                     i, j = _close_pairs(a, a, most)
                     i, j = i[i < j], j[i < j]
-                if len(i):
+                    cost = _apart(a[i], a[j]) if law.least else None
+                if len(i) and law.least:
+                    for _ in range(FORESTS):
+                        tree = spanning(len(ids), i, j, cost)
+                        out_a.append(ids[i[tree]])
+                        out_b.append(ids[j[tree]])
+                        i, j, cost = np.delete(i, tree), np.delete(j, tree), np.delete(cost, tree)
+                elif len(i):
                     root = forest(len(ids), i, j)
                     moved = np.flatnonzero(root != np.arange(len(ids)))
                     out_a.append(ids[moved])
@@ -244,7 +304,7 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
         .mapInArrow(_blocks(law.width), BLOCK),
         "blocks",
     )
-    found = _links(law.most, law.width)
+    found = _links(law)
     inside = blocks.select("codes", "ids").mapInArrow(found, EDGE)
     x, y = blocks.alias("x"), blocks.alias("y")
     differ = sum(
@@ -268,15 +328,42 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
     return inside.union(across)
 
 
+def checked(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
+
+    ``sets``: rows of ``id`` and ``shingles``, more than one where an id has several texts.
+    """
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = stored(edges.filter("a <> b").select(*ends).distinct(), "candidates")
+    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+    sets = sets.join(nodes, "id", "left_semi")
+    both = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
+    )
+    common, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
+    return both.filter(common * (1 + least) + 1e-9 >= sizes * least).select("a", "b")
+
+
 def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", law: Law = EXACT) -> DataFrame:
     """One row per document: ``id``, ``fingerprint`` (longs), ``component`` (its group's smallest id)."""
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("_text"))
-    rows = fingerprints(texts, "_text", law.words, law.width).select("id", "fingerprint")
+    key = ["fingerprint"]
+    if law.least:
+        key.append("digest")
+        rows = sketches(texts, "_text", law).withColumn("digest", F.xxhash64("shingles")).drop("_text")
+    else:
+        rows = fingerprints(texts, "_text", law.words, law.width).select("id", "fingerprint")
     rows = stored(rows, "fingerprints")
-    firsts = stored(rows.groupBy("fingerprint").agg(F.min("id").alias("id")), "firsts")
+    firsts = stored(rows.groupBy(*key).agg(F.min("id").alias("id")), "firsts")
     codes = firsts.filter("id is not null").select(F.col("fingerprint").alias("code"), "id")
-    groups = components(links(codes, law))
+    edges = links(codes, law)
+    if law.least:
+        # One set of each id and key, so that repeated rows do not multiply.
+        owners = firsts.select("id", "digest")
+        sets = rows.join(owners, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"])
+        edges = checked(edges, sets.select("id", "shingles"), law.least)
+    groups = components(edges)
     labels = firsts.join(groups, F.col("id") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("component", "id").alias("component")
+        *key, F.coalesce("component", "id").alias("component")
     )
-    return rows.join(labels, "fingerprint").select("id", "fingerprint", "component")
+    return rows.join(labels, key).select("id", "fingerprint", "component")

@@ -118,6 +118,33 @@ def test_similar_texts_are_near_and_others_not(spark):
     assert all(r.component == (0 if r.id < 100 else r.id) for r in found.collect())
 
 
+def test_similar_groups_equal_checked_pairs(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(100000)}" for _ in range(n)]
+    rows, made = [], []
+    for _ in range(12):
+        base = fresh(300)
+        # Shares of 1, 0.9, 0.75, 0.6 and 0.5 with the base.
+        for tail in (0, 16, 43, 75, 100):
+            made.append(base[: 300 - tail] + fresh(tail))
+    hot = " ".join(f"h{n}" for n in range(6))
+    made += [(" ".join([hot] * 200) + " " + " ".join(fresh(60))).split() for _ in range(3)]
+    made += [[], [], ["a"], ["a"], ["a", "b"], made[0], made[1]]
+    rows = [(n, " ".join(w)) for n, w in enumerate(made)] + [(0, " ".join(made[0]))] * 50 + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, min(len(w), 1)))} for w in made]
+    near = [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    root = simhash.forest(len(sets), np.array([a for a, _ in near]), np.array([b for _, b in near]))
+    found = simhash.near_groups(df, law=simhash.SIMILAR).collect()
+    assert len(found) == len(rows)
+    assert {r.id: r.component for r in found if r.id is not None} == dict(enumerate(root.tolist()))
+
+
 def test_vectors_equal_all_pairs(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((40, 16)).astype(np.float32)
