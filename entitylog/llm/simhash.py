@@ -331,12 +331,13 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
 def checked(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
 
-    ``sets``: rows of ``id`` and ``shingles``, more than one where an id has several texts.
+    ``sets``: rows of ``id``, ``digest`` and ``shingles``, more than one where an id has
+    several texts or is repeated. They are shuffled once, by id, which serves all joins.
     """
     ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     edges = stored(edges.filter("a <> b").select(*ends).distinct(), "candidates")
     nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    sets = sets.join(nodes, "id", "left_semi")
+    sets = sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"])
     both = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
     )
@@ -358,10 +359,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", law: Law
     codes = firsts.filter("id is not null").select(F.col("fingerprint").alias("code"), "id")
     edges = links(codes, law)
     if law.least:
-        # One set of each id and key, so that repeated rows do not multiply.
-        owners = firsts.select("id", "digest")
-        sets = rows.join(owners, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"])
-        edges = checked(edges, sets.select("id", "shingles"), law.least)
+        edges = checked(edges, rows.select("id", "digest", "shingles"), law.least)
     groups = components(edges)
     labels = firsts.join(groups, F.col("id") == F.col("node"), "left").select(
         *key, F.coalesce("component", "id").alias("component")
