@@ -21,10 +21,14 @@ for texts that share 0.8 of their shingles (Jaccard): 256 bits differ by 39 on
 average, 48 may, and one of 24 parts agrees in 99 of 100 such pairs; of pairs that
 share 0.9 all but one in 10,000 are found. Its fingerprints count each shingle
 once, and its links are checked: two texts stay linked only if the sets of their
-shingles, as 32-bit hashes, share ``least``. For that a block hands on ``FORESTS``
-forests of its least differing pairs, one after the other: of the pairs that link
-any part of a group to its rest, these hold that many of the closest, or all. A link
-is lost only where all of these fail, in every block that holds both ends.
+shingles, as 32-bit hashes, share ``least``. That goes by rounds. A block, or two
+blocks that meet, hands on spanning forests of its least differing pairs, each
+without the pairs of those before: ``FORESTS`` in the first round, twice as many in
+every later one. What passes the check is joined into groups, and the next round
+takes only pairs not tried there whose ends are still in different groups, until
+there are none: then every close pair was checked or has its ends in one group. A
+crowd of near-duplicates is one group after the first round; one whose pairs are all
+close and all fail has each of them checked, as nothing less decides it.
 
 Empty and null texts have fingerprint zero and are linked like others. Rows of
 one id and equal rows are one document. Rows with a null id link nothing; they
@@ -51,7 +55,7 @@ BITS = 64
 HASHES = 1 << 16
 #: Neighbours in Gray order that form the lowest group of the hierarchy.
 GROUP = 16
-#: Forests of pairs that a block hands on to be checked, each without the pairs of those before.
+#: Forests of pairs that a block hands on to be checked in the first round.
 FORESTS = 4
 
 _SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -233,49 +237,81 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray, cost: np.ndarray) -> np.ndarr
     return order[taken]
 
 
-def _links(law: Law):
-    most, width = law.most, law.width
+def _pairs_of(row: dict, law: Law) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a block, or of two that meet, close pairs of them as places, and their differing bits."""
+    # Unsigned, as bits of a negative number would be counted in its absolute value.
+    a = np.frombuffer(row["codes"], np.uint64).reshape(-1, law.width)
+    ids = np.frombuffer(row["ids"], np.int64)
+    if row["codes2"] is None:
+        i, j = _close_pairs(a, a, law.most)
+        i, j = i[i < j], j[i < j]
+        return ids, i, j, _apart(a[i], a[j])
+    b = np.frombuffer(row["codes2"], np.uint64).reshape(-1, law.width)
+    i, j = _close_pairs(a, b, law.most)
+    return np.r_[ids, np.frombuffer(row["ids2"], np.int64)], i, j + len(a), _apart(a[i], b[j])
+
 
+def _links(law: Law):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that connect what close pairs connect."""
         for batch in batches:
             out_a, out_b = [], []
-            for codes, ids, *other in zip(*(c.to_pylist() for c in batch.columns)):
-                # Unsigned, as bits of a negative number would be counted in its absolute value.
-                a, ids = np.frombuffer(codes, np.uint64).reshape(-1, width), np.frombuffer(ids, np.int64)
-                if other:
-                    b = np.frombuffer(other[0], np.uint64).reshape(-1, width)
-                    i, j = _close_pairs(a, b, most)
-                    cost = _apart(a[i], b[j]) if law.least else None
-                    j = j + len(a)
-                    ids = np.r_[ids, np.frombuffer(other[1], np.int64)]
-                elif len(a) < 2:
-                    continue
-                else:
-                    i, j = _close_pairs(a, a, most)
-                    i, j = i[i < j], j[i < j]
-                    cost = _apart(a[i], a[j]) if law.least else None
-                if len(i) and law.least:
-                    for _ in range(FORESTS):
-                        tree = spanning(len(ids), i, j, cost)
-                        out_a.append(ids[i[tree]])
-                        out_b.append(ids[j[tree]])
-                        i, j, cost = np.delete(i, tree), np.delete(j, tree), np.delete(cost, tree)
-                elif len(i):
-                    root = forest(len(ids), i, j)
-                    moved = np.flatnonzero(root != np.arange(len(ids)))
-                    out_a.append(ids[moved])
-                    out_b.append(ids[root[moved]])
+            for row in batch.to_pylist():
+                ids, i, j, _ = _pairs_of(row, law)
+                root = forest(len(ids), i, j)
+                moved = np.flatnonzero(root != np.arange(len(ids)))
+                out_a.append(ids[moved])
+                out_b.append(ids[root[moved]])
             if out_a:
                 yield pa.RecordBatch.from_pydict({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
     return links
 
 
-def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
-    """Edges that connect, directly or through others, all ids with close codes.
+TRIES = "x long, y long, a array<long>, b array<long>, tried binary, left boolean"
 
-    ``codes``: a stored table of distinct fingerprints ``code``, each with its long ``id``.
-    """
+
+def _tries(law: Law, forests: int):
+    def tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Forests of pairs not tried yet, of ends in different groups; whether there are more."""
+        for batch in batches:
+            out: dict = {n: [] for n in ("x", "y", "a", "b", "tried", "left")}
+            for row in batch.to_pylist():
+                ids, i, j, cost = _pairs_of(row, law)
+                n = len(ids)
+                tried = np.frombuffer(row["tried"] or b"", np.int32)
+                if row["labels"] is not None:
+                    label = np.array(row["labels"] + (row["labels2"] or []), np.int64)
+                    left = (label[i] != label[j]) & ~np.isin(i * n + j, tried)
+                    i, j, cost = i[left], j[left], cost[left]
+                if not len(i):
+                    continue
+                places = []
+                for _ in range(forests):
+                    tree = spanning(n, i, j, cost)
+                    places.append(i[tree] * n + j[tree])
+                    i, j, cost = np.delete(i, tree), np.delete(j, tree), np.delete(cost, tree)
+                    if not len(i):
+                        break
+                new = np.concatenate(places).astype(np.int32)
+                out["x"].append(row["x"])
+                out["y"].append(row["y"])
+                out["a"].append(ids[new // n])
+                out["b"].append(ids[new % n])
+                # Needed again only where something is left.
+                out["tried"].append(np.r_[tried, new].tobytes() if len(i) else None)
+                out["left"].append(len(i) > 0)
+            if out["x"]:
+                for n in ("a", "b"):
+                    out[n] = pa.array(out[n], pa.list_(pa.int64()))
+                out["tried"] = pa.array(out["tried"], pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
+
+    return tries
+
+
+def meetings(codes: DataFrame, law: Law) -> tuple[DataFrame, DataFrame]:
+    """The blocks, each with a number ``block``, and the numbers ``x`` and ``y`` of those that meet."""
     small_batches(codes.sparkSession)
     places = [
         F.struct(
@@ -301,11 +337,10 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
         entries.select("part", "pattern", "rank", "code", "id")
         .repartitionByRange(parts, "part", "rank")
         .sortWithinPartitions("part", "rank")
-        .mapInArrow(_blocks(law.width), BLOCK),
+        .mapInArrow(_blocks(law.width), BLOCK)
+        .withColumn("block", F.monotonically_increasing_id()),
         "blocks",
     )
-    found = _links(law)
-    inside = blocks.select("codes", "ids").mapInArrow(found, EDGE)
     x, y = blocks.alias("x"), blocks.alias("y")
     differ = sum(
         F.bit_count(
@@ -322,20 +357,98 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
         & (F.col("x.first") < F.col("y.first"))
         & (differ <= law.most),
     )
-    across = pairs.select(
-        "x.codes", "x.ids", F.col("y.codes").alias("codes2"), F.col("y.ids").alias("ids2")
-    ).mapInArrow(found, EDGE)
-    return inside.union(across)
+    return blocks, pairs.select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))
+
+
+PLAIN = "block", "codes", "ids"
+
+
+def _met(blocks: DataFrame, meet: DataFrame) -> DataFrame:
+    """Meetings with what their blocks hold; nothing of a second block where ``y`` is null."""
+    first = blocks.select(F.col("block").alias("x"), *(c for c in blocks.columns if c != "block"))
+    second = blocks.select(F.col("block").alias("y"), *(F.col(c).alias(c + "2") for c in blocks.columns if c != "block"))
+    return meet.join(first, "x").join(second, "y", "left")
+
+
+def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
+    """Edges that connect, directly or through others, all ids with close codes.
+
+    ``codes``: a stored table of distinct fingerprints ``code``, each with its long ``id``.
+    """
+    blocks, meet = meetings(codes, law)
+    none = F.lit(None).cast("binary")
+    inside = blocks.select("codes", "ids", none.alias("codes2"), none.alias("ids2"))
+    across = _met(blocks.select(*PLAIN), meet).select("codes", "ids", "codes2", "ids2")
+    return inside.union(across).mapInArrow(_links(law), EDGE)
+
+
+def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
+    """Groups (``node``, ``component``) of ids that close codes link whose sets share ``law.least``.
+
+    ``codes`` as in ``links``, ``sets`` as in ``checked``.
+    """
+    blocks, meet = meetings(codes, law)
+    plain, forests = blocks.select(*PLAIN), FORESTS
+    work = plain.select(F.col("block").alias("x"), F.lit(None).cast("long").alias("y")).union(meet)
+    work = _met(plain, work).select(
+        "x", "y", "codes", "ids", "codes2", "ids2",
+        *(F.lit(None).cast("array<long>").alias(c) for c in ("labels", "labels2")),
+        F.lit(None).cast("binary").alias("tried"),
+    )
+    passed = before = None
+    while True:
+        tries = stored(work.mapInArrow(_tries(law, forests), TRIES), "tries")
+        edges = tries.select(F.explode(F.arrays_zip("a", "b")).alias("e")).select("e.a", "e.b")
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        edges = edges.filter("a <> b").select(*ends).distinct()
+        if before is not None:
+            # Tried in another block.
+            edges = edges.join(before, ["a", "b"], "left_anti")
+        edges = stored(edges, "candidates")
+        before = edges if before is None else before.union(edges)
+        new = checked(edges, sets, law.least)
+        passed = stored(new if passed is None else passed.union(new), "passed")
+        groups = components(passed)
+        again = tries.filter("left").select("x", "y", "tried")
+        if again.isEmpty():
+            return groups
+        of = again.select(F.col("x").alias("block")).union(again.select("y")).filter("block is not null").distinct()
+        labels = (
+            plain.join(of, "block", "left_semi")
+            .select("block", F.posexplode(_longs("ids")).alias("at", "node"))
+            .join(groups, "node", "left")
+            .groupBy("block")
+            .agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("component", "node").alias("label")))).alias("l"))
+            .select("block", F.col("l.label").alias("labels"))
+        )
+        labels = stored(labels, "labels")
+        x, y = (labels.select(F.col("block").alias(n), F.col("labels").alias(n + "_labels")) for n in "xy")
+        # Blocks whose members are all in one group have nothing left.
+        all_labels = F.concat("x_labels", F.coalesce("y_labels", F.array().cast("array<long>")))
+        again = again.join(x, "x").join(y, "y", "left").filter(F.array_min(all_labels) != F.array_max(all_labels))
+        work = _met(plain, again).select(
+            "x", "y", "codes", "ids", "codes2", "ids2",
+            F.col("x_labels").alias("labels"), F.col("y_labels").alias("labels2"), "tried",
+        )
+        forests *= 2
+
+
+def _longs(column: str):
+    """The longs that numpy wrote as bytes."""
+
+    @F.pandas_udf("array<long>")
+    def of(values: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(v, np.int64) for v in values], dtype=object)
+
+    return of(column)
 
 
 def checked(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
+    """The stored edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
 
     ``sets``: rows of ``id``, ``digest`` and ``shingles``, more than one where an id has
     several texts or is repeated. They are shuffled once, by id, which serves all joins.
     """
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    edges = stored(edges.filter("a <> b").select(*ends).distinct(), "candidates")
     nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
     sets = sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"])
     both = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
@@ -357,10 +470,10 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", law: Law
     rows = stored(rows, "fingerprints")
     firsts = stored(rows.groupBy(*key).agg(F.min("id").alias("id")), "firsts")
     codes = firsts.filter("id is not null").select(F.col("fingerprint").alias("code"), "id")
-    edges = links(codes, law)
     if law.least:
-        edges = checked(edges, rows.select("id", "digest", "shingles"), law.least)
-    groups = components(edges)
+        groups = checked_groups(codes, rows.select("id", "digest", "shingles"), law)
+    else:
+        groups = components(links(codes, law))
     labels = firsts.join(groups, F.col("id") == F.col("node"), "left").select(
         *key, F.coalesce("component", "id").alias("component")
     )

@@ -145,6 +145,33 @@ def test_similar_groups_equal_checked_pairs(spark):
     assert {r.id: r.component for r in found if r.id is not None} == dict(enumerate(root.tolist()))
 
 
+def test_similar_pairs_in_a_crowd_just_below_are_checked(spark):
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = fresh(270)
+    made = [shared + fresh(34) for _ in range(120)]
+    # A few share more with one of the crowd than the crowd does among itself.
+    for n in range(0, 24, 2):
+        made[n + 1] = made[n][:274] + fresh(30)
+    sets = [{" ".join(w[k : k + 5]) for k in range(len(w) - 4)} for w in made]
+    share = np.array([[len(a & b) / len(a | b) for b in sets] for a in sets])
+    assert 0.77 < np.median(share) < 0.8 and ((share >= 0.8) & (share < 1)).any()
+    root = simhash.forest(len(sets), *np.nonzero(share >= 0.8))
+    prints = [simhash.fingerprint_of(np.unique(np.array(simhash.shingle_hashes(" ".join(w), 5), np.uint64)), 4) for w in made]
+    codes = spark.createDataFrame([(c.tolist(), n) for n, c in enumerate(prints)], "code array<long>, id long")
+    found = spark.createDataFrame(
+        [(n, n, [hash_of(s) for s in t]) for n, t in enumerate(sets)], "id long, digest long, shingles array<int>"
+    )
+    # Every pair is close enough to be a candidate, so nothing but the check decides.
+    law = simhash.Law(5, 4, 256, (1, 63), 0.8)
+    got = dict(simhash.checked_groups(codes, found, law).collect())
+    assert {n: got.get(n, n) for n in range(len(sets))} == dict(enumerate(root.tolist()))
+
+
+def hash_of(shingle):
+    return int(np.uint64(xxhash.xxh64_intdigest(shingle.encode(), 42)).astype(np.uint32).view(np.int32))
+
+
 def test_vectors_equal_all_pairs(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((40, 16)).astype(np.float32)
