@@ -18,8 +18,8 @@ rows than it has members, and a node of any size is spread over its blocks.
 With more parts than bits that may differ, two linked fingerprints agree in a
 part, and no link is lost: ``EXACT`` has five parts for four bits. ``SIMILAR`` is
 for texts that share 0.8 of their shingles (Jaccard): 256 bits differ by 39 on
-average, 48 may, and one of 24 parts agrees in 99 of 100 such pairs; of pairs that
-share 0.9 all but one in 10,000 are found. Its fingerprints count each shingle
+average with a deviation of nearly 6, 60 may, and one of 28 parts of 9 or 10 bits
+agrees in all but about one of 1,000 such pairs. Its fingerprints count each shingle
 once, and its links are checked: two texts stay linked only if the sets of their
 shingles, as 32-bit hashes, share ``least``. That goes by rounds. A block, or two
 blocks that meet, hands on spanning forests of its least differing pairs, each
@@ -77,7 +77,7 @@ class Law:
 
 
 EXACT = Law(4, 1, 4, (13, 13, 13, 13, 12))
-SIMILAR = Law(5, 4, 48, (11, 11, 11, 11, 10, 10), 0.8)
+SIMILAR = Law(5, 4, 60, (10, 9, 9, 9, 9, 9, 9), 0.8)
 
 
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:

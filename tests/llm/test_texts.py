@@ -145,6 +145,20 @@ def test_similar_groups_equal_checked_pairs(spark):
     assert {r.id: r.component for r in found if r.id is not None} == dict(enumerate(root.tolist()))
 
 
+def test_similar_pairs_are_candidates():
+    rng, law = np.random.default_rng(1), simhash.SIMILAR
+    starts = np.r_[0, np.cumsum(law.parts)]
+    lost = 0
+    for _ in range(1500):
+        # 90 shingles each, 80 in common: 0.8.
+        h = rng.integers(0, 1 << 64, 100, dtype=np.uint64)
+        differ = simhash.fingerprint_of(h[:90], law.width) ^ simhash.fingerprint_of(h[10:], law.width)
+        bits = np.unpackbits(differ.astype(">i8").view(np.uint8)).reshape(law.width, 64)
+        agree = not all(row[a:b].any() for row in bits for a, b in zip(starts, starts[1:]))
+        lost += bits.sum() > law.most or not agree
+    assert lost <= 6
+
+
 def test_similar_pairs_in_a_crowd_just_below_are_checked(spark):
     rng = random.Random(4)
     fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
