@@ -24,13 +24,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
-    Near are documents that share 0.8 or more of their five-word shingles. Of rows
-    with one id, one stays.
+    Near are documents that share 0.8 or more of their five-word shingles. Texts are
+    compared and kept, not ids: rows of one id or of none with different texts are
+    different documents. Of equal ids the least digest of the text and then of the
+    row decides, null ids come last, and of rows equal in all columns one stays.
     """
-    groups = simhash.near_groups(docs, law=simhash.SIMILAR)
-    kept = groups.filter("id = component or component is null").select(F.col("id").alias("_id"))
-    rows = docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    null = [F.col(c).isNull() for c in docs.columns]
+    rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = rows.withColumn("_row", F.xxhash64(*docs.columns, *null))
+    groups = simhash.near_groups(rows, id="_text", law=simhash.SIMILAR).select("id", "component").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_row")).alias("first")
+    firsts = rows.groupBy("_text").agg(first)
+    kept = groups.join(firsts, F.col("id") == F.col("_text")).groupBy("component").agg(F.min("first").alias("first"))
+    rows = rows.join(kept.select("first._row"), "_row", "left_semi")
+    return rows.dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -359,3 +359,18 @@ def test_pipeline_stages_keep_columns_and_clean_documents(docs):
         columns, rows = rows.columns, stage(docs.sparkSession, rows, "")
         assert rows.columns[: len(columns)] == columns, name
     assert rows.count() > 0
+
+
+def test_near_duplicates_drop_texts_not_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    made = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    near = made[0] + " end"
+    rows = [(None, made[1], "a"), (None, made[2], "a"), (7, made[3], "a"), (7, made[4], "b"), (7, near, "b")]
+    rows += [(1, made[0], "a"), (1, made[0], "a"), (1, made[0], None), (None, made[3], "a"), (9, made[5], "a"), (8, made[5], "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {(None, made[1]), (None, made[2]), (7, made[3]), (7, made[4]), (1, made[0]), (8, made[5])}
+    for parts in (1, 5):
+        got = corpus_pipeline.near_duplicates(spark, df.repartition(parts), "").collect()
+        assert len(got) == len(want) and {(r.doc_id, r.text) for r in got} == want
