@@ -148,7 +148,7 @@ def sketches(df: DataFrame, text: str, law: Law) -> DataFrame:
     return df.withColumn("_of", of(text)).select("*", "_of.*").drop("_of")
 
 
-BLOCK = "part int, pattern long, first long, mask array<long>, bits array<long>, codes binary, ids binary"
+BLOCK = "part int, pattern long, mask array<long>, bits array<long>, codes binary, ids binary"
 EDGE = "a long, b long"
 
 
@@ -156,16 +156,16 @@ def _blocks(width: int):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted entries as blocks; a node is cut wherever a batch ends."""
         for batch in batches:
-            part, pattern, rank, ids = (batch.column(n).to_numpy() for n in (0, 1, 2, 4))
+            part, pattern, ids = (batch.column(n).to_numpy() for n in (0, 1, 3))
             if not len(part):
                 continue
-            code = batch.column(3).flatten().to_numpy().reshape(-1, width)
+            code = batch.column(2).flatten().to_numpy().reshape(-1, width)
             starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (pattern[1:] != pattern[:-1])])
             every, some = np.bitwise_and.reduceat(code, starts), np.bitwise_or.reduceat(code, starts)
             ends = np.r_[starts[1:], len(part)]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": part[starts], "pattern": pattern[starts], "first": rank[starts],
+                    "part": part[starts], "pattern": pattern[starts],
                     "mask": pa.array(list(~(every ^ some)), pa.list_(pa.int64())),
                     "bits": pa.array(list(every), pa.list_(pa.int64())),
                     "codes": [code[a:b].tobytes() for a, b in zip(starts, ends)],
@@ -332,11 +332,12 @@ def meetings(codes: DataFrame, law: Law) -> tuple[DataFrame, DataFrame]:
         entries = entries.withColumn("rank", F.expr(f"rank ^ shiftrightunsigned(rank, {shift})"))
     # As a signed value that sorts like the unsigned one.
     entries = entries.withColumn("rank", F.col("rank").bitwiseXOR(F.lit(-(1 << 63))))
+    entries = entries.select("part", "pattern", "rank", "code", "id")
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(
-        entries.select("part", "pattern", "rank", "code", "id")
-        .repartitionByRange(parts, "part", "rank")
-        .sortWithinPartitions("part", "rank")
+        entries.repartitionByRange(parts, "part", "rank", "id")
+        .sortWithinPartitions("part", "rank", "id")
+        .select("part", "pattern", "code", "id")
         .mapInArrow(_blocks(law.width), BLOCK)
         .withColumn("block", F.monotonically_increasing_id()),
         "blocks",
@@ -354,7 +355,7 @@ def meetings(codes: DataFrame, law: Law) -> tuple[DataFrame, DataFrame]:
         y,
         (F.col("x.part") == F.col("y.part"))
         & (F.col("x.pattern") == F.col("y.pattern"))
-        & (F.col("x.first") < F.col("y.first"))
+        & (F.col("x.block") < F.col("y.block"))
         & (differ <= law.most),
     )
     return blocks, pairs.select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))

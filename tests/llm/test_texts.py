@@ -109,6 +109,15 @@ def test_simhash_index_loses_no_link_in_crowded_nodes(spark):
     assert {n: got.get(n, n) for n in range(len(bits))} == dict(enumerate(root.tolist()))
 
 
+def test_blocks_of_equal_rank_meet(spark):
+    # Far more entries than a block holds, all with one first word.
+    df = spark.createDataFrame([([5, n], n) for n in range(1600)], "code array<long>, id long").repartition(3)
+    blocks, meet = simhash.meetings(df, simhash.Law(4, 2, 128, (64,)))
+    held = [r.block for r in blocks.filter("part = 0").collect()]
+    assert len(held) > 3
+    assert {(r.x, r.y) for r in meet.collect()} >= {(a, b) for a in held for b in held if a < b}
+
+
 def test_similar_texts_are_near_and_others_not(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(5000)}" for _ in range(400)]
