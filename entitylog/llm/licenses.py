@@ -2,10 +2,13 @@
 
 Every line of a text is a sparse vector of its words, ``1 + ln(count)`` times the
 word's inverse document frequency ``1 + ln((documents + 1) / (frequency + 1))``,
-counted over all documents. Only words of the templates are counted; all others
-count as seen in no document, which can only lower a line's similarity. The line
-nearest to a template by cosine gives the text's licence, if near enough; of
-equals the first line, then the first licence by name.
+counted over all documents. The line nearest to a template by cosine gives the
+text's licence, if near enough; of equals the first line, then the first licence by
+name.
+
+Candidates are the lines that would be near enough if each word that no template
+has stood in every document, which weighs least; no other line can be. The words
+of their distinct kinds are joined to the counts, and a kind is weighed once.
 
 A text without a licence of its own inherits that of the nearest directory above
 it with a licence file in it; of several there, the one of the least path.
@@ -27,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitylog.llm.common import small_batches
+from entitylog.llm.common import small_batches, stored
 
 #: Least cosine of a line to a template.
 LEAST = 0.7
+#: Words a task counts before it sends what it has.
+KEPT_WORDS = 1_000_000
 
 # Usual statements and headings of licences, by SPDX name.
 TEMPLATES = (
@@ -66,7 +71,7 @@ class Matcher:
     def __init__(self, templates: tuple, documents: int, seen: dict[str, int]) -> None:
         counts = [Counter(words_of(t)) for _, t in templates]
         self.names = [name for name, _ in templates]
-        self.other = 1 + math.log(documents + 1)
+        self.documents = documents
         self.idf = {w: 1 + math.log((documents + 1) / (seen.get(w, 0) + 1)) for c in counts for w in c}
         self.rows: dict[str, np.ndarray] = {w: np.zeros(len(counts)) for w in self.idf}
         for n, c in enumerate(counts):
@@ -75,67 +80,126 @@ class Matcher:
             for w, x in vector.items():
                 self.rows[w][n] = x / norm
 
-    def best(self, text: str | None, least: float) -> tuple[str | None, float | None, int | None]:
-        """Licence, cosine and number of the nearest line."""
-        found: tuple = (None, None, None)
-        for number, line in enumerate((text or "").split("\n")):
-            count = Counter(words_of(line))
-            common = count.keys() & self.idf.keys()
-            if not common:
-                continue
-            vector = {w: (1 + math.log(count[w])) * self.idf[w] for w in common}
-            own = sum(x * x for x in vector.values())
-            # The others weigh at least this much, so that most lines end here.
-            if own < least * least * (own + (len(count) - len(common)) * self.other**2):
-                continue
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "counts"}
+
+    def cosines(self, words: list[str], rest: float | None = None) -> np.ndarray | None:
+        """Of a line to the templates; ``rest``: squares of its other words, the least possible if not given."""
+        count = Counter(words)
+        common = count.keys() & self.idf.keys()
+        if not common:
+            return None
+        vector = {w: (1 + math.log(count[w])) * self.idf[w] for w in common}
+        if rest is None:
             rest = sum((1 + math.log(k)) ** 2 for w, k in count.items() if w not in common)
-            norm = math.sqrt(own + rest * self.other**2)
-            cosines = sum(x * self.rows[w] for w, x in sorted(vector.items())) / norm
-            top = float(cosines.max())
-            if top >= least and (found[1] is None or top > found[1] + 1e-12):
-                found = (min(n for n, c in zip(self.names, cosines) if c >= top - 1e-12), top, number)
+        norm = math.sqrt(sum(x * x for _, x in sorted(vector.items())) + rest)
+        return sum(x * self.rows[w] for w, x in sorted(vector.items())) / norm
+
+    def candidates(self, text: str | None, least: float) -> list[tuple[int, str]]:
+        """Numbers of the lines that may be near enough, and their words in order."""
+        found = []
+        for number, line in enumerate((text or "").split("\n")):
+            words = words_of(line)
+            cosines = self.cosines(words)
+            if cosines is not None and cosines.max() >= least - 1e-9:
+                found.append((number, " ".join(sorted(words))))
         return found
 
+    def named(self, words: list[str], rest: float, least: float) -> tuple[str | None, float | None]:
+        """Licence and cosine of a line."""
+        cosines = self.cosines(words, rest)
+        top = float(cosines.max())
+        if top < least:
+            return None, None
+        return min(n for n, c in zip(self.names, cosines) if c >= top - 1e-12), top
+
 
 def matcher(df: DataFrame, text: str = "text", templates: tuple = TEMPLATES) -> Matcher:
-    """The templates weighted by all documents: a count per template word reaches the driver."""
+    """The templates weighted by all documents: a count per template word reaches the driver.
+
+    ``counts`` of the result is the stored table of every word's document frequency.
+    """
     small_batches(df.sparkSession)
     known = {w for _, t in templates for w in words_of(t)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"word": list(seen), "n": list(seen.values())})
+
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 seen[""] += 1
-                seen.update(known.intersection(words_of(t or "")))
-        yield pa.RecordBatch.from_pydict({"word": list(seen), "n": list(seen.values())})
+                seen.update(set(words_of(t or "")))
+                if len(seen) > KEPT_WORDS:
+                    yield sent()
+                    seen.clear()
+        yield sent()
 
-    rows = df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n"))
-    seen = dict(rows.collect())
-    return Matcher(templates, seen.get("", 0), seen)
+    rows = df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stored(rows, "frequencies")
+    seen = dict(counts.filter(F.col("word").isin("", *sorted(known))).collect())
+    match = Matcher(templates, seen.get("", 0), seen)
+    match.counts = counts
+    return match
 
 
 def scan(df: DataFrame, match: Matcher, text: str = "text", least: float = LEAST) -> DataFrame:
     """Adds the licence each text names: ``license``, ``cosine`` and ``line`` (from 0), or nulls."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(match)
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
-    @F.pandas_udf("license string, cosine double, line int")
-    def named(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in texts:
-            found = [shared.value.best(t, least) for t in part]
-            yield pd.DataFrame(
-                {
-                    "license": pd.Series([f[0] for f in found], dtype=object),
-                    "cosine": pd.Series([f[1] for f in found], dtype="Float64"),
-                    "line": pd.Series([f[2] for f in found], dtype="Int32"),
-                }
-            )
-
-    out = df.withColumn("_named", named(text))
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (key, *line)
+                for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for line in shared.value.candidates(t, least)
+            ]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.string(), pa.int32(), pa.string()))],
+                    ["digest", "line", "words"],
+                )
+
+    @F.pandas_udf("license string, cosine double")
+    def named(words: pd.Series, rest: pd.Series) -> pd.DataFrame:
+        found = [shared.value.named(w.split(" "), r, least) for w, r in zip(words, rest)]
+        return pd.DataFrame(
+            {
+                "license": pd.Series([f[0] for f in found], dtype=object),
+                "cosine": pd.Series([f[1] for f in found], dtype="Float64"),
+            }
+        )
+
+    lines = df.select(digest.alias("digest"), text).mapInArrow(candidates, "digest string, line int, words string")
+    lines = stored(lines, "lines")
+    kinds = lines.select("words").distinct()
+    others = (
+        kinds.select("words", F.explode(F.split("words", " ")).alias("word"))
+        .filter(~F.col("word").isin(*match.idf))
+        .groupBy("words", "word")
+        .agg(F.count(F.lit(1)).alias("k"))
+        .join(match.counts, "word")
+    )
+    weight = (1 + F.log("k")) * (1 + F.log(F.lit(match.documents + 1.0) / (F.col("n") + 1)))
+    rests = others.groupBy("words").agg(F.sum(weight * weight).alias("rest"))
+    kinds = kinds.join(rests, "words", "left").withColumn("_of", named("words", F.coalesce("rest", F.lit(0.0))))
+    kinds = stored(kinds.select("words", "_of.*").filter("license is not null"), "kinds")
+    # Sums of one line's weights may differ in their last digits.
+    order = F.struct(-F.round("cosine", 12), "line")
+    best = (
+        lines.join(kinds, "words")
+        .groupBy("digest")
+        .agg(F.min_by(F.struct("license", "cosine", "line"), order).alias("_named"))
+        .withColumnRenamed("digest", "_digest")
+    )
+    out = df.withColumn("_digest", digest).join(best, "_digest", "left")
     for name in ("license", "cosine", "line"):
         out = out.withColumn(name, F.col("_named")[name])
-    return out.drop("_named")
+    return out.drop("_named", "_digest")
 
 
 def inherit(df: DataFrame, path: str = "path", is_file: str = "is_file") -> DataFrame:

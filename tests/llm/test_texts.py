@@ -78,6 +78,21 @@ def test_licences_are_found_and_inherited(spark):
     }
 
 
+def test_licence_lines_are_weighed_with_all_words_counted(spark):
+    line = "Released under the MIT License for all"
+    rows = [(n, "for all of us the day is under way" + (" x" if n % 2 else "")) for n in range(1000)]
+    rows += [(5000, line), (5001, "q\n" + line), (None, line), (5002, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = licenses.scan(df, licenses.matcher(df)).filter("license is not null").collect()
+    n, seen = len(rows), Counter(w for _, t in rows for w in set(licenses.words_of(t or "")))
+    weigh = lambda t: {w: (1 + math.log(k)) * (1 + math.log((n + 1) / (seen[w] + 1))) for w, k in Counter(licenses.words_of(t)).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    a, b = weigh(line), weigh("Released under the MIT License")
+    cosine = sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)
+    assert {(r.doc_id, r.license, r.line) for r in got} == {(5000, "MIT", 0), (5001, "MIT", 1), (None, "MIT", 0)}
+    assert cosine > 0.9 and all(math.isclose(r.cosine, cosine, rel_tol=1e-9) for r in got)
+
+
 def test_simhash_groups_equal_all_pairs(docs):
     def plain(text):
         words = plain_words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
