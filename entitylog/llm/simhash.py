@@ -302,10 +302,10 @@ def _tries(law: Law, forests: int):
                 out["tried"].append(np.r_[tried, new].tobytes() if len(i) else None)
                 out["left"].append(len(i) > 0)
             if out["x"]:
-                for n in ("a", "b"):
-                    out[n] = pa.array(out[n], pa.list_(pa.int64()))
-                out["tried"] = pa.array(out["tried"], pa.binary())
-                yield pa.RecordBatch.from_pydict(out)
+                # Given, as a batch may hold nothing but nulls.
+                long, longs = pa.int64(), pa.list_(pa.int64())
+                kinds = {"x": long, "y": long, "a": longs, "b": longs, "tried": pa.binary(), "left": pa.bool_()}
+                yield pa.RecordBatch.from_pydict({n: pa.array(out[n], kind) for n, kind in kinds.items()})
 
     return tries
 

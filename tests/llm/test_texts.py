@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -206,6 +207,19 @@ def test_similar_pairs_in_a_crowd_just_below_are_checked(spark):
     assert {n: got.get(n, n) for n in range(len(sets))} == dict(enumerate(root.tolist()))
 
 
+def test_tries_have_one_schema():
+    codes = np.zeros((3, 4), np.uint64).tobytes()
+    ids = lambda n: np.arange(n, n + 3).tobytes()
+    none = dict.fromkeys(("labels", "labels2", "tried"))
+    rows = [
+        {"x": 0, "y": None, "codes": codes, "ids": ids(0), "codes2": None, "ids2": None} | none,
+        {"x": 0, "y": 1, "codes": codes, "ids": ids(0), "codes2": codes, "ids2": ids(3)} | none,
+    ]
+    batches = [pa.RecordBatch.from_pylist([r]) for r in rows]
+    got = list(simhash._tries(simhash.SIMILAR, 1)(iter(batches)))
+    assert len(got) == 2 and got[0].schema == got[1].schema
+
+
 def hash_of(shingle):
     return int(np.uint64(xxhash.xxh64_intdigest(shingle.encode(), 42)).astype(np.uint32).view(np.int32))
 
