@@ -78,6 +78,64 @@ def running(
     )
 
 
+#: A key is spread where it has over one of this many rows, so at most as many keys are.
+SHARES = 1000
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small``, which has at most one row per key, whatever a key's share of ``big``.
+
+    ``big`` should be stored, as it is read twice. Keys with over one of ``SHARES`` rows
+    of ``big`` (and over eight) are dealt over salts in proportion to their rows, and
+    ``small`` is repeated for these: at most ``SHARES`` keys and twice as many repeated
+    rows at any size, so the list of them is broadcast. ``how`` is inner or left; null
+    keys find nothing.
+    """
+    least = max(big.count() / SHARES, 8)
+    hot = (
+        big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
+        .select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("_salts"))
+    )
+
+    def marked(side: DataFrame) -> DataFrame:
+        names = {k: f"_hot_{n}" for n, k in enumerate(keys)}
+        same = None
+        for key, name in names.items():
+            one = side[key].eqNullSafe(F.col(name))
+            same = one if same is None else same & one
+        named = hot.select(*(F.col(k).alias(name) for k, name in names.items()), "_salts")
+        return side.join(F.broadcast(named), same, "left").drop(*names.values())
+
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_salts", F.lit(1))).cast("int")
+    left = marked(big).withColumn("_salt", salt).drop("_salts")
+    right = marked(small).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def ranked(df: DataFrame, key: str, order: Sequence[str | Column], into: str) -> DataFrame:
+    """Adds the place, from 1, of each row inside its key in the given order; a key may have any share of the rows.
+
+    Rows are sorted over all tasks and stored; a row's place is counted inside its
+    task, and one row per key and task carries the counts on.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(
+        df.repartitionByRange(parts, key, *order)
+        .sortWithinPartitions(key, *order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_part", F.spark_partition_id()),
+        "ranked",
+    )
+    runs = rows.groupBy(key, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(key, "_part", (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return spread_join(rows, runs, [key, "_part"]).withColumn(into, F.col("_at") + F.col("_shift")).drop(
+        "_at", "_part", "_shift"
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph given as columns ``a`` and ``b``.
 

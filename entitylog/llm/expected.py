@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from entitylog.llm import mix, quality, shards
+from entitylog.llm import mix, quality, shards, spelling, warc
 
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -38,16 +38,24 @@ from verdict join rates on verdict.source is not distinct from rates.source
 """
 
 # The checksum's polynomial, 0xEDB88320 in reversed order, is a fixed value.
-SHARDING = f"""
-with tab as (select list(c order by n) as t from (
+TAB = """tab as (select list(c order by n) as t from (
     select n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
       lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end) as c
-    from (select cast(unnest(range(256)) as bigint) as n) r) s),
+    from (select cast(unnest(range(256)) as bigint) as n) r) s)"""
+
+
+def checksum(text: str) -> str:
+    """The CRC-32 of a text in UTF-8, beside ``TAB``."""
+    return f"""xor(4294967295, list_reduce([4294967295] || list_transform(
+      regexp_extract_all(hex(encode({text})), '..'), lambda h: cast('0x' || h as bigint)),
+      lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])))"""
+
+
+SHARDING = f"""
+with {TAB},
 rows as (select doc_id, strlen(coalesce(text, '')) + 16 as size,
     case when source is null then '1' else '0' || source end as stratum, {running_order(shards.SEED)} as ord,
-    xor(4294967295, list_reduce([4294967295] || list_transform(
-      regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint)),
-      lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) as crc
+    {checksum("coalesce(text, '')")} as crc
   from documents, tab),
 ranked as (select *, (row_number() over (partition by stratum order by ord, doc_id, size, crc) - 1 + 0.5::double)
     / count(*) over (partition by stratum) as fraction from rows),
@@ -106,7 +114,76 @@ with sized as (select *, len({WORDS})::bigint as size, row_number() over () as r
 select doc_id, size, source_size, target, taken from m_taken
 """
 
-STATEMENTS = {"op5_mixing": MIXING, "op9_quality": QUALITY, "op10_sharding": SHARDING}
+ARCHIVE = f"""
+with p as (select page_id, strlen(coalesce(html, '')) as size, sha256(coalesce(html, '')) as digest from pages),
+firsts as (select digest, min(page_id) as first from p where size >= {warc.LEAST} group by 1),
+r as (select p.*, first, coalesce(first <> page_id, false) as again from p left join firsts using (digest))
+select page_id, size::bigint as payload_bytes, digest as payload_digest,
+  case when again then 'revisit' else 'response' end as record_type, case when again then first end as refers_to
+from r
+"""
+
+UPPER, LOWER = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+SPELLING = f"""
+with recursive {TAB},
+runs as (select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+    '{UPPER}', '{LOWER}') as run from documents),
+each_ as (select doc_id, run, count(*) as n from runs group by all),
+marked as (select *, {checksum("coalesce(doc_id::varchar, '') || ':' || run")} as h from each_, tab),
+kept as (select n, case when h % {spelling.ONE_IN} = 0
+    then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word from marked),
+words as (select word, sum(n)::bigint as n from kept where length(word) >= {spelling.LEAST_LETTERS} group by 1
+  having sum(n) >= {spelling.LEAST_COUNT}),
+cuts as (select word, n, i, left(word, i::int) || substr(word, i::int + 2) as cut
+  from (select *, unnest(range(length(word))) as i from words) w),
+pairs as (select distinct a.word, b.word as other, b.n as m from cuts a join cuts b
+    on a.cut = b.cut and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from cuts a join words b on a.cut = b.word
+  union select b.word, a.word, a.n from cuts a join words b on a.cut = b.word),
+near as (select word, count(*) as n_near, min(struct_pack(n := -m, word := other)) as best from pairs group by 1),
+formed as (select word, n, coalesce(n_near, 0)::bigint as n_near,
+    case when -best.n >= 2 * n then best.word end as form, case when -best.n >= 2 * n then -best.n end as form_n
+  from words left join near using (word)),
+walk as (select word, form as root from formed where form is not null
+  union all select w.word, f.form from walk w join formed f on f.word = w.root where f.form is not null),
+lasts as (select w.word, w.root from walk w join formed f on f.word = w.root where f.form is null)
+select word, n, n_near, form, form_n::bigint as form_n, coalesce(root, word) as root
+from formed left join lasts using (word)
+"""
+
+TURN = "md5(strlen(r)::varchar || ':' || r || x)"
+TRIE = f"""
+with {TAB},
+said as (select conv_id as c, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+placed as (select c, {TURN} as id, length(x) as chars, row_number() over (partition by c order by turn nulls first, {TURN}) as nth
+  from said),
+convs as (select c, {checksum("c::varchar")} % 6 as h from (select distinct c from placed) p, tab),
+parts as (select convs.c, 0 as part, nth, id, chars from convs join placed p on p.c = convs.c - convs.c % 100 and nth <= h
+  union all select c, 1, nth, id, chars from placed join convs using (c) where nth > h),
+whole as (select c, coalesce(ids, []) as ids, coalesce(chars, []) as chars from convs left join
+  (select c, list(id order by part, nth) as ids, list(chars order by part, nth) as chars from parts group by 1) p using (c)),
+ways as (select c, d, array_to_string(ids[:d], '') as way, chars[d] as size, len(ids) = d as ends
+  from (select *, unnest(range(len(ids) + 1)) as d from whole) w),
+nodes as (select way, d, min(c) as conv, count(*) as n, any_value(size) as size,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256 from ways group by 1, 2),
+born as (select left(way, 32 * (d - 1)) as way, count(*) as children from nodes where d > 0 group by 1),
+known as (select nodes.*, coalesce(children, 0) as children from nodes left join born using (way)),
+above as (select left(way, 32 * e) as way, count(*) filter (children = 0) as leaves,
+    sum(case when d = 0 then 0 else (n - 1) * size end) as saved
+  from (select *, unnest(range(d + 1)) as e from known) k group by 1)
+select k.conv as conv_id, k.d::bigint as depth, p.conv as parent_conv_id, k.n::bigint as n_convs, k.children::bigint as n_children,
+  leaves::bigint as n_leaves, saved::bigint as saved_tokens, k.ends_sha256
+from known k join above using (way) left join known p on k.d > 0 and p.way = left(k.way, 32 * (k.d - 1))
+"""
+
+STATEMENTS = {
+    "op5_mixing": MIXING,
+    "op9_quality": QUALITY,
+    "op10_sharding": SHARDING,
+    "op11_warc": ARCHIVE,
+    "op12_spelling": SPELLING,
+    "op13_conversations": TRIE,
+}
 
 
 def sql() -> dict[str, str]:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylog.llm import bpe, embed, langid, licenses, lm, mix, quality, repeats, shards, simhash
-from entitylog.llm.common import small_batches, stored, table
+from entitylog.llm import (
+    bpe, embed, langid, licenses, lm, mix, quality, repeats, shards, simhash, spelling, tries, warc,
+)
+from entitylog.llm.common import shared_folder, small_batches, stored, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -117,7 +121,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an archive of all pages gives when it is read back."""
+    path = f"{shared_folder(spark)}/llm/archive-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        F.col("page").alias("page_id"),
+        F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return tries.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_licenses, op3_simhash, op4_embeddings, op5_mixing, op6_language, op7_lm, op8_suffixes, op9_quality, op10_sharding)
-}
+    for f in (
+        op1_bpe, op2_licenses, op3_simhash, op4_embeddings, op5_mixing, op6_language, op7_lm, op8_suffixes,
+        op9_quality, op10_sharding, op11_warc, op12_spelling, op13_conversations,
+    )
+}
