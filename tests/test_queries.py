@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the entity log against its SQL on the smallest tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from entitylog.plans import expected, tables
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -27,18 +28,20 @@ def comparable(rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(tables.QUERIES) <= set(expected.sql())
+    assert set(tables.QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["k", "o", "value"]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(tables.QUERIES))
 def test_query(spark, duck, name):
-    got = entry_points.queries()[name](spark, str(SF_DIR))
+    got = tables.QUERIES[name](spark, str(SF_DIR))
     columns = sorted(got.columns)
-    sql = entry_points.oracle_sql()[name]
+    sql = expected.sql()[name]
     assert sorted(duck.sql(sql).columns) == columns
     expected = duck.sql(f"select {', '.join(columns)} from ({sql}) as expected").fetchall()
     assert comparable(tuple(r) for r in got.select(*columns).collect()) == comparable(expected)
