@@ -126,6 +126,60 @@ def missing_nodes(state: DataFrame, nodes: DataFrame, key: str = "id", node: str
     return left.join(right, match, "left_anti")
 
 
+def missing_rounds(
+    listed: DataFrame, keys: Sequence[str], node: str, rounds: tuple[int, int], round: str = "snapshot_id",
+    chunk: int = 2048,
+) -> DataFrame:
+    """Runs of rounds in which a known key was not listed as it was: keys, ``first``, ``last``, ``moved``.
+
+    ``listed`` has one row per key and round. A key is known from its first listing
+    on. Missing is a round that does not list it; and, with ``moved``, one that lists
+    it with another node than its last listing before, which is known from then on.
+    Runs of absent rounds are gaps between a key's rows, so no round is made up for
+    them, and ``moved`` rounds that follow each other are one run. Rounds after a
+    key's last listing are missing up to the last round polled.
+
+    A key's rounds are compared in groups of ``chunk``, and one row per group carries
+    its last listing on, so that a key may have any number of rounds. Rows with a null
+    key or round are no entity.
+    """
+    first, last = rounds
+    dtype = listed.schema[node].dataType
+    rows = _keyed(listed, [*keys, round]).filter(F.col(round).between(first, last)).select(
+        *keys, F.col(round).cast("long").alias("_r"), F.struct(F.col(node).alias("node")).alias("_v")
+    )
+    rows = rows.withColumn("_chunk", F.expr(f"(_r - {first}) div {chunk}"))
+    group = [*keys, "_chunk"]
+    # Said here, so that both uses below share one shuffle.
+    rows = rows.repartition(*group)
+    ends = rows.groupBy(*group).agg(F.max_by(F.struct("_r", "_v"), "_r").alias("_last"), F.min("_r").alias("_begin"))
+    w = Window.partitionBy(*keys).orderBy("_chunk")
+    carry = ends.select(*group, F.lag("_last").over(w).alias("_carried"), F.lead("_begin").over(w).alias("_following"))
+    inside = Window.partitionBy(*group).orderBy("_r")
+    rows = rows.join(carry, group).withColumns(
+        {
+            "_before": F.coalesce(F.lag(F.struct("_r", "_v")).over(inside), "_carried"),
+            "_next": F.coalesce(F.lead("_r").over(inside), "_following", F.lit(last + 1)),
+        }
+    )
+    absent = rows.filter(F.col("_next") > F.col("_r") + 1).select(
+        *keys, (F.col("_r") + 1).alias("first"), (F.col("_next") - 1).alias("last"), F.lit(False).alias("moved")
+    )
+    moved = rows.filter(
+        F.col("_before").isNotNull() & ~same(F.col("_v.node"), F.col("_before._v.node"), dtype)
+    ).select(*keys, "_r")
+    # Consecutive rounds have one distance from their place in the key's order.
+    place = F.row_number().over(Window.partitionBy(*keys, F.expr(f"(_r - {first}) div {chunk}")).orderBy("_r"))
+    runs = moved.withColumns({"_chunk": F.expr(f"(_r - {first}) div {chunk}"), "_island": F.col("_r") - place})
+    runs = runs.groupBy(*keys, "_chunk", "_island").agg(F.min("_r").alias("first"), F.max("_r").alias("last"))
+    # Runs that touch across the border of two groups are one: few rows a key.
+    w = Window.partitionBy(*keys).orderBy("first")
+    opens = F.coalesce(F.col("first") > F.lag("last").over(w) + 1, F.lit(True))
+    runs = runs.withColumn("_run", F.sum(opens.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy(*keys, "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return absent.unionByName(runs.select(*keys, "first", "last", F.lit(True).alias("moved")))
+
+
 def topic_steps(changes: DataFrame) -> DataFrame:
     """Change rows of topics as log rows with ``seq`` and ``op_tag``.
 
@@ -191,7 +245,12 @@ def from_snapshots(
         # The state before the first round acts as one more round.
         start = first - 1
         placed = placed.union(
-            state.select(*keys, F.lit(start).cast("long"), F.struct(*values).cast(dtype))
+            state.select(
+                *keys,
+                F.lit(start).cast("long"),
+                # Field by field, as a field that may be null casts to none that may not.
+                F.struct(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in dtype.fields)),
+            )
         )
     chunked = chunk is not None
     group = list(keys)

@@ -85,26 +85,27 @@ def fold_cluster(log: DataFrame, order: Sequence[str], values: Sequence[str], op
     return fold(log, [], order, values, op, ignore=[DELETED])
 
 
-def _arm(log: DataFrame, kind: str) -> DataFrame:
-    arm = ARM[kind]
+def arm(log: DataFrame, kind: str) -> DataFrame:
+    """The events of one kind, its payload's fields as columns."""
+    name = ARM[kind]
     if "kind" in log.columns:
         # Of a stored log only this kind's files are read, and those of no single kind.
         log = log.filter((F.col("kind") == kind) | F.col("kind").isNull())
-    return log.filter(F.col(arm).isNotNull()).select("op", *LOG_ORDER, f"{arm}.*")
+    return log.filter(F.col(name).isNotNull()).select("op", *LOG_ORDER, f"{name}.*")
 
 
 def topics_current(log: DataFrame) -> DataFrame:
-    rows = fold_topics(_arm(log, TOPIC), ["name"], LOG_ORDER, ["description", "config"])
+    rows = fold_topics(arm(log, TOPIC), ["name"], LOG_ORDER, ["description", "config"])
     return rows.drop(*LOG_ORDER)
 
 
 def brokers_current(log: DataFrame) -> DataFrame:
-    rows = fold_brokers(_arm(log, BROKER), ["id"], LOG_ORDER, ["node", "config"])
+    rows = fold_brokers(arm(log, BROKER), ["id"], LOG_ORDER, ["node", "config"])
     return rows.drop(*LOG_ORDER)
 
 
 def cluster_current(log: DataFrame) -> DataFrame:
-    return fold_cluster(_arm(log, CLUSTER), LOG_ORDER, ["id", "controller"]).drop(*LOG_ORDER)
+    return fold_cluster(arm(log, CLUSTER), LOG_ORDER, ["id", "controller"]).drop(*LOG_ORDER)
 
 
 CURRENT = {TOPIC: topics_current, BROKER: brokers_current, CLUSTER: cluster_current}
@@ -142,6 +143,6 @@ REMOVED = {TOPIC: (DELETED,), BROKER: (), CLUSTER: ()}
 def apply_events(state: DataFrame, log: DataFrame, kind: str) -> DataFrame:
     """State of one kind after some more events of the log."""
     return apply(
-        state, _arm(log, kind), KEYS[kind], LOG_ORDER, VALUES[kind],
+        state, arm(log, kind), KEYS[kind], LOG_ORDER, VALUES[kind],
         ignore=IGNORED[kind], remove=REMOVED[kind],
     )

@@ -77,8 +77,40 @@ from changes c join (values ('Deleted', 0, 'Deleted'), ('Created', 1, 'Created')
   left join snap on snap.k = c.k and snap.r = c.r
 """
 
+# Where the last of four equal parts of the quarters begins.
+LAST_PART = "(select min(r) + (max(r) - min(r) + 1) * 3 // 4 from snap)"
+
+LISTED = """
+, listed as (select l_suppkey as id, cast((year(l_shipdate) - 1992) * 4 + quarter(l_shipdate) as bigint) as r,
+    count(*) as port, max(l_linestatus) as node from lineitem group by 1, 2)
+"""
+
 STATEMENTS = {
     "stream_snapshots_to_log": STEPS,
+    "poll_state_versions": f"""
+select 'last' as version, k, n from snap where r = (select max(r) from snap)
+union all select 'before', k, n from snap where r = {LAST_PART} - 1
+""",
+    "poll_log_version": f"select * from ({STEPS.replace(', changes as', 'with changes as', 1)}) t where r < {LAST_PART}",
+    "followed_counters": """
+select entity_type, op, cast(count(*) as double) as total from valid_log group by 1, 2
+""",
+    "listed_brokers": LISTED + """
+, spoken as (select id, r, port, case when id % 7 <> 0 then node end as mode, row_number() over w as n,
+    lag(port) over w as last_port, lag(case when id % 7 <> 0 then node end) over w as last_mode
+  from listed where id % 7 = 0 or id % 11 <> 3 window w as (partition by id order by r))
+select id, r, case when n = 1 then 'Created' else 'Updated' end as op, port, mode from spoken
+where n = 1 or port <> last_port or mode is distinct from last_mode
+""",
+    "missing_broker_rounds": """
+, near as (select *, lead(r) over w as following, lag(p) over w as last_p, lag(r) over w as last_r
+  from snap window w as (partition by k order by r)),
+moved as (select k, r, r - row_number() over (partition by k order by r) as island from near
+  where last_r is not null and p is distinct from last_p)
+select k, r + 1 as first, coalesce(following, (select max(r) + 1 from snap)) - 1 as last, false as moved from near
+where coalesce(following, (select max(r) + 1 from snap)) > r + 1
+union all select k, min(r), max(r), true from moved group by k, island
+""",
     "topics_current": """
 select k, o, value from (select *, row_number() over (partition by k order by o desc) as rn
   from log where op <> 'Created') t where rn = 1 and op = 'Updated'

@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entitylog.functions.canon import tidy
 from entitylog.operators import changelog
-from entitylog.operators.enrich import with_config
+from entitylog.operators.enrich import with_config, with_description
 from entitylog.operators.envelope import wrap
 from entitylog.operators.filters import allowed, visible
 from entitylog.params import Params
-from entitylog.schema import BROKER, CLUSTER, CREATED, KEYS, SEQ, TOPIC, UPDATED, VALUES
+from entitylog.schema import (
+    BROKER,
+    CLUSTER,
+    CONFIGS,
+    CREATED,
+    DESCRIPTIONS,
+    KEYS,
+    SEQ,
+    SNAPSHOT,
+    TOPIC,
+    TOPICS,
+    UPDATED,
+    VALUES,
+)
 from entitylog.sources.snapshots import brokers_of
 
 Rounds = tuple[int, int]
@@ -73,6 +87,44 @@ def cluster_events(
     return wrap(changelog.plain_steps(changes).withColumnRenamed("snapshot_id", "round"), CLUSTER)
 
 
+def _configs(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    return tables[CONFIGS].withColumnRenamed("name", name)
+
+
+def cluster_listing_events(
+    tables: dict[str, DataFrame], rounds: Rounds, params: Params = Params(), states: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Cluster events of its listings, and broker events of the nodes they list, with each broker's config looked up."""
+    states = states or {}
+    listed = brokers_of(tables[CLUSTER])
+    # A listing may be spread over rows that repeat a node; of its rows the least counts.
+    one = listed.groupBy("snapshot_id", "id").agg(F.min("node").alias("node"))
+    brokers = with_config(one, _configs(tables, "id"), ["snapshot_id", "id"], resource=BROKER)
+    brokers = tidy(brokers, SNAPSHOT[BROKER])
+    return {
+        CLUSTER: cluster_events(tables[CLUSTER], rounds, params, states.get(CLUSTER)),
+        BROKER: broker_events(brokers, rounds, params, states.get(BROKER)),
+    }
+
+
+def topic_listing_events(
+    tables: dict[str, DataFrame], rounds: Rounds, params: Params = Params(), states: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Topic events of listed names, described and with their config looked up.
+
+    A listed topic without a description is there, but nothing is known of it.
+    """
+    key = ["snapshot_id", "name"]
+    listed = tables[TOPICS].select(*key).distinct()
+    described = with_description(listed, tables[DESCRIPTIONS], key, how="left")
+    topics = with_config(described, _configs(tables, "name"), key, resource=TOPIC)
+    topics = tidy(topics, SNAPSHOT[TOPIC])
+    return {TOPIC: topic_events(topics, rounds, params, (states or {}).get(TOPIC))}
+
+
+LISTED_EVENTS = {"cluster": cluster_listing_events, "topic": topic_listing_events}
+
+
 EVENTS = {TOPIC: topic_events, BROKER: broker_events, CLUSTER: cluster_events}
 
 

@@ -18,13 +18,16 @@ from entitylog.plans import poll, views
 from entitylog.schema import (
     BROKER,
     CLUSTER,
+    CONFIGS,
     CREATED,
     DELETED,
+    NODE,
     TOPIC,
     TOPIC_STATE,
     UPDATED,
 )
 from entitylog.session import scratch
+from entitylog.sources import commits
 from entitylog.sources import log as logs
 from entitylog.sources import snapshots
 from entitylog.streaming import materialise
@@ -871,13 +874,119 @@ def stream_snapshots_to_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     streaming_poll.snapshots_to_log(
         spark, f"{path}/in", f"{path}/out", TOPIC, Params(include_internal=True), once=True
     ).awaitTermination()
-    log = logs.read_log(spark, streaming_poll.log_path(f"{path}/out"))
+    return _flat_topic_events(streaming_poll.read_log(spark, f"{path}/out", [TOPIC]))
+
+
+def _flat_topic_events(log: DataFrame) -> DataFrame:
     return log.select(
         F.col("entity_id").cast("long").alias("k"), F.col("round").alias("r"), "seq", "op", "op_tag",
         F.col("topic.config")["n"].cast("long").alias("n"),
     )
 
 
+def _polled_in_parts(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
+    """Quarters written and polled in several parts, the state's layers merged by two."""
+    path = scratch(spark, "poll")
+    snaps, (first, last) = _topic_snapshots(spark, sf_dir), quarters(spark, sf_dir)
+    for n in range(parts):
+        low, high = (first + (last - first + 1) * m // parts for m in (n, n + 1))
+        part = snaps.filter(F.col("snapshot_id").between(low, high - 1))
+        snapshots.write_snapshots(part, f"{path}/in", TOPIC, (low, high - 1))
+        streaming_poll.snapshots_to_log(
+            spark, f"{path}/in", f"{path}/out", TOPIC, Params(include_internal=True), once=True, fan=2
+        ).awaitTermination()
+    return f"{path}/out"
+
+
+def poll_state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State as it is after all polls, and as it was before the last."""
+    out = _polled_in_parts(spark, sf_dir)
+    batch = max(v for v in commits.versions(spark, streaming_poll.state_path(out, TOPIC)))
+    found = [
+        streaming_poll.read_state(spark, out, TOPIC, n).select(
+            F.lit(when).alias("version"), F.col("name").cast("long").alias("k"), F.col("config")["n"].cast("long").alias("n")
+        )
+        for when, n in (("last", batch), ("before", batch - 1))
+    ]
+    return found[0].unionByName(found[1])
+
+
+def poll_log_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as it was before the last poll, read after its files were merged."""
+    out = _polled_in_parts(spark, sf_dir)
+    log = streaming_poll.log_path(out)
+    batch = max(commits.versions(spark, f"{log}/writer=topic")) // 2
+    logs.merge_log(spark, log, "topic", batch)
+    return _flat_topic_events(streaming_poll.read_log(spark, out, [TOPIC], {TOPIC: batch - 1}))
+
+
+def followed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted by following a committed log, each once, over a merger of its files."""
+    path = scratch(spark, "followed")
+    events = _valid_events(spark, sf_dir)
+    at = F.pmod(F.xxhash64("entity_id"), F.lit(3))
+
+    def follow() -> None:
+        logs.follow_log(
+            spark, f"{path}/log", "w",
+            lambda rows, n: counters.count_batch(rows, f"{path}/counts", n), f"{path}/checkpoint", once=True,
+        ).awaitTermination()
+
+    for batch in range(3):
+        logs.commit_log(events.filter(at == batch), f"{path}/log", "w", batch)
+        if batch == 1:
+            follow()
+            logs.merge_log(spark, f"{path}/log", "w", batch)
+    follow()
+    return counters.counted(spark, f"{path}/counts")
+
+
+def listed_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker events of cluster listings and looked-up configs, polled together.
+
+    Suppliers are nodes, listed in the quarters they ship in; their port is the number
+    of lines and their config the last ship mode. Some have no config, some lookups fail.
+    """
+    path = scratch(spark, "listings")
+    quarter = (F.year("l_shipdate") - 1992) * 4 + F.quarter("l_shipdate")
+    listed = table(spark, sf_dir, "lineitem").groupBy(
+        quarter.cast("long").alias("snapshot_id"), F.col("l_suppkey").cast("int").alias("s")
+    ).agg(F.count(F.lit(1)).cast("int").alias("lines"), F.max("l_linestatus").alias("mode"))
+    path_of = lambda name: f"{path}/{name}"
+    listed.write.parquet(path_of("rows"))
+    listed = spark.read.parquet(path_of("rows"))
+    node = F.struct(
+        F.col("s").alias("id"), F.concat(F.lit("host-"), F.col("s").cast("string")).alias("host"),
+        F.col("lines").alias("port"), F.lit(None).cast("string").alias("rack"),
+    )
+    # A listing in parts, with any number of nodes in all.
+    clusters = listed.groupBy("snapshot_id", (F.col("s") % 64).alias("part")).agg(F.collect_list(node).alias("nodes"))
+    clusters = clusters.select(
+        "snapshot_id", F.lit("c").alias("id"), F.lit(None).cast(NODE).alias("controller"), "nodes"
+    )
+    configs = listed.filter("s % 7 <> 0").select(
+        "snapshot_id", F.lit("broker").alias("resource_type"), F.col("s").cast("string").alias("name"),
+        F.create_map(F.lit("mode"), "mode").alias("config"), (F.col("s") % 11 == 3).alias("lookup_failed"),
+    )
+    rounds = snapshots.round_bounds(listed)
+    snapshots.write_snapshots(configs, path_of("in"), CONFIGS, rounds)
+    snapshots.write_snapshots(clusters, path_of("in"), CLUSTER, rounds)
+    streaming_poll.snapshots_to_log(
+        spark, path_of("in"), path_of("out"), streaming_poll.CLUSTER_LISTING, once=True
+    ).awaitTermination()
+    log = streaming_poll.read_log(spark, path_of("out"), [streaming_poll.CLUSTER_LISTING.name])
+    return log.filter("broker is not null").select(
+        F.col("broker.id").cast("long").alias("id"), F.col("round").alias("r"), "op",
+        F.col("broker.node.port").cast("long").alias("port"), F.col("broker.config")["mode"].alias("mode"),
+    )
+
+
+def missing_broker_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of quarters in which a customer seen before does not order, or not as it last did."""
+    listed, rounds = quarterly(spark, sf_dir), quarters(spark, sf_dir)
+    return changelog.missing_rounds(listed, K, "p", rounds, round="r")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -898,5 +1007,6 @@ QUERIES = {
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,
+        poll_state_versions, poll_log_version, followed_counters, listed_brokers, missing_broker_rounds,
     )
 }

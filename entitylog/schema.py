@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DataType,
+    DoubleType,
     IntegerType,
     LongType,
     MapType,
@@ -29,6 +30,7 @@ OPERATIONS = {
 # first update.
 SEQ = {DELETED: 0, CREATED: 1, UPDATED: 2}
 
+DOUBLE = DoubleType()
 STRING, INT, LONG, BOOL, BINARY = (
     StringType(),
     IntegerType(),
@@ -72,6 +74,9 @@ RECORD = struct(
     seq=INT,
 )
 
+# Tables of listed topics, and of lookups.
+TOPICS, DESCRIPTIONS, CONFIGS = "TOPICS", "DESCRIPTIONS", "CONFIGS"
+
 # Snapshot rows by kind. Topics and brokers have one row per key and round; a
 # cluster listing may be spread over several rows, each with part of the nodes.
 SNAPSHOT = {
@@ -80,6 +85,12 @@ SNAPSHOT = {
     TOPIC: struct(
         snapshot_id=LONG, name=STRING, description=DESCRIPTION, config=CONFIG, lookup_failed=BOOL
     ),
+    # What a poll lists and looks up by itself, before it is joined.
+    TOPICS: struct(snapshot_id=LONG, name=STRING),
+    DESCRIPTIONS: struct(snapshot_id=LONG, name=STRING, description=DESCRIPTION),
+    CONFIGS: struct(
+        snapshot_id=LONG, resource_type=STRING, name=STRING, config=CONFIG, lookup_failed=BOOL
+    ),
 }
 
 ARM = {CLUSTER: "cluster", BROKER: "broker", TOPIC: "topic"}

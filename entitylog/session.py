@@ -47,3 +47,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/entitylog/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,82 +1,139 @@
 """The poll loop as a stream: completed rounds in, events and state out.
 
-The stream follows the table of completed rounds, not the snapshot files, so a
-round is only ever seen whole, and an empty round is seen too. A new row there
-only wakes it up: each batch reads the table itself and takes the rounds that
-follow the last one without a gap. Rounds beyond a gap wait until it is filled.
-
-Layout under ``out``: ``log`` (a table log, one directory per kind and batch),
-``state/<kind>/batch=<n>`` for batches that had rounds, ``bound/<kind>/batch=<n>``
-(how far a batch goes, written before it starts, so that it goes as far when
-tried again), ``progress/<kind>/batch=<n>`` and ``checkpoints``.
-Every directory belongs to one batch and is replaced when that batch is tried
-again.
+The stream follows the tables of completed rounds, not the snapshot files, so a
+round is only ever seen whole, and an empty round is seen too. Each batch takes the
+rounds that follow the last one without a gap; rounds beyond a gap are kept with the
+batch until it is filled, so marks are read once. A poll that joins several tables,
+such as listings and the lookups that complete them, takes the rounds that all of
+them have, as one bound.
+
+Layout under ``out``: ``log`` (a committed log, one writer per poll), ``state/<kind>``
+(layers of changes, see ``state_table``), ``waiting/<poll>/batch=<n>`` and
+``progress/<poll>/batch=<n>``, and ``checkpoints``. Log and state of a batch are
+committed once and stay as they are when the batch is tried again; the others are
+replaced. Bytes written in a batch are in proportion to its changes, and what
+earlier batches left is removed as ``KEPT`` more have been done.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from entitylog.operators.state import apply_events
+from entitylog.operators.state import IGNORED, LOG_ORDER, REMOVED, arm
 from entitylog.params import Params, duration
-from entitylog.plans.poll import EVENTS
-from entitylog.schema import LONG, STATE, TOPIC, struct
-from entitylog.sources.log import append_log, read_batch
+from entitylog.plans.poll import EVENTS, LISTED_EVENTS
+from entitylog.schema import BROKER, CLUSTER, CONFIGS, DESCRIPTIONS, INT, KEYS, LONG, STATE, STRING, TOPIC, TOPICS, VALUES, struct
+from entitylog.session import remove
+from entitylog.sources import commits
+from entitylog.sources.log import commit_log, read_committed
 from entitylog.sources.snapshots import ROUND, read_snapshots, rounds_path
+from entitylog.streaming import state_table
+
+#: Batches whose state can still be read, the last included; the ones before are removed.
+KEPT = 3
+
+
+@dataclass(frozen=True)
+class Poll:
+    """A poll: its name, which is the log's writer, its tables, and the kinds it gives events of.
+
+    ``events`` takes the tables' rows of a batch by name, the rounds, the parameters
+    and the state of each kind, and gives the events of each kind.
+    """
+
+    name: str
+    tables: tuple[str, ...]
+    kinds: tuple[str, ...]
+    events: Callable[[dict[str, DataFrame], tuple[int, int], Params, dict[str, DataFrame]], dict[str, DataFrame]]
+
+
+def _single(kind: str) -> Poll:
+    def events(tables, rounds, params, states):
+        return {kind: EVENTS[kind](tables[kind], rounds, params, states.get(kind))}
+
+    return Poll(kind.lower(), (kind,), (kind,), events)
+
+
+#: Ready snapshots of one kind; listings that brokers and topics are derived from.
+POLLS = {kind: _single(kind) for kind in EVENTS}
+CLUSTER_LISTING = Poll("cluster-listing", (CLUSTER, CONFIGS), (CLUSTER, BROKER), LISTED_EVENTS["cluster"])
+TOPIC_LISTING = Poll("topic-listing", (TOPICS, DESCRIPTIONS, CONFIGS), (TOPIC,), LISTED_EVENTS["topic"])
 
 
 def log_path(out: str) -> str:
     return f"{out}/log"
 
 
-def state_path(out: str, kind: str, batch: int) -> str:
-    return f"{out}/state/{kind.lower()}/batch={batch}"
+def state_path(out: str, kind: str) -> str:
+    return f"{out}/state/{kind.lower()}"
 
 
-def progress_path(out: str, kind: str) -> str:
-    return f"{out}/progress/{kind.lower()}"
+def progress_path(out: str, name: str) -> str:
+    return f"{out}/progress/{name.lower()}"
+
+
+def waiting_path(out: str, name: str, batch: int) -> str:
+    return f"{out}/waiting/{name}/batch={batch}"
 
 
 PROGRESS = struct(last=LONG, at=LONG)
+MARK = struct(table=STRING, snapshot_id=LONG)
 
 
-def _progress(spark: SparkSession, out: str, kind: str, batch: int) -> tuple[int | None, int | None]:
-    row = spark.read.schema(PROGRESS).parquet(f"{progress_path(out, kind)}/batch={batch}").first()
+def _progress(spark: SparkSession, out: str, name: str, batch: int) -> tuple[int | None, int | None]:
+    row = spark.read.schema(PROGRESS).parquet(f"{progress_path(out, name)}/batch={batch}").first()
     return row["last"], row["at"]
 
 
-def read_progress(spark: SparkSession, out: str, kind: str, batch: int) -> int | None:
+def read_progress(spark: SparkSession, out: str, name: str, batch: int) -> int | None:
     """Last round that was in the log after a batch: one row to the driver."""
-    return _progress(spark, out, kind, batch)[0]
+    return _progress(spark, out, name, batch)[0]
+
+
+def read_log(spark: SparkSession, out: str, polls: Sequence[str], at: dict[str, int] | None = None) -> DataFrame:
+    """The events of the polls named; of those in ``at`` as their log was after that batch."""
+    return read_committed(spark, log_path(out), [p.lower() for p in polls], {k.lower(): v for k, v in (at or {}).items()})
+
+
+def _state(spark: SparkSession, out: str, kind: str, at: int) -> DataFrame:
+    schema = struct(**{f.name: f.dataType for f in STATE[kind].fields}, round=LONG, seq=INT)
+    return state_table.read(spark, state_path(out, kind), schema, KEYS[kind], LOG_ORDER, at).select(*STATE[kind].fieldNames())
 
 
-def read_state(spark: SparkSession, out: str, kind: str, batch: int) -> DataFrame:
-    """State after a batch, stored by it or by the last one before that had rounds."""
-    at = _progress(spark, out, kind, batch)[1]
-    if at is None:
-        return spark.createDataFrame([], STATE[kind])
-    return spark.read.schema(STATE[kind]).parquet(state_path(out, kind, at))
+def read_state(spark: SparkSession, out: str, kind: str, batch: int | None = None, name: str | None = None) -> DataFrame:
+    """State of a kind after a batch of its poll (one of the last ``KEPT`` that had rounds), or as it is."""
+    if batch is None:
+        at = commits.last_version(spark, state_path(out, kind))
+    else:
+        at = _progress(spark, out, name or kind, batch)[1]
+    return spark.createDataFrame([], STATE[kind]) if at is None else _state(spark, out, kind, at)
 
 
-def _fresh(spark: SparkSession, root: str, kind: str, last: int | None) -> tuple[int, int] | None:
-    """First and last of the rounds that follow ``last`` without a gap: one row to the driver.
+def _bound(marks: DataFrame, tables: Sequence[str], last: int | None) -> tuple[int, int] | None:
+    """First and last of the rounds that follow ``last`` without a gap in every table: one row to the driver.
 
     Before anything was read, the least round marked is the first.
     """
-    ids = spark.read.schema(ROUND).json(rounds_path(root, kind)).distinct()
-    if last is not None:
+    ids = marks.groupBy("snapshot_id").agg(F.count_distinct("table").alias("n")).filter(F.col("n") == len(tables))
+    if last is None:
+        first = marks.agg(F.min("snapshot_id")).first()[0]
+    else:
+        first = last + 1
         ids = ids.filter(F.col("snapshot_id") > last)
-    first = ids.agg(F.min("snapshot_id")).first()[0] if last is None else last + 1
     if first is None:
         return None
-    # Rounds that wait are few: those marked since the last batch.
-    place = F.row_number().over(Window.orderBy("snapshot_id"))
-    run = ids.withColumn("_at", F.col("snapshot_id") - place).filter(F.col("_at") == first - 1)
-    end = run.agg(F.max("snapshot_id")).first()[0]
-    return None if end is None else (first, end)
+    before = ids.select((F.col("snapshot_id") - 1).alias("snapshot_id"))
+    # The ends of all runs; that of the run which begins at the first is the least.
+    ends = ids.join(before, "snapshot_id", "left_anti")
+    if ids.filter(F.col("snapshot_id") == first).isEmpty():
+        return None
+    return first, ends.agg(F.min("snapshot_id")).first()[0]
 
 
 def _one(spark: SparkSession, path: str, **values: int | None) -> None:
@@ -84,68 +141,81 @@ def _one(spark: SparkSession, path: str, **values: int | None) -> None:
     spark.range(1).select(*columns).write.mode("overwrite").parquet(path)
 
 
-def _bound(
-    spark: SparkSession, root: str, out: str, kind: str, batch: int, last: int | None
-) -> tuple[int, int] | None:
-    """The rounds of a batch, as found when it was first tried."""
-    path = f"{out}/bound/{kind.lower()}/batch={batch}"
-    try:
-        row = spark.read.schema(struct(first=LONG, last=LONG)).parquet(path).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        row = None
-    if row is None:
-        row = _fresh(spark, root, kind, last) or (None, None)
-        _one(spark, path, first=row[0], last=row[1])
-    return None if row[0] is None else (row[0], row[1])
-
-
-def _step(root: str, out: str, kind: str, params: Params):
+def _step(root: str, out: str, poll: Poll | str, params: Params, fan: int = state_table.FAN):
+    poll = POLLS[poll] if isinstance(poll, str) else poll
+
     def step(listed: DataFrame, batch: int) -> None:
         spark = listed.sparkSession
-        state, last, at = None, None, None
+        if "table" not in listed.columns:
+            listed = listed.withColumn("table", F.lit(poll.tables[0]))
+        marks, last, at = listed.select(*MARK.fieldNames()).distinct(), None, None
         if batch > 0:
-            last, at = _progress(spark, out, kind, batch - 1)
-            state = read_state(spark, out, kind, batch - 1) if at is not None else None
-        rounds = _bound(spark, root, out, kind, batch, last)
+            last, at = _progress(spark, out, poll.name, batch - 1)
+            marks = marks.unionByName(spark.read.schema(MARK).parquet(waiting_path(out, poll.name, batch - 1)))
+        rounds = _bound(marks, poll.tables, last)
+        end = rounds[1] if rounds else last
+        waiting = marks if end is None else marks.filter(F.col("snapshot_id") > end)
+        waiting.distinct().coalesce(1).write.mode("overwrite").parquet(waiting_path(out, poll.name, batch))
         if rounds:
-            snaps = read_snapshots(spark, root, kind, rounds)
-            events = EVENTS[kind](snaps, rounds, params, state)
+            tables = {t: read_snapshots(spark, root, t, rounds) for t in poll.tables}
+            known = {} if at is None else {kind: _state(spark, out, kind, at) for kind in poll.kinds}
+            events = reduce(DataFrame.unionByName, poll.events(tables, rounds, params, known).values())
             # Few of the compared rows become events: gather them into few files.
-            append_log(events.hint("rebalance"), log_path(out), writer=kind.lower(), batch=batch)
-            known = state if state is not None else spark.createDataFrame([], STATE[kind])
-            # Read back what was written, rather than computing it again.
-            known = apply_events(known, read_batch(spark, log_path(out), kind.lower(), batch), kind)
-            known.write.mode("overwrite").parquet(state_path(out, kind, batch))
+            log = commit_log(events.hint("rebalance"), log_path(out), poll.name, batch)
+            for kind in poll.kinds:
+                keys, values = KEYS[kind], VALUES[kind]
+                rows = state_table.changes_of(
+                    arm(log, kind), keys, LOG_ORDER, values, ignore=IGNORED[kind], remove=REMOVED[kind]
+                )
+                state_table.append(rows, state_path(out, kind), batch, at, keys, LOG_ORDER, values, fan)
             last, at = rounds[1], batch
-        _one(spark, f"{progress_path(out, kind)}/batch={batch}", last=last, at=at)
+        _one(spark, f"{progress_path(out, poll.name)}/batch={batch}", last=last, at=at)
+        _tidy_up(spark, out, poll, batch)
 
     return step
 
 
+def _tidy_up(spark: SparkSession, out: str, poll: Poll, batch: int) -> None:
+    """Remove what only batches more than ``KEPT`` before need."""
+    if batch < KEPT:
+        return
+    keep = _progress(spark, out, poll.name, batch - KEPT + 1)[1]
+    if keep is not None:
+        for kind in poll.kinds:
+            commits.expire(spark, state_path(out, kind), keep)
+    remove(spark, waiting_path(out, poll.name, batch - KEPT))
+    remove(spark, f"{progress_path(out, poll.name)}/batch={batch - KEPT}")
+
+
 def snapshots_to_log(
     spark: SparkSession,
     root: str,
     out: str,
-    kind: str = TOPIC,
+    poll: Poll | str = TOPIC,
     params: Params = Params(),
     rounds_per_batch: int = 64,
     once: bool = False,
+    fan: int = state_table.FAN,
 ) -> StreamingQuery:
-    """Follow the completed rounds of one kind and append their events to the log.
+    """Follow the completed rounds of a poll and append its events to the log.
 
     Polls at the interval in the parameters, or with ``once`` takes what is
-    there and ends.
+    there and ends. ``fan`` batches' changes of the state are merged at a time.
     """
-    interval = params.topic_poll_interval if kind == TOPIC else params.cluster_poll_interval
+    poll = POLLS[poll] if isinstance(poll, str) else poll
+    interval = params.topic_poll_interval if poll.kinds == (TOPIC,) else params.cluster_poll_interval
     trigger = {"availableNow": True} if once else {"processingTime": duration(interval)}
-    return (
+    listed = [
         spark.readStream.schema(ROUND)
         .option("maxFilesPerTrigger", rounds_per_batch)
-        .json(rounds_path(root, kind))
-        .writeStream.foreachBatch(_step(root, out, kind, params))
-        .option("checkpointLocation", f"{out}/checkpoints/{kind.lower()}")
+        .json(rounds_path(root, table))
+        .withColumn("table", F.lit(table))
+        for table in poll.tables
+    ]
+    return (
+        reduce(DataFrame.unionByName, listed)
+        .writeStream.foreachBatch(_step(root, out, poll, params, fan))
+        .option("checkpointLocation", f"{out}/checkpoints/{poll.name}")
         .trigger(**trigger)
         .start()
     )

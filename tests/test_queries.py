@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from entitylog.plans import expected, tables
+from entitylog.plans import expected as statements
+from entitylog.plans import tables
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -28,7 +29,7 @@ def comparable(rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(tables.QUERIES) <= set(expected.sql())
+    assert set(tables.QUERIES) <= set(statements.sql())
     assert set(tables.QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
@@ -41,7 +42,7 @@ def test_entry(spark):
 def test_query(spark, duck, name):
     got = tables.QUERIES[name](spark, str(SF_DIR))
     columns = sorted(got.columns)
-    sql = expected.sql()[name]
+    sql = statements.sql()[name]
     assert sorted(duck.sql(sql).columns) == columns
     expected = duck.sql(f"select {', '.join(columns)} from ({sql}) as expected").fetchall()
     assert comparable(tuple(r) for r in got.select(*columns).collect()) == comparable(expected)

@@ -117,7 +117,7 @@ def test_poll_stream_equals_one_job(spark, tmp_path):
             snapshots.write_snapshot(snapshot(spark, TOPIC, *rounds[r]), root, TOPIC, r)
         poll.snapshots_to_log(spark, root, out, TOPIC, ALL, rounds_per_batch=2, once=True).awaitTermination()
     columns = ["round", "seq", "entity_id", "op", "op_tag"]
-    log = logs.read_log(spark, poll.log_path(out))
+    log = poll.read_log(spark, out, [TOPIC])
     assert table(log, *columns) == table(whole, *columns)
     assert table(state.topics_current(log), "name") == sorted((r["name"],) for r in rounds[11])
 
@@ -128,7 +128,7 @@ def test_poll_stream_equals_one_job(spark, tmp_path):
     again = table(poll.read_state(spark, out, TOPIC, last), "name")
     before = poll.read_progress(spark, out, TOPIC, last - 1)
     step(query.filter(F.col("snapshot_id") > before).union(spark.range(before + 1, 12)).distinct(), last)
-    assert table(logs.read_log(spark, poll.log_path(out)), *columns) == table(whole, *columns)
+    assert table(poll.read_log(spark, out, [TOPIC]), *columns) == table(whole, *columns)
     assert table(poll.read_state(spark, out, TOPIC, last), "name") == again
     assert poll.read_progress(spark, out, TOPIC, last) == 11
 
@@ -142,7 +142,7 @@ def test_brokers_and_cluster_are_polled_too(spark, tmp_path):
         poll.snapshots_to_log(spark, root, out, kind, once=True).awaitTermination()
         snapshots.write_snapshots(rows.filter("snapshot_id >= 2"), root, kind, (2, 3))
         poll.snapshots_to_log(spark, root, out, kind, once=True).awaitTermination()
-    log = logs.read_log(spark, poll.log_path(out))
+    log = poll.read_log(spark, out, [CLUSTER, BROKER])
     assert table(log, "round", "entity_type", "entity_id", "op") == [
         (0, BROKER, "0", CREATED), (0, CLUSTER, "c", CREATED), (1, BROKER, "1", CREATED), (2, BROKER, "2", CREATED),
         (2, CLUSTER, "c", UPDATED), (3, BROKER, "0", UPDATED), (3, BROKER, "1", UPDATED), (3, BROKER, "2", UPDATED),
@@ -158,7 +158,7 @@ def test_rounds_beyond_a_gap_wait_until_it_is_filled(spark, tmp_path):
         for r in marked:
             snapshots.write_snapshot(snapshot(spark, TOPIC, *rounds[r]), root, TOPIC, r)
         poll.snapshots_to_log(spark, root, out, TOPIC, ALL, once=True).awaitTermination()
-        return {r.round for r in logs.read_log(spark, poll.log_path(out)).select("round").distinct().collect()}
+        return {r.round for r in poll.read_log(spark, out, [TOPIC]).select("round").distinct().collect()}
 
     assert run(0, 2) <= {0}
     assert run(4) <= {0}
@@ -167,7 +167,7 @@ def test_rounds_beyond_a_gap_wait_until_it_is_filled(spark, tmp_path):
     rows = [row for listed in rounds.values() for row in listed]
     whole = poll_plans.topic_events(snapshot(spark, TOPIC, *rows), (0, 4), ALL)
     columns = ["round", "seq", "entity_id", "op", "op_tag"]
-    assert table(logs.read_log(spark, poll.log_path(out)), *columns) == table(whole, *columns)
+    assert table(poll.read_log(spark, out, [TOPIC]), *columns) == table(whole, *columns)
 
 
 def test_snapshots_can_be_written_again(spark, tmp_path):
@@ -185,4 +185,4 @@ def test_streams_can_be_stopped(spark, tmp_path):
     assert query.isActive
     poll.stop(query)
     assert not query.isActive
-    assert logs.read_log(spark, poll.log_path(out)).count() > 0
+    assert poll.read_log(spark, out, [TOPIC]).count() > 0
