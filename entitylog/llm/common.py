@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from entitylog.session import remove
+
 #: White space that separates words: space and \x09 to \x0D.
 SPACE = " \t\n\x0b\x0c\r"
 #: One word, for Spark's and for Python's regular expressions alike.
@@ -37,7 +40,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows._stored_at = path
+    return rows
+
+
+#: Paths of the tables stored inside each open ``passing``, the innermost last.
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end; what is to last must be stored outside, from rows computed by then."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        for path in _WRITTEN.pop():
+            remove(spark, path)
+
+
+def lasting(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` beyond the end of ``passing``: of what surrounds it, if anything does."""
+    here = _WRITTEN.pop() if _WRITTEN else None
+    try:
+        return stored(df, name)
+    finally:
+        if here is not None:
+            _WRITTEN.append(here)
+
+
+def drop(df: DataFrame | None) -> None:
+    """Remove a stored table that nothing reads any more."""
+    if df is not None:
+        remove(df.sparkSession, df._stored_at)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -82,18 +120,22 @@ def running(
 SHARES = 1000
 
 
-def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def spread_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", sizes: DataFrame | None = None, total: int | None = None
+) -> DataFrame:
     """``big`` joined with ``small``, which has at most one row per key, whatever a key's share of ``big``.
 
     ``big`` should be stored, as it is read twice. Keys with over one of ``SHARES`` rows
     of ``big`` (and over eight) are dealt over salts in proportion to their rows, and
     ``small`` is repeated for these: at most ``SHARES`` keys and twice as many repeated
     rows at any size, so the list of them is broadcast. ``how`` is inner or left; null
-    keys find nothing.
+    keys find nothing. ``sizes`` (keys and ``_n``) and ``total`` are the rows of each key
+    and of all, where they are known.
     """
-    least = max(big.count() / SHARES, 8)
+    least = max((big.count() if total is None else total) / SHARES, 8)
+    sizes = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes
     hot = (
-        big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
+        sizes.filter(F.col("_n") > least)
         .select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("_salts"))
     )
 
@@ -152,19 +194,23 @@ def components(edges: DataFrame) -> DataFrame:
         "edges",
     )
     seen = None
+    least = (F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
     while True:
         mark = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if mark == seen or mark[0] == 0:
             return now.select(a.alias("node"), b.alias("component"))
         seen = mark
+        # The centre of a large group has most of its edges: these are spread.
         both = now.union(now.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
+        ends = both.groupBy("a").agg(*least)
+        joined = spread_join(both, ends.select("a", F.least("a", "m").alias("m")), ["a"], "inner", ends.select("a", "_n"), 2 * mark[0])
+        large = stored(joined.filter(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct(), "stars")
+        ends = large.groupBy("a").agg(*least)
+        small = spread_join(large, ends.select("a", "m"), ["a"], "inner", ends.select("a", "_n"), large.count()).select(
             F.explode(
                 F.array(*(F.struct(end.alias("a"), F.col("m").alias("b")) for end in (a, b)))
             ).alias("e")
         )
-        now = stored(small.select("e.a", "e.b").filter(a != b).distinct(), "edges")
-
+        before, now = now, stored(small.select("e.a", "e.b").filter(a != b).distinct(), "edges")
+        drop(before)
+        drop(large)

@@ -9,7 +9,7 @@ The index holds every 64 bits of a fingerprint once for each of several parts,
 turned so that the part comes first. The turned bits are sorted by their rank in
 the Gray code, in which those that share their first bits stand together: an
 upper node is such a shared pattern, and a block is a run of at most
-``BATCH_ROWS`` fingerprints of one node. A block keeps the mask of bits that all
+``Law.rows`` fingerprints of one node. A block keeps the mask of bits that all
 its members share and their values. Two blocks of a node whose shared bits
 already differ too often are never compared, nor are such groups inside a block.
 Links leave a block as a spanning forest, so a group of any size emits no more
@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitylog.llm.common import components, small_batches, stored
+from entitylog.llm.common import BATCH_ROWS, components, drop, lasting, passing, small_batches, stored
 
 BITS = 64
 #: Hashes whose bits are added up at once.
@@ -66,7 +66,7 @@ class Law:
     """Words in a shingle, 64-bit words in a fingerprint, bits that may differ, bits of each part.
 
     ``least``: share of the shingles that linked texts have in common, checked
-    exactly; 0 for no check.
+    exactly; 0 for no check. ``rows``: fingerprints in a block at most.
     """
 
     words: int
@@ -74,10 +74,11 @@ class Law:
     most: int
     parts: tuple[int, ...]
     least: float = 0.0
+    rows: int = BATCH_ROWS
 
 
 EXACT = Law(4, 1, 4, (13, 13, 13, 13, 12))
-SIMILAR = Law(5, 4, 60, (10, 9, 9, 9, 9, 9, 9), 0.8)
+SIMILAR = Law(5, 4, 60, (10, 9, 9, 9, 9, 9, 9), 0.8, 2048)
 
 
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:
@@ -152,26 +153,53 @@ BLOCK = "part int, pattern long, mask array<long>, bits array<long>, codes binar
 EDGE = "a long, b long"
 
 
-def _blocks(width: int):
+def _blocks(law: Law):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted entries as blocks; a node is cut wherever a batch ends."""
+        """Sorted entries as blocks: a node whole, or cut where it has more rows than a block or a task ends."""
+        of_part = np.array(law.parts * law.width, np.uint64)
+        held: list[np.ndarray] = []
+
+        def cut(rows: np.ndarray, last: bool) -> tuple[pa.RecordBatch, np.ndarray]:
+            # Shared first bits of a Gray rank are shared first bits of the code.
+            part = rows[:, 0]
+            pattern = rows[:, 1] >> (np.uint64(64) - of_part[part.astype(np.int64)])
+            starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (pattern[1:] != pattern[:-1])])
+            ends = np.r_[starts[1:], len(rows)]
+            cuts = [(a, min(a + law.rows, end)) for start, end in zip(starts, ends) for a in range(start, end, law.rows)]
+            # The last node may go on.
+            done = cuts if last else [c for c in cuts if c[1] <= starts[-1] or c[1] - c[0] == law.rows]
+            rest = rows[done[-1][1] :] if done else rows
+            code = rows[:, 3:].view(np.int64)
+            every = [np.bitwise_and.reduce(code[a:b]) for a, b in done]
+            some = [np.bitwise_or.reduce(code[a:b]) for a, b in done]
+            longs = pa.list_(pa.int64())
+            made = {
+                "part": pa.array([int(part[a]) for a, _ in done], pa.int32()),
+                "pattern": pa.array([int(pattern[a]) for a, _ in done], pa.int64()),
+                "mask": pa.array([~(x ^ y) for x, y in zip(every, some)], longs),
+                "bits": pa.array(every, longs),
+                "codes": pa.array([rows[a:b, 3:].tobytes() for a, b in done], pa.binary()),
+                "ids": pa.array([rows[a:b, 2].tobytes() for a, b in done], pa.binary()),
+            }
+            return pa.RecordBatch.from_pydict(made), rest
+
         for batch in batches:
-            part, pattern, ids = (batch.column(n).to_numpy() for n in (0, 1, 3))
-            if not len(part):
+            if not batch.num_rows:
                 continue
-            code = batch.column(2).flatten().to_numpy().reshape(-1, width)
-            starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (pattern[1:] != pattern[:-1])])
-            every, some = np.bitwise_and.reduceat(code, starts), np.bitwise_or.reduceat(code, starts)
-            ends = np.r_[starts[1:], len(part)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": part[starts], "pattern": pattern[starts],
-                    "mask": pa.array(list(~(every ^ some)), pa.list_(pa.int64())),
-                    "bits": pa.array(list(every), pa.list_(pa.int64())),
-                    "codes": [code[a:b].tobytes() for a, b in zip(starts, ends)],
-                    "ids": [ids[a:b].tobytes() for a, b in zip(starts, ends)],
-                }
-            )
+            rows = np.empty((batch.num_rows, 3 + law.width), np.uint64)
+            rows[:, 0] = batch.column("part").to_numpy()
+            # The sign was turned to sort by it.
+            rows[:, 1] = batch.column("rank").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+            rows[:, 2] = batch.column("id").to_numpy().view(np.uint64)
+            packed = b"".join(batch.column("code").to_pylist())
+            rows[:, 3:] = np.frombuffer(packed, ">u8").reshape(-1, law.width)
+            held.append(rows)
+            if sum(map(len, held)) >= law.rows:
+                found, rest = cut(np.concatenate(held), False)
+                held = [rest]
+                yield found
+        if held and sum(map(len, held)):
+            yield cut(np.concatenate(held), True)[0]
 
     return blocks
 
@@ -323,22 +351,24 @@ def meetings(codes: DataFrame, law: Law) -> tuple[DataFrame, DataFrame]:
         for word in range(law.width)
         for n, bits in enumerate(law.parts)
     ]
-    entries = codes.select("code", "id", F.explode(F.array(*places)).alias("p")).select("code", "id", "p.*")
+    # Packed, as an array of longs would be more than half again as large.
+    packed = F.concat(*(F.unhex(F.lpad(F.hex(F.col("code")[n]), 16, "0")) for n in range(law.width)))
+    entries = codes.withColumn("packed", packed)
+    entries = entries.select("code", "packed", "id", F.explode(F.array(*places)).alias("p")).select("code", "packed", "id", "p.*")
     entries = entries.withColumn(
         "rank", F.expr("shiftleft(code[word], start) | shiftrightunsigned(code[word], 64 - start)")
-    ).withColumn("pattern", F.expr("shiftrightunsigned(rank, 64 - bits)"))
+    )
     # Step by step, as a single expression would double with every step.
     for shift in (1, 2, 4, 8, 16, 32):
         entries = entries.withColumn("rank", F.expr(f"rank ^ shiftrightunsigned(rank, {shift})"))
     # As a signed value that sorts like the unsigned one.
     entries = entries.withColumn("rank", F.col("rank").bitwiseXOR(F.lit(-(1 << 63))))
-    entries = entries.select("part", "pattern", "rank", "code", "id")
+    entries = entries.select("part", "rank", F.col("packed").alias("code"), "id")
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(
         entries.repartitionByRange(parts, "part", "rank", "id")
         .sortWithinPartitions("part", "rank", "id")
-        .select("part", "pattern", "code", "id")
-        .mapInArrow(_blocks(law.width), BLOCK)
+        .mapInArrow(_blocks(law), BLOCK)
         .withColumn("block", F.monotonically_increasing_id()),
         "blocks",
     )
@@ -386,19 +416,21 @@ def links(codes: DataFrame, law: Law = EXACT) -> DataFrame:
 def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
     """Groups (``node``, ``component``) of ids that close codes link whose sets share ``law.least``.
 
-    ``codes`` as in ``links``, ``sets`` as in ``checked``.
+    ``codes`` as in ``links``; ``sets``: rows of ``id``, ``digest`` and ``shingles``,
+    repeats too.
     """
     blocks, meet = meetings(codes, law)
     plain, forests = blocks.select(*PLAIN), FORESTS
-    work = plain.select(F.col("block").alias("x"), F.lit(None).cast("long").alias("y")).union(meet)
-    work = _met(plain, work).select(
-        "x", "y", "codes", "ids", "codes2", "ids2",
-        *(F.lit(None).cast("array<long>").alias(c) for c in ("labels", "labels2")),
-        F.lit(None).cast("binary").alias("tried"),
+    # In the first round blocks are taken where they lie; only those that meet others are moved.
+    none = F.lit(None).cast("binary")
+    inside = plain.select(F.col("block").alias("x"), F.lit(None).cast("long").alias("y"), "codes", "ids", none.alias("codes2"), none.alias("ids2"))
+    work = inside.union(_met(plain, meet).select(*inside.columns)).select(
+        "*", *(F.lit(None).cast("array<long>").alias(c) for c in ("labels", "labels2")), none.alias("tried"),
     )
-    passed = before = None
+    passed = before = tries = None
     while True:
-        tries = stored(work.mapInArrow(_tries(law, forests), TRIES), "tries")
+        last_tries, tries = tries, stored(work.mapInArrow(_tries(law, forests), TRIES), "tries")
+        drop(last_tries)
         edges = tries.select(F.explode(F.arrays_zip("a", "b")).alias("e")).select("e.a", "e.b")
         ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         edges = edges.filter("a <> b").select(*ends).distinct()
@@ -407,8 +439,13 @@ def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
             edges = edges.join(before, ["a", "b"], "left_anti")
         edges = stored(edges, "candidates")
         before = edges if before is None else before.union(edges)
+        if passed is None:
+            # Every end of a later candidate is one of the first already, as a forest reaches all that are close to any.
+            nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+            sets = stored(sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"]), "sets")
         new = checked(edges, sets, law.least)
-        passed = stored(new if passed is None else passed.union(new), "passed")
+        last_passed, passed = passed, stored(new if passed is None else passed.union(new), "passed")
+        drop(last_passed)
         groups = components(passed)
         again = tries.filter("left").select("x", "y", "tried")
         if again.isEmpty():
@@ -447,11 +484,14 @@ def _longs(column: str):
 def checked(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The stored edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
 
-    ``sets``: rows of ``id``, ``digest`` and ``shingles``, more than one where an id has
-    several texts or is repeated. They are shuffled once, by id, which serves all joins.
+    ``sets``: rows of ``id`` and ``shingles``, more than one where an id has several
+    texts. Pairs whose sets differ too much in size fail before any set is moved.
     """
-    nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    sets = sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"])
+    sizes = sets.groupBy("id").agg(F.min(F.size("shingles")).alias("low"), F.max(F.size("shingles")).alias("high"))
+    near = edges.join(sizes.select(F.col("id").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha")), "a")
+    near = near.join(sizes.select(F.col("id").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb")), "b")
+    fits = (F.col("ha") + 1e-9 >= F.col("lb") * least) & (F.col("hb") + 1e-9 >= F.col("la") * least)
+    edges = near.filter(fits).select("a", "b")
     both = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
     )
