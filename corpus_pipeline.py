@@ -7,18 +7,39 @@ shared folder and reads it again for the next.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylog.llm import bpe, mix, quality, repeats, simhash
-from entitylog.llm.common import small_batches, stored, table
+from entitylog.llm.common import lasting, passing, small_batches, stored, table
 from entitylog.llm.queries import VOCABULARY
 
 
+#: The columns of a document that its stage does not read, as one, so that none clashes with what an operator adds.
+REST = "_rest"
+
+
+def apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns named, and all others as one."""
+    rest = [c for c in docs.columns if c not in used]
+    return docs.select(*used, *([F.struct(*rest).alias(REST)] if rest else []))
+
+
+def whole(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` in their order from rows of ``apart``, some of them changed."""
+    used = {c for c in docs.columns if c in changed}
+    found = []
+    for c in docs.columns:
+        value = changed[c] if c in used else F.col(f"{REST}.{c}")
+        found.append(value.alias(c))
+    return found
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor their host's verdict reject."""
-    judged = quality.judge(docs, keep=tuple(docs.columns))
-    return judged.filter("kept").select(*docs.columns)
+    used = ("text", "source")
+    judged = quality.judge(apart(docs, *used), keep=(*used, *apart(docs, *used).columns[2:]))
+    return judged.filter("kept").select(*whole(docs, text=F.col("text"), source=F.col("source")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,37 +49,48 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     compared and kept, not ids: rows of one id or of none with different texts are
     different documents. Of equal ids the least digest of the text and then of the
     row decides, null ids come last, and of rows equal in all columns one stays.
+    What is written on the way is removed before the stage's rows are read.
     """
     null = [F.col(c).isNull() for c in docs.columns]
-    rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = rows.withColumn("_row", F.xxhash64(*docs.columns, *null))
-    groups = simhash.near_groups(rows, id="_text", law=simhash.SIMILAR).select("id", "component").distinct()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_row")).alias("first")
-    firsts = rows.groupBy("_text").agg(first)
-    kept = groups.join(firsts, F.col("id") == F.col("_text")).groupBy("component").agg(F.min("first").alias("first"))
-    rows = rows.join(kept.select("first._row"), "_row", "left_semi")
-    return rows.dropDuplicates(["_row"]).select(*docs.columns)
+    rows = docs.select(
+        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"),
+        F.xxhash64(*docs.columns, *null).alias("_row"), F.struct(*docs.columns).alias("_doc"),
+    )
+    with passing(spark):
+        texts = rows.select("_text", F.col("_doc.text").alias("text"))
+        groups = simhash.near_groups(texts, id="_text", law=simhash.SIMILAR).select("id", "component").distinct()
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_row")).alias("first")
+        firsts = rows.groupBy("_text").agg(first)
+        kept = groups.join(firsts, F.col("id") == F.col("_text")).groupBy("component").agg(F.min("first").alias("first"))
+        kept = lasting(kept.select("first._row"), "kept")
+    return rows.dropDuplicates(["_row"]).join(kept, "_row", "left_semi").select("_doc.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand elsewhere too; those that keep no word go."""
-    rows = repeats.without_repeats(docs)
-    kept = rows.withColumn("text", F.col("kept")).filter(F.expr("text rlike '[^ \\\\x09-\\\\x0D]'"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = repeats.without_repeats(apart(docs, "text"))
+    kept = rows.filter(F.expr("kept rlike '[^ \\\\x09-\\\\x0D]'"))
+    return kept.select(*whole(docs, text=F.col("kept"), n_chars=F.length("kept").cast("long")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole: words taken over words, rounded."""
-    return mix.repeated(docs).select(*docs.columns)
+    used = ("doc_id", "text", "source")
+    return mix.repeated(apart(docs, *used)).select(*whole(docs, **{c: F.col(c) for c in used}))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their ids, and the text the ids decode to as a digest."""
+    """Documents with their ids, and the text the ids decode to as a digest.
+
+    Where a document has a column of such a name already, it keeps it, and the new
+    one's name begins with ``new_``.
+    """
     small_batches(spark)
-    rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
-    return rows.withColumn("n_tokens", F.size("ids").cast("long")).withColumn(
-        "decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)
-    ).drop("decoded")
+    rows = bpe.decode(bpe.encode(apart(docs, "text"), VOCABULARY), VOCABULARY)
+    digest = F.sha2(F.col("decoded").cast("binary"), 256)
+    added = {"ids": F.col("ids"), "n_tokens": F.size("ids").cast("long"), "decoded_sha256": digest}
+    named = [value.alias(f"new_{name}" if name in docs.columns else name) for name, value in added.items()]
+    return rows.select(*whole(docs, text=F.col("text")), *named)
 
 
 STAGES = [
