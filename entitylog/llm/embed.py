@@ -2,13 +2,16 @@
 
 Vectors are normalised and projected on Gaussian directions; a projection is
 shifted and cut into intervals of one width, and ``bits`` such intervals form
-the bucket of a vector in one of several tables. Pairs of cosine 0.98 lie 0.2
-apart and share a bucket of the given width, length and number of tables with a
-probability of 0.996; closer pairs more surely. Random directions share one with
-3 in 100,000 per table, so raise ``bits`` by one for each factor of four in size.
+the bucket of a vector in one of several tables. Both follow from the number of
+vectors (``sized``): random directions share a bucket with 3 in 100,000 per table
+at 8 bits and a quarter to a third of that with each further bit, so four times
+the vectors get one more bit, which keeps a bucket's strangers few; and as many
+tables as let pairs of cosine 0.98, 0.2 apart, share a bucket with a probability of
+0.996, closer pairs more surely.
 
-Only vectors with the same label and length meet. Equal vectors are one entry
-with a count. Buckets of one entry are dropped before vectors are moved. The
+Only vectors with the same label and length meet; a label may be of any type that
+has a text. Equal vectors of one label are one entry with a count, and an entry has
+a number of its own: ids may repeat, within a label or not. Buckets of one entry are dropped before vectors are moved. The
 others are cut into blocks of at most ``BATCH_ROWS`` entries, and every block
 meets itself and the other blocks of its bucket, so a bucket of any size is
 spread over tasks and no cap applies. A pair found in several tables counts in
@@ -16,10 +19,12 @@ the first only. Blocks emit counts and a spanning forest, never pairs.
 
 Vectors that are null, zero or hold null or non-finite components, and rows
 without label or id, link with nothing. Repeated rows are vectors of their own.
+Extra columns are not read. An empty table gives none.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +32,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitylog.llm.common import components, small_batches, stored
+from entitylog.llm.common import components, small_batches, spread_join, stored
 from entitylog.llm.simhash import forest
 
-WIDTH, BITS, TABLES, SEED = 1.0, 8, 20, 20240607
+WIDTH, SEED = 1.0, 20240607
+#: Bits of a bucket for so many vectors; each factor of four takes one more.
+BITS, BITS_AT = 8, 60_000
+#: Least probability that a pair of the least cosine shares a bucket.
+RECALL = 0.996
+
+
+def sized(n: int, least: float = 0.98, width: float = WIDTH) -> tuple[int, int]:
+    """Bits of a bucket and number of tables for n vectors."""
+    bits = BITS + max(0, math.ceil(math.log(n / BITS_AT, 4))) if n else BITS
+    apart = math.sqrt(2 - 2 * least)
+    # The chance that a Gaussian projection of two points so far apart stays in one interval.
+    ratio = width / apart
+    same = math.erf(ratio / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * ratio) * (1 - math.exp(-ratio * ratio / 2))
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - same**bits))
 
 
 def _unit(flat: np.ndarray, dim: int) -> np.ndarray:
@@ -71,7 +90,7 @@ def _hasher(width: float, bits: int, tables: int, seed: int):
 
 
 BUCKET = ["label", "dim", "at", "code"]
-BLOCK = "label int, dim int, at int, code long, first long, ids binary, counts binary, vectors binary, codes binary"
+BLOCK = "label string, dim int, at int, code long, first long, ids binary, counts binary, vectors binary, codes binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +109,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = list(zip(starts.tolist(), ends.tolist()))
         yield pa.RecordBatch.from_pydict(
             {
-                **{c: pa.array(k[starts], t) for c, k, t in zip(BUCKET, keys, (pa.int32(), pa.int32(), pa.int32(), pa.int64()))},
+                **{c: pa.array(k[starts], t) for c, k, t in zip(BUCKET, keys, (pa.string(), pa.int32(), pa.int32(), pa.int64()))},
                 "first": ids[starts],
                 "ids": [ids[a:b].tobytes() for a, b in cuts],
                 "counts": [counts[a:b].tobytes() for a, b in cuts],
@@ -148,35 +167,45 @@ def near_vectors(
     label: str = "label",
     least: float = 0.98,
     width: float = WIDTH,
-    bits: int = BITS,
-    tables: int = TABLES,
+    bits: int | None = None,
+    tables: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per vector: ``id``, ``n_links``, ``component`` (smallest id it reaches by links)."""
+    """One row per vector: ``id``, ``n_links``, ``component`` (smallest id it reaches by links).
+
+    ``bits`` and ``tables`` follow from the number of vectors if they are not given.
+    """
     small_batches(df.sparkSession)
     rows = df.select(
         F.col(id).cast("long").alias("id"),
         F.col(vector).cast("array<float>").alias("embedding"),
-        F.col(label).cast("int").alias("label"),
+        F.col(label).cast("string").alias("label"),
     )
     sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.expr(
         "embedding is not null and size(embedding) > 0"
         " and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < float('infinity'))"
         " and exists(embedding, x -> x != 0)"
     )
-    vectors = rows.filter(sound).groupBy("label", "embedding").agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("n")
-    )
+    # Numbered where they are stored, so that a number stays with its entry.
     entries = stored(
-        vectors.select("label", F.size("embedding").alias("dim"), "id", "n", "embedding").mapInArrow(
+        rows.filter(sound).groupBy("label", "embedding")
+        .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        "entries",
+    )
+    if bits is None or tables is None:
+        found = sized(entries.count(), least, width)
+        bits, tables = bits or found[0], tables or found[1]
+    hashed = stored(
+        entries.select("label", F.size("embedding").alias("dim"), "id", "n", "embedding").mapInArrow(
             _hasher(width, bits, tables, seed),
-            "label int, dim int, id long, n long, embedding array<float>, codes array<long>",
+            "label string, dim int, id long, n long, embedding array<float>, codes array<long>",
         ),
         "vectors",
     )
-    placed = entries.select("label", "dim", "id", F.posexplode("codes").alias("at", "code"))
+    placed = hashed.select("label", "dim", "id", F.posexplode("codes").alias("at", "code"))
     busy = placed.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    members = placed.join(busy, BUCKET, "left_semi").join(entries.drop("label", "dim"), "id")
+    members = placed.join(busy, BUCKET, "left_semi").join(hashed.drop("label", "dim"), "id")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [*BUCKET, "id"]
     blocks = stored(
@@ -202,19 +231,27 @@ def near_vectors(
     groups = components(found.select("a", "b"))
     linked = found.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     labels = (
-        entries.select("label", "embedding", "id", "n")
-        .join(linked, "id", "left")
+        entries.join(linked, "id", "left")
         .join(groups, F.col("id") == F.col("node"), "left")
         .select(
             "label",
             "embedding",
+            "first_id",
+            "n",
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component"),
+            F.coalesce("component", "id").alias("group"),
         )
     )
+    smallest = labels.groupBy("group").agg(F.min("first_id").alias("component"))
+    # A group may hold any share of the entries.
+    labels = stored(spread_join(stored(labels, "labels"), smallest, ["group"]), "labels")
     usable = rows.withColumn("_sound", sound)
+    # So may the copies of one vector have any share of the rows.
+    key = ["label", "embedding"]
+    sizes, total = labels.select(*key, F.col("n").alias("_n")), labels.agg(F.sum("n")).first()[0] or 0
+    to = labels.select(*key, "n_links", "component")
     return (
-        usable.filter("_sound").join(labels, ["label", "embedding"]).select("id", "n_links", "component")
+        spread_join(usable.filter("_sound"), to, key, "inner", sizes, total).select("id", "n_links", "component")
     ).union(
         usable.filter("not coalesce(_sound, false)").select(
             "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component")
