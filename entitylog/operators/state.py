@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     DoubleType,
     FloatType,
     IntegralType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -31,14 +32,18 @@ FIXED_WIDTH = (
 LOG_ORDER = ("round", "seq")
 
 
+def one_by_one(schema: StructType, order: Sequence[str], values: Sequence[str]) -> bool:
+    """Whether ``latest`` takes each value by itself: fixed-width ones under a single order column."""
+    return len(order) == 1 and all(isinstance(schema[c].dataType, FIXED_WIDTH) for c in [*order, *values])
+
+
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """The row with the greatest order of each key, with its order columns.
 
     ``order`` is unique per key. Fixed-width values under a single order column
     are aggregated one by one, which lets Spark hash instead of sort.
     """
-    fixed = all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in [*order, *values])
-    if len(order) == 1 and fixed:
+    if one_by_one(df.schema, order, values):
         return df.groupBy(*keys).agg(
             F.max(order[0]).alias(order[0]),
             *[F.max_by(v, order[0]).alias(v) for v in values],

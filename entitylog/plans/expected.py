@@ -423,6 +423,9 @@ SAME_AS = {
     "stream_brokers": "brokers_current",
     "stream_cluster": "cluster_current",
     "stream_counters": "consumed_counters",
+    "served_topics": "topics_current",
+    "served_brokers": "brokers_current",
+    "served_cluster": "cluster_current",
 }
 
 

@@ -884,6 +884,26 @@ def _flat_topic_events(log: DataFrame) -> DataFrame:
     )
 
 
+def _served(spark: SparkSession, sf_dir: str, keys: list[str], values: list[str], **follow) -> DataFrame:
+    rows = materialise.follow_state(event_stream(spark, sf_dir), keys, O, values, **follow)
+    checkpoint = scratch(spark, "served")
+    materialise.keep_state(rows, checkpoint, once=True).awaitTermination()
+    return materialise.served_state(spark, checkpoint, rows.schema, keys, O).select("k", "o", "value")
+
+
+def served_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics from the state store of a stream over the log."""
+    return _served(spark, sf_dir, K, ["value"], ignore=[CREATED], remove=[DELETED])
+
+
+def served_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _served(spark, sf_dir, K, ["value"], ignore=[DELETED])
+
+
+def served_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _served(spark, sf_dir, [], ["k", "value"], ignore=[DELETED])
+
+
 def _polled_in_parts(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
     """Quarters written and polled in several parts, the state's layers merged by two."""
     path = scratch(spark, "poll")
@@ -1007,6 +1027,6 @@ QUERIES = {
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,
-        poll_state_versions, poll_log_version, followed_counters, listed_brokers, missing_broker_rounds,
+        served_topics, served_brokers, served_cluster, poll_state_versions, poll_log_version, followed_counters, listed_brokers, missing_broker_rounds,
     )
 }

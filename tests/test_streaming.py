@@ -58,6 +58,24 @@ def test_state_and_counters_follow_the_log_over_a_restart(spark, tmp_path):
     assert table(small, "name", "round") == table(now, "name", "round")
 
 
+def test_state_is_served_from_the_store_batch_by_batch(spark, tmp_path):
+    log = made_up_log(spark)
+    path, checkpoint = str(tmp_path / "log"), str(tmp_path / "c")
+    keys, order, values = ["name"], ["round", "seq"], ["description", "config"]
+    for batch, part in enumerate(("round < 90", "round >= 90")):
+        logs.append_log(log.filter(part), path, batch=batch)
+        arm = logs.read_log(spark, path, stream=True).filter(F.col("topic").isNotNull()).select("op", *order, "topic.*")
+        rows = materialise.follow_state(arm, keys, order, values, ignore=[CREATED], remove=[DELETED])
+        materialise.keep_state(rows, checkpoint, once=True).awaitTermination()
+    for batch, events_so_far in ((0, log.filter("round < 90")), (1, log), (None, log)):
+        now = materialise.served_state(spark, checkpoint, rows.schema, keys, order, batch)
+        assert table(now.select("name", "description", F.to_json("config").alias("c")), "name", "description", "c") == table(
+            state.topics_current(events_so_far).select("name", "description", F.to_json("config").alias("c")), "name", "description", "c"
+        )
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    assert "StateScan" in plan and "FileScan" not in plan
+
+
 def test_cluster_and_brokers_follow_the_log(spark, tmp_path):
     log = events(
         spark,
