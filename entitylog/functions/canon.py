@@ -96,6 +96,16 @@ def same(left: Column, right: Column, dtype: DataType) -> Column:
     return canon(left, dtype).eqNullSafe(canon(right, dtype))
 
 
+def digest(col: Column, dtype: DataType) -> Column:
+    """32 bytes that stand for a value: the SHA-256 of its canonical form, null for null.
+
+    Values that are ``same`` have one digest. That others have one too can be left
+    out of account, as of any file that is named by such a digest.
+    """
+    text = F.to_json(F.struct(canon(col, dtype).alias("v")), {"ignoreNullFields": "false"})
+    return F.when(col.isNotNull(), F.unhex(F.sha2(text, 256)))
+
+
 def tidy(df: DataFrame, schema: StructType) -> DataFrame:
     """Rows in exactly the given shape, absent columns as null."""
     return df.select(

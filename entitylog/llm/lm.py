@@ -8,7 +8,7 @@ two as a pair. Query and key vectors and a bias by distance give the weights
 are tables of what followed a subword at that distance, or the pair. The weighted
 sum of the values is the prediction, so probabilities add up to one without a sum
 over the vocabulary. The tables are counted from all training texts; the vectors
-and biases are trained by gradient steps in numpy on a window of every training
+and biases are trained by gradient steps in numpy on every window of every training
 text, in each task, and averaged by the number of windows.
 
 Texts are scored in windows of ``WINDOW`` subwords that overlap by ``CONTEXT``,
@@ -52,8 +52,8 @@ BLOCK = 2048
 KEPT_WORDS = 1_000_000
 #: Weight of the next subword's overall rate in each row of a table by distance.
 SMOOTH = 0.5
-#: Learning: subwords of a window, windows of a step, step size.
-SPAN, STEP, RATE = 64, 64, 0.1
+#: Learning: subwords of a window, windows of a step, step size, windows gathered before the steps.
+SPAN, STEP, RATE, HELD = 64, 64, 0.1, 4096
 TABLES = 3
 
 _loaded: dict[tuple[str, int], "Subwords"] = {}
@@ -97,6 +97,14 @@ def pair_row(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - PAIRS.bit_length() + 1)).astype(np.int64)
 
 
+def windows_of(ids: np.ndarray, span: int, start: int) -> np.ndarray:
+    """A text's ids in windows of ``span``, each after the ``CONTEXT`` ids before it; the last is filled up."""
+    n = -(-len(ids) // span)
+    padded = np.full(CONTEXT + n * span, start, np.int64)
+    padded[CONTEXT : CONTEXT + len(ids)] = ids
+    return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + span)[::span]
+
+
 class Sparse:
     """A table of positive numbers by non-negative keys, open addressing."""
 
@@ -245,9 +253,7 @@ class Model:
         first = np.cumsum(counts) - counts
         x = np.full((int(counts.sum()), CONTEXT + WINDOW), start, np.int64)
         for ids, n, at in zip(texts, counts.tolist(), first.tolist()):
-            padded = np.full(CONTEXT + n * WINDOW, start, np.int64)
-            padded[CONTEXT : CONTEXT + len(ids)] = ids
-            x[at : at + n] = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + WINDOW)[::WINDOW]
+            x[at : at + n] = windows_of(ids, WINDOW, start)
         sums = np.empty(len(x))
         for a in range(0, len(x), 256):
             weights, found, _ = self.attend(x[a : a + 256], start)
@@ -317,27 +323,20 @@ def _pairs(path: str, rules: int):
 
 def _trained(start: int, path: str, rules: int, base: Model):
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Weights learned from a window of each of a task's texts, times the windows."""
+        """Weights learned from all windows of a task's texts, times the windows."""
         sub = subwords(path, rules)
         own = replace(base, query=base.query.copy(), key=base.key.copy(), bias=base.bias.copy())
-        windows = 0
+        windows, held, rows = 0, [], 0
         for batch in batches:
-            rows = []
-            for place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                at = place % (len(words) + 1)
-                # From before the place, so that the context is real, to the end of the span.
-                ids = sub.ids(words[max(at - CONTEXT, 0) : at + SPAN])
-                if at + SPAN < len(words):
-                    ids = ids[:-1]
-                row = np.full(CONTEXT + SPAN, start, np.int64)
-                ids = ids[: SPAN + (CONTEXT if at else 0)]
-                from_ = 0 if at and len(ids) > SPAN else CONTEXT
-                row[from_ : from_ + len(ids)] = ids[: len(row) - from_]
-                rows.append(row)
-            if rows:
-                own.learn(np.array(rows), start)
-                windows += len(rows)
+            for text in batch.column(0).to_pylist():
+                held.append(windows_of(sub.ids(words_of(text)), SPAN, start))
+                rows += len(held[-1])
+                if rows >= HELD:
+                    own.learn(np.concatenate(held), start)
+                    windows, held, rows = windows + rows, [], 0
+        if held:
+            own.learn(np.concatenate(held), start)
+            windows += rows
         if windows:
             flat = np.concatenate([p.ravel() for p in (own.query, own.key, own.bias)]).astype(np.float64)
             yield pa.RecordBatch.from_pydict(
@@ -347,7 +346,7 @@ def _trained(start: int, path: str, rules: int, base: Model):
     return trained
 
 
-def train(df: DataFrame, path: str, id: str = "doc_id", text: str = "text", rules: int = RULES) -> Model:
+def train(df: DataFrame, path: str, text: str = "text", rules: int = RULES) -> Model:
     """The model of all rows of ``df``."""
     spark = df.sparkSession
     small_batches(spark)
@@ -361,9 +360,8 @@ def train(df: DataFrame, path: str, id: str = "doc_id", text: str = "text", rule
     seen = counts.toArrow()
     tables = Tables(seen.column("cell").to_numpy(), seen.column("n").to_numpy().astype(np.float32), sub.size)
     model = Model(spark.sparkContext.broadcast(tables), query, key, bias)
-    place = F.crc32(F.concat(F.lit("window:"), F.coalesce(F.col(id).cast("string"), F.lit(""))))
     learned = (
-        df.select(place, text)
+        df.select(text)
         .mapInArrow(_trained(sub.start, path, rules, model), "at long, value double, windows long")
         .groupBy("at")
         .agg(F.sum("value").alias("value"), F.sum("windows").alias("windows"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from entitylog.functions.canon import same
+from entitylog.functions.canon import digest, same
 from entitylog.schema import CREATED, DELETED, SEQ, UPDATED
 
 
@@ -328,6 +328,40 @@ def from_snapshots(
     )
 
 
+def by_digest(
+    snaps: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    rounds: tuple[int, int],
+    round: str = "snapshot_id",
+    eligible: Column | None = None,
+    forget_absent: bool = True,
+    state: DataFrame | None = None,
+    chunk: int | None = None,
+) -> DataFrame:
+    """What ``from_snapshots`` gives, with digests in place of the values in its shuffle and windows.
+
+    The values of what changed are fetched afterwards, by key and round. Where few rows
+    change and values are large, such as partition lists, this moves a fraction of
+    the bytes: the changed keys are sent to the snapshots where they lie. The snapshots
+    are read twice.
+    """
+    dtype = _value_type(snaps, values)
+    speaks = F.lit(True) if eligible is None else eligible
+    short = snaps.select(*keys, round, digest(F.struct(*values), dtype).alias("_digest"), speaks.alias("_speaks"))
+    if state is not None:
+        state = state.select(*keys, digest(F.struct(*values), dtype).alias("_digest"))
+    changes = from_snapshots(
+        short, keys, ["_digest"], rounds, round, None if eligible is None else F.col("_speaks"), forget_absent, state, chunk
+    ).drop("_digest")
+    told = changes.filter(F.col("op") != DELETED)
+    told = told.join(snaps.select(*keys, round, *values), [*keys, round])
+    gone = changes.filter(F.col("op") == DELETED)
+    gone = gone.select("*", *(F.lit(None).cast(snaps.schema[v].dataType).alias(v) for v in values))
+    columns = [*keys, round, "op", *values]
+    return told.select(*columns).union(gone.select(*columns))
+
+
 def _carried(rows: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
     """Fill what a chunk cannot know by itself from the chunks around it."""
     edges = rows.filter(F.col("_prev").isNull() | F.col("_next").isNull())

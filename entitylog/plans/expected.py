@@ -92,6 +92,20 @@ select 'last' as version, k, n from snap where r = (select max(r) from snap)
 union all select 'before', k, n from snap where r = {LAST_PART} - 1
 """,
     "poll_log_version": f"select * from ({STEPS.replace(', changes as', 'with changes as', 1)}) t where r < {LAST_PART}",
+    "chunked_descriptions": """
+select topic, partition_id // 500 as chunk, count(*) as n_partitions,
+  string_agg(partition_id || ':' || leader, ';' order by partition_id) as partitions
+from (select l_suppkey as topic, l_orderkey as partition_id, cast(max(l_quantity) as int) as leader from lineitem group by 1, 2) t
+group by 1, 2
+""",
+    "digest_changelog": f"""
+, found as ({MULTI_ROUND})
+select f.k, f.r, f.op, snap.n, snap.p from found f left join snap on f.op <> 'Deleted' and f.k = snap.k and f.r = snap.r
+""",
+    "environment_lists": """
+select c_custkey, n_name, '90000000 microseconds' as interval from customer join nation on c_nationkey = n_nationkey
+where n_name in ('NATION_10', 'NATION_3', 'NATION_9') and c_mktsegment <> 'MACHINERY'
+""",
     "followed_counters": """
 select entity_type, op, cast(count(*) as double) as total from valid_log group by 1, 2
 """,
@@ -423,6 +437,7 @@ SAME_AS = {
     "stream_brokers": "brokers_current",
     "stream_cluster": "cluster_current",
     "stream_counters": "consumed_counters",
+    "poll_restarted": "stream_snapshots_to_log",
     "served_topics": "topics_current",
     "served_brokers": "brokers_current",
     "served_cluster": "cluster_current",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from entitylog.functions import canon
 from entitylog.operators import changelog, counters, enrich, envelope, filters, graph, state
-from entitylog.params import Params
+from entitylog.params import Params, duration
 from entitylog.plans import poll, views
 from entitylog.schema import (
     BROKER,
@@ -549,6 +549,36 @@ def topic_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chunked_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as topics, order lines as their partitions, a few at a time."""
+    rows = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").alias("topic"), F.col("l_orderkey").alias("partition_id")
+    ).agg(F.max("l_quantity").alias("leader"))
+    chunks = snapshots.description_chunks(
+        rows.withColumn("internal", F.lit(False)), 500, fields=["partition_id", "leader"]
+    )
+    text = F.transform("partitions", lambda p: F.concat_ws(":", p["partition_id"].cast("string"), p["leader"].cast("int").cast("string")))
+    return chunks.select("topic", "chunk", F.size("partitions").cast("long").alias("n_partitions"), F.array_join(text, ";").alias("partitions"))
+
+
+def digest_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of all quarters found by digests of the values."""
+    rounds = quarters(spark, sf_dir)
+    return changelog.by_digest(quarterly(spark, sf_dir), K, COUNT_AND_PRIORITY, rounds, round="r").select("k", "r", "op", "n", "p")
+
+
+def environment_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters read from an environment, applied to the nations."""
+    env = {
+        "COLLECTOR_TOPIC_WHITELIST": "NATION_10,NATION_3,,NATION_9,NATION_19", "COLLECTOR_TOPIC_BLACKLIST": "NATION_19",
+        "COLLECTOR_TOPIC_INCLUDE_INTERNAL": "off", "COLLECTOR_TOPIC_POLL_INTERVAL": "90s",
+    }
+    params = Params.from_env(env)
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    shown = filters.allowed(F.col("n_name"), params.allow, params.deny) & filters.visible(F.col("c_mktsegment") == "MACHINERY", params.include_internal)
+    return rows.filter(shown).select("c_custkey", "n_name", F.lit(duration(params.topic_poll_interval)).alias("interval"))
+
+
 # Envelope and log
 
 
@@ -918,6 +948,22 @@ def _polled_in_parts(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
     return f"{path}/out"
 
 
+def poll_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters polled by a stream that is stopped while it runs, and by another that goes on from there."""
+    path = scratch(spark, "poll")
+    snaps, (first, last) = _topic_snapshots(spark, sf_dir), quarters(spark, sf_dir)
+    middle = (first + last) // 2
+    params = Params(include_internal=True, topic_poll_interval="200 ms")
+    follow = lambda once: streaming_poll.snapshots_to_log(spark, f"{path}/in", f"{path}/out", TOPIC, params, once=once)
+    snapshots.write_snapshots(snaps.filter(F.col("snapshot_id") <= middle), f"{path}/in", TOPIC, (first, middle))
+    running = follow(False)
+    running.processAllAvailable()
+    streaming_poll.stop(running)
+    snapshots.write_snapshots(snaps.filter(F.col("snapshot_id") > middle), f"{path}/in", TOPIC, (middle + 1, last))
+    follow(True).awaitTermination()
+    return _flat_topic_events(streaming_poll.read_log(spark, f"{path}/out", [TOPIC]))
+
+
 def poll_state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State as it is after all polls, and as it was before the last."""
     out = _polled_in_parts(spark, sf_dir)
@@ -1027,6 +1073,7 @@ QUERIES = {
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,
+        chunked_descriptions, digest_changelog, environment_lists, poll_restarted,
         served_topics, served_brokers, served_cluster, poll_state_versions, poll_log_version, followed_counters, listed_brokers, missing_broker_rounds,
     )
 }

@@ -152,6 +152,34 @@ def build_descriptions(
     )
 
 
+def description_chunks(
+    partitions: DataFrame,
+    size: int = 1024,
+    topic: str = "topic",
+    internal: str = "internal",
+    fields: Sequence[str] = tuple(PARTITION.fieldNames()),
+) -> DataFrame:
+    """Flat partition rows as pieces of descriptions: topic, ``chunk``, ``internal`` and ``partitions`` by id.
+
+    A piece holds the partitions whose ids, the first field, fall into a range of
+    ``size``, so that a topic with any share of all partitions is spread over its
+    pieces. Comparing pieces finds the same changed topics as comparing descriptions.
+    """
+    chunk = F.floor(F.col(fields[0]) / size).cast("long")
+    return partitions.groupBy(F.col(topic).alias("topic"), chunk.alias("chunk")).agg(
+        F.max(internal).alias("internal"), F.sort_array(F.collect_list(F.struct(*fields))).alias("partitions")
+    )
+
+
+def assembled(chunks: DataFrame) -> DataFrame:
+    """Pieces as one description per topic, for a sink that wants it whole: as large as the topic's list."""
+    return (
+        chunks.groupBy("topic")
+        .agg(F.max("internal").alias("internal"), F.sort_array(F.collect_list(F.struct("chunk", "partitions"))).alias("c"))
+        .select("topic", F.struct("internal", F.flatten(F.col("c.partitions")).alias("partitions")).alias("description"))
+    )
+
+
 def config_of_rows(
     entries: DataFrame,
     keys: Sequence[str],

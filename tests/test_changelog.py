@@ -168,3 +168,37 @@ def test_rows_without_a_key_are_reported_and_no_change(spark):
     assert table(changelog.from_snapshots(snap, ["k"], ["v"], (0, 0), "r"), "k", "op") == [("a", "Created")]
     assert changelog.created(none, snap, ["k"]).count() == changelog.deleted(snap, none, ["k"]).count() == 2
     assert changelog.keyless(snap, ["k", "r"]).count() == 2
+
+
+def shuffled(spark):
+    """Bytes written to shuffles by all stages so far."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(n).shuffleWriteBytes() for n in range(stages.size()))
+
+
+def test_digests_find_the_same_changes_and_move_less(spark, tmp_path):
+    rng = random.Random(4)
+    value = {}
+    rows = []
+    for r in range(10):
+        for k in range(150):
+            if rng.random() < 0.03:
+                value.pop(k, None)
+            if k not in value or rng.random() < 0.03:
+                value[k] = (str(rng.random()) * 120, {"a": rng.choice(["1", None, ""]), "b": str(k)})
+            if rng.random() < 0.97:
+                a = dict(reversed(value[k][1].items())) if rng.random() < 0.5 else value[k][1]
+                rows.append((k, r, value[k][0], a, rng.random() < 0.9))
+    df = spark.createDataFrame(rows, "k int, snapshot_id long, text string, config map<string,string>, ok boolean")
+    df.repartition(3).write.parquet(str(tmp_path / "s"))
+    df = spark.read.parquet(str(tmp_path / "s"))
+    state = spark.createDataFrame([(1, "old", {}), (999, "gone", None)], "k int, text string, config map<string,string>")
+    flat = lambda x: sorted(tuple(map(str, (r.k, r.snapshot_id, r.op, r.text, sorted((r.config or {}).items())))) for r in x)
+    moved = []
+    for how in (changelog.from_snapshots, changelog.by_digest):
+        before = shuffled(spark)
+        got = [flat(how(df, ["k"], ["text", "config"], (1, 9), eligible=e, state=s).collect()) for e, s in ((None, None), (F.col("ok"), state))]
+        moved.append((shuffled(spark) - before, got))
+    assert moved[0][1] == moved[1][1] and len(moved[0][1][0]) > 100
+    assert moved[1][0] < moved[0][0] / 2

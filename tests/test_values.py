@@ -157,3 +157,14 @@ def test_durations_in_their_usual_spellings():
 
     spelled = {"10s": 10_000_000, "30 seconds": 30_000_000, "1m": 60_000_000, "500ms": 500_000, "250": 250_000, "1.5 h": 5_400_000_000}
     assert {text: duration(text) for text in spelled} == {text: f"{n} microseconds" for text, n in spelled.items()}
+
+
+def test_pieces_of_descriptions_assemble_to_the_whole(spark):
+    rows = [(t, p, p % 3, False) for t in ("a", "b") for p in range(0, 70 if t == "a" else 3)]
+    df = spark.createDataFrame(rows, "topic string, id int, leader int, internal boolean")
+    chunks = snapshots.description_chunks(df, 16, fields=["id", "leader"])
+    assert {(r.topic, r.chunk): len(r.partitions) for r in chunks.collect()} == {
+        ("a", 0): 16, ("a", 1): 16, ("a", 2): 16, ("a", 3): 16, ("a", 4): 6, ("b", 0): 3
+    }
+    whole = snapshots.build_descriptions(df, fields=["id", "leader"])
+    assert sorted(map(str, snapshots.assembled(chunks).collect())) == sorted(map(str, whole.collect()))
