@@ -437,6 +437,7 @@ SAME_AS = {
     "stream_brokers": "brokers_current",
     "stream_cluster": "cluster_current",
     "stream_counters": "consumed_counters",
+    "kept_graph": "graph_from_state",
     "poll_restarted": "stream_snapshots_to_log",
     "served_topics": "topics_current",
     "served_brokers": "brokers_current",

@@ -30,7 +30,7 @@ from entitylog.session import scratch
 from entitylog.sources import commits
 from entitylog.sources import log as logs
 from entitylog.sources import snapshots
-from entitylog.streaming import materialise
+from entitylog.streaming import graph_view, materialise
 from entitylog.streaming import poll as streaming_poll
 
 K, O = ["k"], ["o"]
@@ -802,6 +802,17 @@ def graph_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(relations.withColumn("what", F.lit("relation")))
 
 
+def kept_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph of the canonical log, kept up to date by a stream over its parts."""
+    path = scratch(spark, "graph")
+    events = _valid_events(spark, sf_dir)
+    part = F.pmod(F.xxhash64("round"), F.lit(3))
+    for batch in range(3):
+        logs.append_log(events.filter(part == batch), f"{path}/log", batch=batch)
+        graph_view.follow(logs.read_log(spark, f"{path}/log", stream=True), f"{path}/facts", f"{path}/c", once=True, fan=2).awaitTermination()
+    return graph_view.read(spark, f"{path}/facts")
+
+
 def rack_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
     brokers = suppliers(spark, sf_dir).select("id", F.col("node.rack").alias("rack"))
     return graph.member_brokers(brokers, "rack")
@@ -1073,7 +1084,7 @@ QUERIES = {
         graph_from_state, rack_brokers, cluster_brokers,
         graph_clients, graph_schemas, graph_metadata,
         stream_topics, stream_brokers, stream_cluster, stream_counters, stream_snapshots_to_log,
-        chunked_descriptions, digest_changelog, environment_lists, poll_restarted,
+        kept_graph, chunked_descriptions, digest_changelog, environment_lists, poll_restarted,
         served_topics, served_brokers, served_cluster, poll_state_versions, poll_log_version, followed_counters, listed_brokers, missing_broker_rounds,
     )
 }

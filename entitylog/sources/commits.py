@@ -101,8 +101,11 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return [] if found is None else [r.version for r in found.select("version").orderBy("version").collect()]
 
 
-def last_version(spark: SparkSession, path: str) -> int | None:
+def last_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The last version, or the last before another."""
     found = entries(spark, path)
+    if found is not None and before is not None:
+        found = found.filter(F.col("version") < before)
     return None if found is None else found.agg(F.max("version")).first()[0]
 
 

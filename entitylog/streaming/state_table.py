@@ -14,7 +14,7 @@ leaves the version before it as it was.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +42,7 @@ def changes_of(
 
 
 def _layers(spark: SparkSession, path: str, names: Sequence[str], schema: StructType) -> DataFrame:
-    stored = StructType([*schema.fields]).add(GONE, BOOL)
-    return spark.read.schema(stored).parquet(*(f"{path}/{name}" for name in names))
+    return spark.read.schema(schema).parquet(*(f"{path}/{name}" for name in names))
 
 
 def append(
@@ -54,41 +53,60 @@ def append(
 
     A version that is committed already stays as it is.
     """
-    spark = changes.sparkSession
+    schema = StructType([changes.schema[c] for c in (*keys, *order, *values)]).add(GONE, BOOL)
+
+    def merge(rows: DataFrame, bottom: bool) -> DataFrame:
+        rows = latest(rows, keys, order, [*values, GONE])
+        return rows.filter(~F.col(GONE)) if bottom else rows.filter(F.col(GONE).isNotNull())
+
+    append_layer(changes, path, version, before, schema, merge, fan)
+
+
+def append_layer(
+    rows: DataFrame, path: str, version: int, before: int | None, schema: StructType,
+    merge: Callable[[DataFrame, bool], DataFrame], fan: int = FAN,
+) -> None:
+    """Commit a layer on top of version ``before``, with the mergers it makes due.
+
+    ``merge`` makes one layer of the rows of several, whether it is the lowest or not.
+    A version that is committed already stays as it is.
+    """
+    spark, columns = rows.sparkSession, schema.fieldNames()
     if commits.entry(spark, path, version) is not None:
         return
     # Oldest first; a level's layers are newer than those of the levels above it.
     live = [] if before is None else [(p.name, p.level) for p in commits.entry(spark, path, before).adds]
-    schema = StructType([changes.schema[c] for c in (*keys, *order, *values)])
     name, level = commits.new_piece(version), 0
-    changes.select(*schema.fieldNames(), GONE).write.parquet(f"{path}/{name}")
+    rows.select(*columns).write.parquet(f"{path}/{name}")
     live.append((name, level))
     while True:
         full = [n for n, l in live if l == level]
         if len(full) < fan:
             break
         rest = [(n, l) for n, l in live if l != level]
-        rows = latest(_layers(spark, path, full, schema), keys, order, [*values, GONE])
-        if not keys:
-            rows = rows.filter(F.col(GONE).isNotNull())
-        if not any(l > level for _, l in rest):
-            rows = rows.filter(~F.col(GONE))
+        merged = merge(_layers(spark, path, full, schema), not any(l > level for _, l in rest))
         name, level = commits.new_piece(version), level + 1
-        rows.select(*schema.fieldNames(), GONE).write.parquet(f"{path}/{name}")
+        merged.select(*columns).write.parquet(f"{path}/{name}")
         # Behind the older layers of the next level, before the newer levels.
         live = [(n, l) for n, l in rest if l >= level] + [(name, level)] + [(n, l) for n, l in rest if l < level]
     commits.commit(spark, path, version, live, base=True)
 
 
-def read(
-    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str], version: int | None = None,
-) -> DataFrame:
-    """Rows of a version, the last one if none is given, with their place in the log."""
+def layers(spark: SparkSession, path: str, schema: StructType, version: int | None = None) -> DataFrame:
+    """The rows of all layers of a version, the last one if none is given."""
     if version is None:
         version = commits.last_version(spark, path)
     row = None if version is None else commits.entry(spark, path, version)
     if row is None:
         return spark.createDataFrame([], schema)
+    return _layers(spark, path, [p.name for p in row.adds], schema)
+
+
+def read(
+    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str], version: int | None = None,
+) -> DataFrame:
+    """Rows of a version, the last one if none is given, with their place in the log."""
     values = [f.name for f in schema.fields if f.name not in (*keys, *order)]
-    rows = latest(_layers(spark, path, [p.name for p in row.adds], schema), keys, order, [*values, GONE])
+    rows = layers(spark, path, StructType([*schema.fields]).add(GONE, BOOL), version)
+    rows = latest(rows, keys, order, [*values, GONE])
     return rows.filter(~F.col(GONE)).select(*schema.fieldNames())
