@@ -43,7 +43,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stored(licenses.scan(rows, match).drop("text"), "licenses")
     found = licenses.inherit(found.withColumn("is_file", F.coalesce(F.col("line") == 0, F.lit(False))))
     return found.select(
-        "doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "line", "effective", "basis", "from_dir"
+        "doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "line", "unit", "effective", "basis", "from_dir"
     )
 
 
