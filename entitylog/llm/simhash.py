@@ -16,7 +16,10 @@ Links leave a block as a spanning forest, so a group of any size emits no more
 rows than it has members, and a node of any size is spread over its blocks.
 
 With more parts than bits that may differ, two linked fingerprints agree in a
-part, and no link is lost: ``EXACT`` has five parts for four bits. ``SIMILAR`` is
+part, and no link is lost: ``EXACT`` has five parts for four bits. With six or seven
+they agree in two or three, and the bits are ordered once for each choice of so many
+(``FINER``); ``exact_law`` takes as many as the number of fingerprints asks for, so that
+a node's size, and with it the work per fingerprint, does not grow with the table. ``SIMILAR`` is
 for texts that share 0.8 of their shingles (Jaccard): 256 bits differ by 39 on
 average with a deviation of nearly 6, 60 may, and one of 28 parts of 9 or 10 bits
 agrees in all but about one of 1,000 such pairs. Its fingerprints count each shingle
@@ -39,7 +42,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
@@ -66,7 +69,8 @@ class Law:
     """Words in a shingle, 64-bit words in a fingerprint, bits that may differ, bits of each part.
 
     ``least``: share of the shingles that linked texts have in common, checked
-    exactly; 0 for no check. ``rows``: fingerprints in a block at most.
+    exactly; 0 for no check. ``rows``: fingerprints in a block at most. ``agree``: parts
+    that linked fingerprints surely agree in; as many come first in each order of bits.
     """
 
     words: int
@@ -75,9 +79,30 @@ class Law:
     parts: tuple[int, ...]
     least: float = 0.0
     rows: int = BATCH_ROWS
+    agree: int = 1
+
+    def orders(self) -> list[tuple[int, tuple[int, ...]]]:
+        """Orders of a fingerprint's bits: word, and its parts in order, those that agree first."""
+        n = len(self.parts)
+        return [
+            (word, (*first, *((first[0] + k) % n for k in range(1, n) if (first[0] + k) % n not in first)))
+            for word in range(self.width)
+            for first in combinations(range(n), self.agree)
+        ]
+
+    def shared(self) -> list[int]:
+        """Bits that the fingerprints of a node share, by order."""
+        return [sum(self.parts[k] for k in order[: self.agree]) for _, order in self.orders()]
 
 
 EXACT = Law(4, 1, 4, (13, 13, 13, 13, 12))
+#: The same with more parts, of which more agree: nodes with 20 and 27 bits shared.
+FINER = (Law(4, 1, 4, (11, 11, 11, 11, 10, 10), agree=2), Law(4, 1, 4, (10, 9, 9, 9, 9, 9, 9), agree=3))
+
+
+def exact_law(n: int) -> Law:
+    """The exact law for so many fingerprints: nodes stay of about a block's size, so work grows with the rows."""
+    return next((x for x in (EXACT, *FINER) if n <= BATCH_ROWS << min(x.shared())), FINER[-1])
 SIMILAR = Law(5, 4, 60, (10, 9, 9, 9, 9, 9, 9), 0.8, 2048)
 
 
@@ -156,7 +181,7 @@ EDGE = "a long, b long"
 def _blocks(law: Law):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted entries as blocks: a node whole, or cut where it has more rows than a block or a task ends."""
-        of_part = np.array(law.parts * law.width, np.uint64)
+        of_part = np.array(law.shared(), np.uint64)
         held: list[np.ndarray] = []
 
         def cut(rows: np.ndarray, last: bool) -> tuple[pa.RecordBatch, np.ndarray]:
@@ -341,23 +366,22 @@ def _tries(law: Law, forests: int):
 def meetings(codes: DataFrame, law: Law) -> tuple[DataFrame, DataFrame]:
     """The blocks, each with a number ``block``, and the numbers ``x`` and ``y`` of those that meet."""
     small_batches(codes.sparkSession)
-    places = [
-        F.struct(
-            F.lit(word * len(law.parts) + n).alias("part"),
-            F.lit(word).alias("word"),
-            F.lit(sum(law.parts[:n])).alias("start"),
-            F.lit(bits).alias("bits"),
-        )
-        for word in range(law.width)
-        for n, bits in enumerate(law.parts)
-    ]
+    starts = [sum(law.parts[:k]) for k in range(len(law.parts))]
+    places = []
+    for part, (word, order) in enumerate(law.orders()):
+        to = {k: sum(law.parts[x] for x in order[:n]) for n, k in enumerate(order)}
+        moves = F.array(*(F.lit(BITS - to[k] - bits) for k, bits in enumerate(law.parts)))
+        places.append(F.struct(F.lit(part).alias("part"), F.lit(word).alias("word"), moves.alias("moves")))
     # Packed, as an array of longs would be more than half again as large.
     packed = F.concat(*(F.unhex(F.lpad(F.hex(F.col("code")[n]), 16, "0")) for n in range(law.width)))
     entries = codes.withColumn("packed", packed)
     entries = entries.select("code", "packed", "id", F.explode(F.array(*places)).alias("p")).select("code", "packed", "id", "p.*")
-    entries = entries.withColumn(
-        "rank", F.expr("shiftleft(code[word], start) | shiftrightunsigned(code[word], 64 - start)")
+    # Each part of the word is cut out and put where the order has it.
+    moved = " | ".join(
+        f"shiftleft(shiftrightunsigned(code[word], {BITS - start - bits}) & {(1 << bits) - 1 if bits < BITS else -1}L, moves[{k}])"
+        for k, (start, bits) in enumerate(zip(starts, law.parts))
     )
+    entries = entries.withColumn("rank", F.expr(moved))
     # Step by step, as a single expression would double with every step.
     for shift in (1, 2, 4, 8, 16, 32):
         entries = entries.withColumn("rank", F.expr(f"rank ^ shiftrightunsigned(rank, {shift})"))
@@ -514,7 +538,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", law: Law
     if law.least:
         groups = checked_groups(codes, rows.select("id", "digest", "shingles"), law)
     else:
-        groups = components(links(codes, law))
+        groups = components(links(codes, exact_law(firsts.count()) if law == EXACT else law))
     labels = firsts.join(groups, F.col("id") == F.col("node"), "left").select(
         *key, F.coalesce("component", "id").alias("component")
     )

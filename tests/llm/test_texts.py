@@ -119,10 +119,20 @@ def test_simhash_index_loses_no_link_in_crowded_nodes(spark):
     codes = sorted(c % (1 << 64) for c in codes)
     signed = [c - (1 << 64) if c >> 63 else c for c in codes]
     df = spark.createDataFrame([([c], n) for n, c in enumerate(signed)], "code array<long>, id long")
-    got = dict(components(simhash.links(df)).collect())
     bits = np.array(codes, np.uint64)
     root = simhash.forest(len(bits), *np.nonzero(np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 4))
-    assert {n: got.get(n, n) for n in range(len(bits))} == dict(enumerate(root.tolist()))
+    for law in (simhash.EXACT, *simhash.FINER):
+        got = dict(components(simhash.links(df, law)).collect())
+        assert {n: got.get(n, n) for n in range(len(bits))} == dict(enumerate(root.tolist()))
+
+
+def test_the_exact_law_follows_the_number_of_fingerprints():
+    laws = [simhash.exact_law(n) for n in (0, 2 * 10**6, 10**7, 10**9, 10**13)]
+    assert [x.agree for x in laws] == [1, 1, 2, 3, 3]
+    for law in laws:
+        # Any four bits that differ leave enough parts alike.
+        assert len(law.parts) - law.most >= law.agree and sum(law.parts) == 64
+        assert all(sorted(order) == list(range(len(law.parts))) for _, order in law.orders())
 
 
 def test_blocks_of_equal_rank_meet(spark):
