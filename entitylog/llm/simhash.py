@@ -451,7 +451,7 @@ def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
     work = inside.union(_met(plain, meet).select(*inside.columns)).select(
         "*", *(F.lit(None).cast("array<long>").alias(c) for c in ("labels", "labels2")), none.alias("tried"),
     )
-    passed = before = tries = None
+    groups = before = tries = None
     while True:
         last_tries, tries = tries, stored(work.mapInArrow(_tries(law, forests), TRIES), "tries")
         drop(last_tries)
@@ -463,14 +463,14 @@ def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
             edges = edges.join(before, ["a", "b"], "left_anti")
         edges = stored(edges, "candidates")
         before = edges if before is None else before.union(edges)
-        if passed is None:
+        if groups is None:
             # Every end of a later candidate is one of the first already, as a forest reaches all that are close to any.
             nodes = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
             sets = stored(sets.join(nodes, "id", "left_semi").dropDuplicates(["id", "digest"]), "sets")
         new = checked(edges, sets, law.least)
-        last_passed, passed = passed, stored(new if passed is None else passed.union(new), "passed")
-        drop(last_passed)
-        groups = components(passed)
+        # What passed before is held by its groups; only new links can join these.
+        links = new if groups is None else groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)
+        groups = components(links)
         again = tries.filter("left").select("x", "y", "tried")
         if again.isEmpty():
             return groups
