@@ -321,43 +321,63 @@ def _links(law: Law):
     return links
 
 
-TRIES = "x long, y long, a array<long>, b array<long>, tried binary, left boolean"
+TRIES = (
+    "codes binary, ids binary, codes2 binary, ids2 binary, tried binary, members array<long>,"
+    " a array<long>, b array<long>"
+)
 
 
 def _tries(law: Law, forests: int):
+    longs = pa.list_(pa.int64())
+    # Given, as a batch may hold nothing but nulls.
+    kinds = dict.fromkeys(("codes", "ids", "codes2", "ids2", "tried"), pa.binary()) | dict.fromkeys(("members", "a", "b"), longs)
+
     def tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Forests of pairs not tried yet, of ends in different groups; whether there are more."""
+        """Forests of pairs not tried yet, of ends in different groups; the members of pairs that are left, with what was tried of them."""
         for batch in batches:
-            out: dict = {n: [] for n in ("x", "y", "a", "b", "tried", "left")}
+            out: dict = {n: [] for n in kinds}
             for row in batch.to_pylist():
                 ids, i, j, cost = _pairs_of(row, law)
                 n = len(ids)
-                tried = np.frombuffer(row["tried"] or b"", np.int32)
+                tried = np.frombuffer(row["tried"] or b"", np.int32).astype(np.int64)
+                group = np.arange(n)
                 if row["labels"] is not None:
-                    label = np.array(row["labels"] + (row["labels2"] or []), np.int64)
-                    left = (label[i] != label[j]) & ~np.isin(i * n + j, tried)
+                    # Groups are what is to be connected.
+                    group = np.unique(np.array(row["labels"], np.int64), return_inverse=True)[1]
+                    left = (group[i] != group[j]) & ~np.isin(i * n + j, tried)
                     i, j, cost = i[left], j[left], cost[left]
                 if not len(i):
                     continue
                 places = []
                 for _ in range(forests):
-                    tree = spanning(n, i, j, cost)
+                    tree = spanning(int(group.max()) + 1, group[i], group[j], cost)
                     places.append(i[tree] * n + j[tree])
                     i, j, cost = np.delete(i, tree), np.delete(j, tree), np.delete(cost, tree)
                     if not len(i):
                         break
-                new = np.concatenate(places).astype(np.int32)
-                out["x"].append(row["x"])
-                out["y"].append(row["y"])
+                new = np.concatenate(places)
                 out["a"].append(ids[new // n])
                 out["b"].append(ids[new % n])
-                # Needed again only where something is left.
-                out["tried"].append(np.r_[tried, new].tobytes() if len(i) else None)
-                out["left"].append(len(i) > 0)
-            if out["x"]:
-                # Given, as a batch may hold nothing but nulls.
-                long, longs = pa.int64(), pa.list_(pa.int64())
-                kinds = {"x": long, "y": long, "a": longs, "b": longs, "tried": pa.binary(), "left": pa.bool_()}
+                if not len(i):
+                    for name in ("codes", "ids", "codes2", "ids2", "tried", "members"):
+                        out[name].append(None)
+                    continue
+                stay = np.unique(np.r_[i, j])
+                at = np.full(n, -1)
+                at[stay] = np.arange(len(stay))
+                tried = np.r_[tried, new]
+                x, y = at[tried // n], at[tried % n]
+                both = (x >= 0) & (y >= 0)
+                out["tried"].append((x[both] * len(stay) + y[both]).astype(np.int32).tobytes())
+                out["members"].append(ids[stay])
+                first = len(row["ids"]) // 8
+                for side, places in (("", stay[stay < first]), ("2", stay[stay >= first] - first)):
+                    whole = row["codes" + side]
+                    code = None if whole is None else np.frombuffer(whole, np.uint64).reshape(-1, law.width)
+                    out["codes" + side].append(None if code is None else code[places].tobytes())
+                    of = row["ids" + side]
+                    out["ids" + side].append(None if of is None else np.frombuffer(of, np.int64)[places].tobytes())
+            if out["a"]:
                 yield pa.RecordBatch.from_pydict({n: pa.array(out[n], kind) for n, kind in kinds.items()})
 
     return tries
@@ -447,13 +467,15 @@ def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
     plain, forests = blocks.select(*PLAIN), FORESTS
     # In the first round blocks are taken where they lie; only those that meet others are moved.
     none = F.lit(None).cast("binary")
-    inside = plain.select(F.col("block").alias("x"), F.lit(None).cast("long").alias("y"), "codes", "ids", none.alias("codes2"), none.alias("ids2"))
+    inside = plain.select("codes", "ids", none.alias("codes2"), none.alias("ids2"))
     work = inside.union(_met(plain, meet).select(*inside.columns)).select(
-        "*", *(F.lit(None).cast("array<long>").alias(c) for c in ("labels", "labels2")), none.alias("tried"),
-    )
+        "*", F.lit(None).cast("array<long>").alias("labels"), none.alias("tried")
+    )
     groups = before = tries = None
     while True:
-        last_tries, tries = tries, stored(work.mapInArrow(_tries(law, forests), TRIES), "tries")
+        last_tries, tries = tries, stored(
+            work.mapInArrow(_tries(law, forests), TRIES).withColumn("row", F.monotonically_increasing_id()), "tries"
+        )
         drop(last_tries)
         edges = tries.select(F.explode(F.arrays_zip("a", "b")).alias("e")).select("e.a", "e.b")
         ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
@@ -471,40 +493,23 @@ def checked_groups(codes: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
         # What passed before is held by its groups; only new links can join these.
         links = new if groups is None else groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)
         groups = components(links)
-        again = tries.filter("left").select("x", "y", "tried")
-        if again.isEmpty():
+        # Only the members of pairs that are left go on.
+        left = tries.filter("members is not null")
+        if left.isEmpty():
             return groups
-        of = again.select(F.col("x").alias("block")).union(again.select("y")).filter("block is not null").distinct()
         labels = (
-            plain.join(of, "block", "left_semi")
-            .select("block", F.posexplode(_longs("ids")).alias("at", "node"))
+            left.select("row", F.posexplode("members").alias("at", "node"))
             .join(groups, "node", "left")
-            .groupBy("block")
+            .groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("component", "node").alias("label")))).alias("l"))
-            .select("block", F.col("l.label").alias("labels"))
+            .select("row", F.col("l.label").alias("labels"))
+            # Where all are in one group nothing is left.
+            .filter(F.array_min("labels") != F.array_max("labels"))
         )
-        labels = stored(labels, "labels")
-        x, y = (labels.select(F.col("block").alias(n), F.col("labels").alias(n + "_labels")) for n in "xy")
-        # Blocks whose members are all in one group have nothing left.
-        all_labels = F.concat("x_labels", F.coalesce("y_labels", F.array().cast("array<long>")))
-        again = again.join(x, "x").join(y, "y", "left").filter(F.array_min(all_labels) != F.array_max(all_labels))
-        work = _met(plain, again).select(
-            "x", "y", "codes", "ids", "codes2", "ids2",
-            F.col("x_labels").alias("labels"), F.col("y_labels").alias("labels2"), "tried",
-        )
+        work = left.join(labels, "row").select("codes", "ids", "codes2", "ids2", "labels", "tried")
         forests *= 2
 
 
-def _longs(column: str):
-    """The longs that numpy wrote as bytes."""
-
-    @F.pandas_udf("array<long>")
-    def of(values: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(v, np.int64) for v in values], dtype=object)
-
-    return of(column)
-
-
 def checked(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The stored edges whose ends share ``least`` of their ``shingles`` (in common over all, no repeats).
 
