@@ -36,7 +36,11 @@ def whole(docs: DataFrame, **changed: Column) -> list[Column]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rules nor their host's verdict reject."""
+    """Documents that neither the base rules nor their host's verdict reject.
+
+    A null text has no word and goes; documents without a source are one host. Equal
+    rows are judged alike and all stay or go. Of no documents none stay.
+    """
     used = ("text", "source")
     judged = quality.judge(apart(docs, *used), keep=(*used, *apart(docs, *used).columns[2:]))
     return judged.filter("kept").select(*whole(docs, text=F.col("text"), source=F.col("source")))
@@ -67,14 +71,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that stand elsewhere too; those that keep no word go."""
+    """Documents without the passages that stand elsewhere too; those that keep no word go.
+
+    Passages are strings of 400 bytes, judged on the texts as they come in: of rows
+    with one text each loses what the others have, so all of it. Null and empty texts
+    go. ``n_chars`` is that of what is kept; a character cut in two is left out.
+    """
     rows = repeats.without_repeats(apart(docs, "text"))
     kept = rows.filter(F.expr("kept rlike '[^ \\\\x09-\\\\x0D]'"))
     return kept.select(*whole(docs, text=F.col("kept"), n_chars=F.length("kept").cast("long")))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, whole: words taken over words, rounded."""
+    """Documents as often as the mix takes them, whole: words taken over words, rounded.
+
+    Null sources are one, the last. Rows alike in id, source and size share what is
+    taken of them; texts without a word are not taken. Null ids are one id.
+    """
     used = ("doc_id", "text", "source")
     return mix.repeated(apart(docs, *used)).select(*whole(docs, **{c: F.col(c) for c in used}))
 
@@ -82,6 +95,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids, and the text the ids decode to as a digest.
 
+    Null and empty texts have no ids and the digest of nothing. Rows are taken one by
+    one, so equal rows get equal ids.
+
     Where a document has a column of such a name already, it keeps it, and the new
     one's name begins with ``new_``.
     """
