@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitylog.llm.common import BATCH_ROWS, components, drop, lasting, passing, small_batches, stored
+from entitylog.llm.common import BATCH_ROWS, components, drop, small_batches, stored
 
 BITS = 64
 #: Hashes whose bits are added up at once.
