@@ -117,19 +117,17 @@ def ordered(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Da
     )
 
 
-def _cut(spark: SparkSession, sf_dir: str) -> Column:
+def _cut(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None) -> Column:
     """The start of the middle quarter: what was ordered before it is the state,
-    all else the snapshot."""
-    year, quarter = divmod(sum(quarters(spark, sf_dir)) // 2, 4)
+    all else the snapshot. ``bounds`` are the quarters, if they are known."""
+    year, quarter = divmod(sum(bounds or quarters(spark, sf_dir)) // 2, 4)
     return F.to_timestamp_ntz(F.lit(f"{1995 + year}-{3 * quarter + 1:02}-01 00:00:00"))
 
 
-def before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered(spark, sf_dir, F.col("o_orderdate") < _cut(spark, sf_dir))
-
-
-def after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered(spark, sf_dir, F.col("o_orderdate") >= _cut(spark, sf_dir))
+def _sides(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """State and snapshot, the quarters asked for once."""
+    cut = _cut(spark, sf_dir, bounds)
+    return tuple(ordered(spark, sf_dir, side) for side in (F.col("o_orderdate") < cut, F.col("o_orderdate") >= cut))
 
 
 def _quarter() -> Column:
@@ -255,25 +253,25 @@ def canonical_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diff_created(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.created(before(spark, sf_dir), after(spark, sf_dir), K)
+    return changelog.created(*_sides(spark, sf_dir), K)
 
 
 def diff_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.deleted(before(spark, sf_dir), after(spark, sf_dir), K)
+    return changelog.deleted(*_sides(spark, sf_dir), K)
 
 
 def diff_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.known(before(spark, sf_dir), after(spark, sf_dir), K).select("k")
+    return changelog.known(*_sides(spark, sf_dir), K).select("k")
 
 
 def diff_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.updated(before(spark, sf_dir), after(spark, sf_dir), K, COUNT_AND_PRIORITY)
+    return changelog.updated(*_sides(spark, sf_dir), K, COUNT_AND_PRIORITY)
 
 
-def _changes(spark: SparkSession, sf_dir: str, eligible: Column | None = None) -> DataFrame:
-    return changelog.diff(
-        before(spark, sf_dir), after(spark, sf_dir), K, COUNT_AND_PRIORITY, eligible
-    )
+def _changes(
+    spark: SparkSession, sf_dir: str, eligible: Column | None = None, bounds: tuple[int, int] | None = None
+) -> DataFrame:
+    return changelog.diff(*_sides(spark, sf_dir, bounds), K, COUNT_AND_PRIORITY, eligible)
 
 
 def topic_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,10 +288,11 @@ def topic_changelog_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def produced_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What one round of topics, brokers and the cluster would publish."""
+    bounds = quarters(spark, sf_dir)
     steps = {
-        TOPIC: changelog.topic_steps(_changes(spark, sf_dir)),
+        TOPIC: changelog.topic_steps(_changes(spark, sf_dir, bounds=bounds)),
         BROKER: changelog.plain_steps(_broker_changes(spark, sf_dir)),
-        CLUSTER: changelog.plain_steps(cluster_diff(spark, sf_dir)),
+        CLUSTER: changelog.plain_steps(cluster_diff(spark, sf_dir, bounds)),
     }
     return counters.produced(
         graph.union(*[rows.select(F.lit(kind).alias("entity_type"), "op_tag") for kind, rows in steps.items()])
@@ -317,9 +316,9 @@ def missing_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "node.host")
 
 
-def cluster_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cluster_diff(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None) -> DataFrame:
     """The last two quarters' controllers as slot and snapshot."""
-    last = quarters(spark, sf_dir)[1]
+    last = (bounds or quarters(spark, sf_dir))[1]
     slots = _controllers(spark, sf_dir, last - 1)
     changes = changelog.diff_one(
         slots.filter(F.col("r") == last - 1), slots.filter(F.col("r") == last), ["id", "controller"]
