@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose ids a worker keeps; it starts anew beyond.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
+#: Arcs whose answer is kept, about 200 bytes each.
+KEPT_ARCS = 500_000
 
 
 def byte_symbols() -> list[str]:
@@ -96,7 +98,7 @@ class Automaton:
                     break
                 until = self.born[part] if until is None else min(until, self.born[part])
                 part = self.parts[part][0]
-            if len(self.arcs) > 2_000_000:
+            if len(self.arcs) > KEPT_ARCS:
                 self.arcs.clear()
             self.arcs[state, label] = known
         return known
