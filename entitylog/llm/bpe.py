@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import pandas as pd
@@ -161,6 +161,11 @@ class Vocabulary:
             self.words.clear()
         return list(chain.from_iterable(map(self.words.__getitem__, words)))
 
+    def forget(self) -> None:
+        """Drop the words and arcs that are kept."""
+        self.words.clear()
+        self.automaton.arcs.clear()
+
     def _walk(self, s: str) -> tuple[int, ...]:
         """Take the longest arc first; where none leads on, take a shorter one before.
 
@@ -246,6 +251,10 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
     return df.withColumn(into, ids(text))
 
 
+def decode_ids(labels: dict[int, str], ids: Iterable[int] | None) -> str:
+    return "" if ids is None else " ".join([labels[i] for i in ids if i in labels])
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Adds the text the ids stand for: their labels joined by single spaces.
 
@@ -256,9 +265,26 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     def labels(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = vocabulary(path).labels
         for part in lists:
-            yield pd.Series(
-                ["" if x is None else " ".join([known[i] for i in x.tolist() if i in known]) for x in part],
-                dtype=object,
-            )
+            yield pd.Series([decode_ids(known, None if x is None else x.tolist()) for x in part], dtype=object)
 
     return df.withColumn(into, labels(ids))
+
+
+def both_ways(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """What ``decode`` adds to ``encode``, in one pass: a task has one worker and one vocabulary for both.
+
+    The worker's words and arcs go with the task, as Spark keeps workers that wait.
+    """
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def found(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocab = vocabulary(path)
+        try:
+            for part in texts:
+                lists = [encode_text(vocab, t) for t in part]
+                yield pd.DataFrame({"ids": lists, "decoded": [decode_ids(vocab.labels, x) for x in lists]}, dtype=object)
+        finally:
+            vocab.forget()
+
+    rows = df.withColumn("_found", found(text))
+    return rows.withColumn(ids, F.col("_found.ids")).withColumn(decoded, F.col("_found.decoded")).drop("_found")

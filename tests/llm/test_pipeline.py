@@ -118,3 +118,22 @@ def test_stages_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
     assert docs.collect() == []
+
+
+def test_a_task_of_a_stage_has_one_worker_that_keeps_no_words(spark):
+    import corpus_pipeline
+    from entitylog.llm import bpe
+
+    docs = spark.createDataFrame(documents(), SCHEMA)
+    for stage in (corpus_pipeline.repeated_passages, corpus_pipeline.token_ids):
+        plan = stage(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    once = bpe.both_ways(docs.select("doc_id", "text"), VOCABULARY)
+    twice = bpe.decode(bpe.encode(docs.select("doc_id", "text"), VOCABULARY), VOCABULARY)
+    assert once.columns == twice.columns
+    plain = lambda df: sorted(map(repr, df.collect()))
+    assert plain(once) == plain(twice)
+    vocab = bpe.vocabulary(VOCABULARY)
+    assert bpe.encode_text(vocab, "zqxvwkrel") and vocab.words and vocab.automaton.arcs
+    vocab.forget()
+    assert not vocab.words and not vocab.automaton.arcs
