@@ -206,11 +206,12 @@ class Model:
 
     def attend(
         self, x: np.ndarray, start: int, counted: bool = False
-    ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    ) -> tuple:
         """Weights, the target's probability under each value, and the keys, for windows of ids.
 
         ``counted``: the windows are from the texts that were counted, and each
-        subword is left out of the count it meets.
+        subword is left out of the count it meets; the keys then come with the
+        vectors of queries and keys.
         """
         size, wide = len(self.query), len(self.key)
         tables = self.tables.value.ready()
@@ -221,14 +222,8 @@ class Model:
         row = pair_row(x[:, CONTEXT - 2 : -2], own)
         kind = tables.kinds[row]
         seen = [np.maximum(kind, 0) + size]
-        if counted:
-            query = self.query[own] / np.sqrt(np.float32(self.query.shape[1]))
-            affinity = lambda past: np.einsum("wld,wld->wl", query, self.key[past])
-        else:
-            every = self.affinity()
-            affinity = lambda past: every[own * wide + past]
-        weights[0] = affinity(seen[0]) + self.bias[0]
-        weights[0][kind < 0] = -np.inf
+        every = None if counted else self.affinity()
+        masks = [kind < 0]
         found[0] = tables.pairs.get(row * size + target)
         if counted:
             times = tables.times[row]
@@ -236,15 +231,24 @@ class Model:
         for o in range(CONTEXT):
             past = x[:, CONTEXT - 1 - o : CONTEXT - 1 - o + span]
             seen.append(past)
-            weights[o + 1] = affinity(past) + self.bias[o + 1]
-            if o:
-                weights[o + 1][past == start] = -np.inf
+            masks.append(past == start if o else None)
             found[o + 1] = tables.values[min(o, TABLES - 1)].ravel()[past * size + target]
         found[:, target == start] = 1  # after a text's end
+        if counted:
+            # Rows of both kinds of vectors are fetched once, for the weights and for the step after.
+            query, key = np.take(self.query, own, axis=0), np.take(self.key, np.stack(seen), axis=0)
+            np.einsum("wld,owld->owl", query / np.sqrt(np.float32(query.shape[-1])), key, out=weights)
+        else:
+            for o, past in enumerate(seen):
+                weights[o] = every[own * wide + past]
+        for o, mask in enumerate(masks):
+            weights[o] += self.bias[o]
+            if mask is not None:
+                weights[o][mask] = -np.inf
         weights -= weights.max(axis=0)
         np.exp(weights, out=weights)
         weights /= weights.sum(axis=0)
-        return weights, found, seen
+        return weights, found, (seen, query, key) if counted else seen
 
     def score(self, texts: list[np.ndarray], start: int) -> np.ndarray:
         """log10 probability of each text, given as ids."""
@@ -267,16 +271,16 @@ class Model:
         past_squares = [np.full_like(p, 1e-6) for p in (self.query, self.key, self.bias)]
         for a in range(0, len(windows), STEP):
             x = windows[a : a + STEP]
-            weights, found, seen = self.attend(x, start, counted=True)
+            weights, found, (seen, query, key) = self.attend(x, start, counted=True)
             real = (x[:, CONTEXT:] != start) / np.float32(x[:, CONTEXT:].size)
             blame = weights * found
             blame = (weights - blame / blame.sum(axis=0)) * real
             own = x[:, CONTEXT - 1 : -1].ravel()
             past = np.concatenate([p.ravel() for p in seen])
-            g = (blame.reshape(len(seen), -1) * scale).ravel()[:, None]
-            own = np.tile(own, len(seen))
-            pull_q = summed(own, g * self.key[past], len(self.query))
-            pull_k = summed(past, g * self.query[own], len(self.key))
+            g = blame * scale
+            # What the keys of one place pull is added up before places of one subword are.
+            pull_q = summed(own, np.einsum("owl,owld->wld", g, key).reshape(len(own), -1), len(self.query))
+            pull_k = summed(past, (g[..., None] * query).reshape(len(past), -1), len(self.key))
             pulls = (pull_q, pull_k, blame.sum(axis=(1, 2)))
             for weight, pull, square in zip((self.query, self.key, self.bias), pulls, past_squares):
                 square += pull * pull

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -79,3 +80,34 @@ def test_windows_hold_every_id_once_with_its_context():
         assert [i for r in rows for i in r[lm.CONTEXT :] if i >= 0] == ids.tolist()
         for r in rows[1:]:
             assert r[: lm.CONTEXT].tolist() == list(range(r[lm.CONTEXT] - lm.CONTEXT, r[lm.CONTEXT]))
+
+
+def test_a_step_equals_a_loop_and_adds_up_the_pulls_of_a_place_first(monkeypatch):
+    rng = np.random.default_rng(5)
+    size, windows = 40, 6
+    cells = rng.choice(lm.TABLES * size * size, 900, replace=False)
+    x = np.full((windows, lm.CONTEXT + lm.SPAN), size - 1, np.int64)
+    x[:, lm.CONTEXT :] = rng.integers(0, size - 1, (windows, lm.SPAN))
+    x[-1, -9:] = size - 1
+    pairs = np.unique(lm.pair_row(x[:, :-2].ravel(), x[:, 1:-1].ravel()) * size + x[:, 2:].ravel())
+    cells = np.r_[cells, pairs + lm.TABLES * size * size]
+    tables = lm.Tables(cells, rng.integers(2, 9, len(cells)).astype(np.float32), size)
+    query, key = (rng.normal(0, 0.3, (n, lm.WIDTH)).astype(np.float32) for n in (size, size + lm.KINDS))
+    model = lm.Model(SimpleNamespace(value=tables), query, key, np.zeros(lm.CONTEXT + 1, np.float32))
+    weights, found, (seen, _, _) = model.attend(x, size - 1, counted=True)
+    pulls = np.zeros(query.shape), np.zeros(key.shape)
+    for w in range(windows):
+        for p in range(lm.SPAN):
+            if x[w, lm.CONTEXT + p] == size - 1:
+                continue
+            a, f, own = weights[:, w, p].astype(float), found[:, w, p].astype(float), x[w, lm.CONTEXT + p - 1]
+            blame = (a - a * f / (a @ f)) / (windows * lm.SPAN) / np.sqrt(lm.WIDTH)
+            for o, g in enumerate(blame):
+                pulls[0][own] += g * key[seen[o][w, p]]
+                pulls[1][seen[o][w, p]] += g * query[own]
+    rows = []
+    monkeypatch.setattr(lm, "summed", lambda at, part, n, of=lm.summed: rows.append((len(at), of(at, part, n))) or rows[-1][1])
+    model.learn(x, size - 1)
+    assert [n for n, _ in rows] == [windows * lm.SPAN, (lm.CONTEXT + 1) * windows * lm.SPAN]
+    for (_, got), want in zip(rows, pulls):
+        assert abs(want).max() > 1e-4 and np.allclose(got, want, rtol=1e-3, atol=1e-7)
