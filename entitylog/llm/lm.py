@@ -15,9 +15,13 @@ Texts are scored in windows of ``WINDOW`` subwords that overlap by ``CONTEXT``,
 many at once; what stands before a text's start is masked, and the overlap gives
 context only, so each subword is scored once.
 
+Many texts are taken together: their distinct words are found and spelled once, and
+ids, windows and look-ups are made for all of them at once, up to ``AT_ONCE`` bytes.
+
 Words are counted exactly. Documents are dealt into blocks; each block sends its
-distinct words once, so the commonest word meets its count once per block, and
-gets the counts of its own words back beside its documents.
+distinct words once, in lists by bucket, so the commonest word meets its count once
+per block. A bucket adds up its words and gives each block back the counts that its
+own do not give, beside its documents.
 
 The model has a size bound: subwords squared for the tables by distance, and
 subwords times ``PAIRS`` for that of pairs, which share ``PAIRS`` rows by hash.
@@ -29,13 +33,12 @@ texts are chosen. Without training texts the tables are uniform and N is 0.
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,37 +51,127 @@ RULES, CONTEXT, WINDOW, WIDTH = 1024, 4, 256, 8
 PAIRS, KINDS = 1 << 16, 32
 #: Documents in a block, on average.
 BLOCK = 2048
-#: Words whose ids a worker keeps; it starts anew beyond.
-KEPT_WORDS = 1_000_000
+#: Bytes of text whose words are looked up at once, bytes of words held before some are sent early.
+AT_ONCE, HELD_BYTES = 1 << 23, 1 << 25
+#: Bytes of a word that is spelled beside others; longer ones are spelled alone. Words beside each other.
+LONG, BESIDE = 64, 8192
 #: Weight of the next subword's overall rate in each row of a table by distance.
 SMOOTH = 0.5
 #: Learning: subwords of a window, windows of a step, step size, windows gathered before the steps.
 SPAN, STEP, RATE, HELD = 64, 64, 0.1, 4096
+#: Steps whose tables are looked up at once, and windows scored at once.
+STEPS, SCORED_AT_ONCE = 8, 64
 TABLES = 3
 
 _loaded: dict[tuple[str, int], "Subwords"] = {}
 
 
 class Subwords:
-    """Dense ids of the vocabulary's first merges; then the end, then the start."""
+    """Dense ids of the vocabulary's first merges; then the end, then the start.
+
+    Distinct words are spelled many at once: each step makes, in every word, the
+    earliest of the merges that its neighbours allow, wherever it can be made.
+    A merge needs what it joins to be made before, so what a step makes allows
+    later merges only, and the steps of a word are no more than its merges.
+    """
 
     def __init__(self, path: str, rules: int) -> None:
         with open(path, encoding="utf-8") as file:
             self.vocab = Vocabulary(json.load(file)["model"], rules)
-        self.dense = {t: n for n, t in enumerate(sorted(self.vocab.automaton.born))}
+        made = self.vocab.automaton
+        self.dense = {t: n for n, t in enumerate(sorted(made.born))}
         self.end = len(self.dense)
         self.start = self.end + 1
         self.size = self.end + 2
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        shown = self.vocab.shown
+        self.inner, self.final = (np.array([self.dense[of[shown[b]]] for b in range(256)]) for of in (self.vocab.inner, self.vocab.final))
+        #: The merge that two neighbours allow, and what each merge makes; ``never`` stands for none.
+        self.never = len(made.parts)
+        self.merge = np.full(self.end**2, self.never, np.min_scalar_type(self.never))
+        self.makes = np.zeros(self.never + 1, np.int64)
+        for t, (u, v) in made.parts.items():
+            self.merge[self.dense[u] * self.end + self.dense[v]] = made.born[t]
+            self.makes[made.born[t]] = self.dense[t]
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """Ids of one text's words and its end."""
-        known = self.words
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = tuple(self.dense[t] for t in self.vocab.spell(w))
-        return np.fromiter(chain(chain.from_iterable(map(known.__getitem__, words)), (self.end,)), np.int64)
+        return self.laid_out(np.arange(len(words)), np.array([len(words)]), *self.spelled(pa.array(words, pa.binary())))[0][CONTEXT:]
+
+    def spelled(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, and where each word's begin and how many they are."""
+        ids, first, counts, n = [], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
+        for a in range(0, len(words), BESIDE):
+            part = words[a : a + BESIDE]
+            data, lengths = flat_bytes(part)
+            short = lengths <= LONG
+            at = np.flatnonzero(short)
+            found, place, size = self._merged(data[np.repeat(short, lengths)], lengths[at])
+            alone = np.flatnonzero(~short)
+            lists = [np.array([self.dense[t] for t in self.vocab.spell(part[i].as_py())], np.int64) for i in alone.tolist()]
+            found, place = np.concatenate([found, *lists]), np.r_[at[place], alone] + a
+            size = np.r_[size, np.array([len(x) for x in lists], np.int64)]
+            first[place], counts[place] = np.cumsum(size) - size + n, size
+            ids.append(found)
+            n += len(found)
+        return np.concatenate([np.zeros(0, np.int64), *ids]), first, counts
+
+    def _merged(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, the place of each word and the number of its ids, by the steps they take."""
+        ids, word, done = self.inner[data], np.arange(len(size)), []
+        ends = np.cumsum(size)
+        ids[ends - 1] = self.final[data[ends - 1]]
+        while len(size):
+            key = ids.copy()
+            key[:-1] *= self.end
+            key[:-1] += ids[1:]
+            allowed = self.merge[key]
+            allowed[ends - 1] = self.never
+            least = np.minimum.reduceat(allowed, ends - size)
+            more = least < self.never
+            if not more.all():
+                kept = np.repeat(more, size)
+                done.append((ids[~kept], word[~more], size[~more]))
+                ids, allowed, word, size, least = ids[kept], allowed[kept], word[more], size[more], least[more]
+                if not len(size):
+                    break
+            at = np.flatnonzero(allowed == np.repeat(least, size))
+            if (np.diff(at) == 1).any():
+                # Of places that overlap, as in aaa, every other is taken, from the left.
+                runs = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+                at = at[(np.arange(len(at)) - np.repeat(runs, np.diff(np.r_[runs, len(at)]))) % 2 == 0]
+            ids[at] = self.makes[allowed[at]]
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            size = np.add.reduceat(kept, np.cumsum(size) - size, dtype=np.int64)
+            ids, ends = ids[kept], np.cumsum(size)
+        return tuple(np.concatenate([none, *parts]) for none, parts in zip(np.zeros((3, 0), np.int64), list(zip(*done)) or [()] * 3))
+
+    def laid_out(
+        self, at: np.ndarray, counts: np.ndarray, ids: np.ndarray, first: np.ndarray, size: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of texts one after another, ``CONTEXT`` starts before each and its end behind; where each begins, and its ids.
+
+        ``at``: the words of all texts, by place in ``first`` and ``size``; ``counts``: words of each text.
+        """
+        ids = np.r_[ids, np.full(CONTEXT, self.start), self.end]
+        first, size = np.r_[first, len(ids) - CONTEXT - 1, len(ids) - 1], np.r_[size, CONTEXT, 1]
+        words = np.empty(len(at) + 2 * len(counts), np.int64)
+        ends = np.cumsum(counts + 2)
+        words[ends - counts - 2], words[ends - 1] = len(size) - 2, len(size) - 1
+        inside = np.ones(len(words), bool)
+        inside[ends - counts - 2] = inside[ends - 1] = False
+        words[inside] = at
+        n = size[words]
+        upto = np.cumsum(n)
+        flat = ids[np.repeat(first[words] - upto + n, n) + np.arange(upto[-1] if len(upto) else 0)]
+        starts = (upto - n)[ends - counts - 2]
+        return flat, starts, np.diff(np.r_[starts, len(flat)]) - CONTEXT
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``laid_out`` of whole texts."""
+        flat, counts = words_in(texts)
+        found = flat.dictionary_encode()
+        return self.laid_out(found.indices.to_numpy(), counts, *self.spelled(found.dictionary))
 
 
 def subwords(path: str, rules: int) -> Subwords:
@@ -92,6 +185,41 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def flat_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words, and the length of each."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]], np.diff(ends)
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` many texts, one after another, and their number in each."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    counts, words = pc.list_value_length(lists).to_numpy(), lists.flatten().cast(pa.binary())
+    there = pc.binary_length(words).to_numpy() > 0
+    if not there.all():
+        # White space at a text's ends, and an empty text, leave an empty word.
+        ends = np.r_[0, np.cumsum(there)][np.cumsum(counts)]
+        counts, words = np.diff(np.r_[0, ends]), words.filter(pa.array(there))
+    return words, counts.astype(np.int64)
+
+
+def gathered(batches: Iterable[pa.RecordBatch], text: int | str = 0) -> Iterator[pa.Table]:
+    """Rows put together up to ``AT_ONCE`` bytes of text, or one, so that words are looked up once and memory is bounded."""
+    held, size = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64) + 8
+        begin = 0
+        for n, length in enumerate(lengths.tolist()):
+            if size and size + length > AT_ONCE:
+                yield pa.Table.from_batches([*held, batch.slice(begin, n - begin)]).combine_chunks()
+                held, size, begin = [], 0, n
+            size += length
+        held.append(batch.slice(begin))
+    if any(batch.num_rows for batch in held):
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def pair_row(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     h = (first.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     return (h >> np.uint64(64 - PAIRS.bit_length() + 1)).astype(np.int64)
@@ -99,46 +227,61 @@ def pair_row(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def windows_of(ids: np.ndarray, span: int, start: int) -> np.ndarray:
     """A text's ids in windows of ``span``, each after the ``CONTEXT`` ids before it; the last is filled up."""
-    n = -(-len(ids) // span)
-    padded = np.full(CONTEXT + n * span, start, np.int64)
-    padded[CONTEXT : CONTEXT + len(ids)] = ids
-    return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + span)[::span]
+    return all_windows(np.r_[np.full(CONTEXT, start), ids], np.zeros(1, np.int64), np.array([len(ids)]), span, start)[0]
+
+
+def all_windows(
+    flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, span: int, start: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``windows_of`` each of the texts that ``Subwords.laid_out`` gives, and their number."""
+    counts = -(-lengths // span)
+    ends = np.cumsum(counts)
+    nth = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+    views = np.lib.stride_tricks.sliding_window_view(np.r_[flat, np.full(CONTEXT + span, start)], CONTEXT + span)
+    x = views[np.repeat(first, counts) + nth * span]
+    last = x[ends - 1]
+    last[np.arange(CONTEXT + span) >= (CONTEXT + lengths - (counts - 1) * span)[:, None]] = start
+    x[ends - 1] = last
+    return x, counts
 
 
 class Sparse:
-    """A table of positive numbers by non-negative keys, open addressing."""
+    """A table of positive numbers by keys of 31 bits, open addressing; a slot is a key before its number's bits, or -1."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         self.bits = max(int(2 * len(keys)).bit_length(), 4)
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.zeros(1 << self.bits, np.float32)
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        whole = keys << 32 | values.astype(np.float32).view(np.uint32)
         slot = self._slot(keys)
-        while len(keys):
-            free = self.keys[slot] < 0
-            self.keys[slot[free]] = keys[free]
-            own = self.keys[slot] == keys
-            self.values[slot[own]] = values[own]
-            keys, values, slot = keys[~own], values[~own], (slot[~own] + 1) & (len(self.keys) - 1)
+        while len(whole):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = whole[free]
+            left = self.slots[slot] != whole
+            whole, slot = whole[left], (slot[left] + 1) & (len(self.slots) - 1)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         h = keys.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        h >>= np.uint64(64 - self.bits)
+        return h.view(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values by key, 0 where there is none."""
         flat = keys.ravel()
         slot = self._slot(flat)
-        there = self.keys[slot]
-        out = np.where(there == flat, self.values[slot], np.float32(0))
-        left = np.flatnonzero((there != flat) & (there >= 0))
-        slot = slot[left]
+        there = self.slots.take(slot)
+        key = there >> 32
+        hit = key == flat
+        out = np.where(hit, there.astype(np.uint32).view(np.float32), np.float32(0))
+        left = np.flatnonzero(~hit & (key >= 0))
+        slot, flat = slot[left], flat[left]
         while len(left):
-            slot = (slot + 1) & (len(self.keys) - 1)
-            there = self.keys[slot]
-            hit = there == flat[left]
-            out[left[hit]] = self.values[slot[hit]]
-            more = ~hit & (there >= 0)
-            left, slot = left[more], slot[more]
+            slot = (slot + 1) & (len(self.slots) - 1)
+            there = self.slots.take(slot)
+            key = there >> 32
+            hit = key == flat
+            out[left[hit]] = there[hit].astype(np.uint32).view(np.float32)
+            more = ~hit & (key >= 0)
+            left, slot, flat = left[more], slot[more], flat[more]
         return out.reshape(keys.shape)
 
 
@@ -177,7 +320,7 @@ class Tables:
         cells, counts = self.cells[~dense] - TABLES * size * size, self.counts[~dense]
         row = cells // size
         times, variety = np.bincount(row, counts, PAIRS), np.bincount(row, minlength=PAIRS)
-        self.kinds = np.full(PAIRS, -1)
+        self.kinds = np.full(PAIRS, -1, np.int16)
         known = np.flatnonzero(variety)
         self.kinds[known] = np.minimum(3 * np.log2(times[known] / variety[known]), KINDS - 1)
         self.pairs = Sparse(cells, (counts / times[row]).astype(np.float32))
@@ -204,87 +347,96 @@ class Model:
             self._affinity = (self.query @ self.key.T / np.sqrt(np.float32(self.query.shape[1]))).ravel()
         return self._affinity
 
-    def attend(
-        self, x: np.ndarray, start: int, counted: bool = False
-    ) -> tuple:
-        """Weights, the target's probability under each value, and the keys, for windows of ids.
-
-        ``counted``: the windows are from the texts that were counted, and each
-        subword is left out of the count it meets; the keys then come with the
-        vectors of queries and keys.
-        """
-        size, wide = len(self.query), len(self.key)
+    def looked_up(self, x: np.ndarray, start: int, counted: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What no weight changes, for windows of ids: the keys, minus infinity where one is not there, and the target's
+        probability under each value."""
+        size = len(self.query)
         tables = self.tables.value.ready()
         span = x.shape[1] - CONTEXT
         target, own = x[:, CONTEXT:], x[:, CONTEXT - 1 : -1]
-        weights = np.empty((CONTEXT + 1, *target.shape), np.float32)
-        found = np.empty_like(weights)
+        seen = np.empty((CONTEXT + 1, *target.shape), np.int64)
+        shut, found = np.zeros(seen.shape, np.float32), np.empty(seen.shape, np.float32)
         row = pair_row(x[:, CONTEXT - 2 : -2], own)
-        kind = tables.kinds[row]
-        seen = [np.maximum(kind, 0) + size]
-        every = None if counted else self.affinity()
-        masks = [kind < 0]
+        kind = tables.kinds.take(row)
+        np.maximum(kind, 0, out=seen[0])
+        seen[0] += size
+        shut[0][kind < 0] = -np.inf
         found[0] = tables.pairs.get(row * size + target)
         if counted:
-            times = tables.times[row]
+            times = tables.times.take(row)
             found[0] = np.maximum(found[0] * times - 1, 0) / np.maximum(times - 1, 1)
         for o in range(CONTEXT):
             past = x[:, CONTEXT - 1 - o : CONTEXT - 1 - o + span]
-            seen.append(past)
-            masks.append(past == start if o else None)
-            found[o + 1] = tables.values[min(o, TABLES - 1)].ravel()[past * size + target]
-        found[:, target == start] = 1  # after a text's end
-        if counted:
+            seen[o + 1] = past
+            if o:
+                shut[o + 1][past == start] = -np.inf
+            found[o + 1] = tables.values[min(o, TABLES - 1)].take(past * size + target)
+        after = target == start  # after a text's end
+        if after.any():
+            found[:, after] = 1
+        return seen, shut, found
+
+    def weighed(self, own: np.ndarray, seen: np.ndarray, shut: np.ndarray, vectors: bool) -> tuple[np.ndarray, ...]:
+        """The keys' weights, for one row of subwords; ``vectors``: with the vectors of queries and keys."""
+        query = key = None
+        if vectors:
             # Rows of both kinds of vectors are fetched once, for the weights and for the step after.
-            query, key = np.take(self.query, own, axis=0), np.take(self.key, np.stack(seen), axis=0)
-            np.einsum("wld,owld->owl", query / np.sqrt(np.float32(query.shape[-1])), key, out=weights)
+            query, key = self.query.take(own, axis=0), self.key.take(seen, axis=0)
+            weights = np.einsum("nd,ond->on", query / np.sqrt(np.float32(query.shape[-1])), key)
         else:
-            for o, past in enumerate(seen):
-                weights[o] = every[own * wide + past]
-        for o, mask in enumerate(masks):
-            weights[o] += self.bias[o]
-            if mask is not None:
-                weights[o][mask] = -np.inf
+            weights = self.affinity().take(own * len(self.key) + seen)
+        weights += self.bias[:, None]
+        weights += shut
         weights -= weights.max(axis=0)
         np.exp(weights, out=weights)
         weights /= weights.sum(axis=0)
-        return weights, found, (seen, query, key) if counted else seen
-
-    def score(self, texts: list[np.ndarray], start: int) -> np.ndarray:
-        """log10 probability of each text, given as ids."""
-        lengths = np.array([len(t) for t in texts])
-        counts = -(-lengths // WINDOW)
-        first = np.cumsum(counts) - counts
-        x = np.full((int(counts.sum()), CONTEXT + WINDOW), start, np.int64)
-        for ids, n, at in zip(texts, counts.tolist(), first.tolist()):
-            x[at : at + n] = windows_of(ids, WINDOW, start)
+        return weights, query, key
+
+    def attend(self, x: np.ndarray, start: int, counted: bool = False) -> tuple:
+        """Weights, the target's probability under each value, and the keys, for windows of ids.
+
+        ``counted``: the windows are from the texts that were counted, and each
+        subword is left out of the count it meets; the keys then come with the
+        vectors of queries and keys.
+        """
+        seen, shut, found = self.looked_up(x, start, counted)
+        own = x[:, CONTEXT - 1 : -1].ravel()
+        weights, query, key = self.weighed(own, seen.reshape(len(seen), -1), shut.reshape(len(seen), -1), counted)
+        return weights.reshape(found.shape), found, (seen, query, key) if counted else seen
+
+    def score(self, flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+        """log10 probability of each text that ``Subwords.laid_out`` gives."""
+        x, counts = all_windows(flat, first, lengths, WINDOW, start)
         sums = np.empty(len(x))
-        for a in range(0, len(x), 256):
-            weights, found, _ = self.attend(x[a : a + 256], start)
+        for a in range(0, len(x), SCORED_AT_ONCE):
+            weights, found, _ = self.attend(x[a : a + SCORED_AT_ONCE], start)
             p = np.log10(np.einsum("owl,owl->wl", weights, found), dtype=np.float64)
-            sums[a : a + 256] = p.sum(axis=1)
-        return np.add.reduceat(sums, first)
+            sums[a : a + SCORED_AT_ONCE] = p.sum(axis=1)
+        return np.add.reduceat(sums, np.cumsum(counts) - counts) if len(counts) else np.zeros(0)
 
     def learn(self, windows: np.ndarray, start: int) -> None:
         """Gradient steps over windows of ids, one pass (adaptive steps per weight)."""
         scale = 1 / np.sqrt(self.query.shape[1])
         past_squares = [np.full_like(p, 1e-6) for p in (self.query, self.key, self.bias)]
-        for a in range(0, len(windows), STEP):
-            x = windows[a : a + STEP]
-            weights, found, (seen, query, key) = self.attend(x, start, counted=True)
-            real = (x[:, CONTEXT:] != start) / np.float32(x[:, CONTEXT:].size)
-            blame = weights * found
-            blame = (weights - blame / blame.sum(axis=0)) * real
-            own = x[:, CONTEXT - 1 : -1].ravel()
-            past = np.concatenate([p.ravel() for p in seen])
-            g = blame * scale
-            # What the keys of one place pull is added up before places of one subword are.
-            pull_q = summed(own, np.einsum("owl,owld->wld", g, key).reshape(len(own), -1), len(self.query))
-            pull_k = summed(past, (g[..., None] * query).reshape(len(past), -1), len(self.key))
-            pulls = (pull_q, pull_k, blame.sum(axis=(1, 2)))
-            for weight, pull, square in zip((self.query, self.key, self.bias), pulls, past_squares):
-                square += pull * pull
-                weight -= RATE * pull / np.sqrt(square)
+        for a in range(0, len(windows), STEPS * STEP):
+            some = windows[a : a + STEPS * STEP]
+            looked = [part.reshape(CONTEXT + 1, -1) for part in self.looked_up(some, start, counted=True)]
+            owns, reals = some[:, CONTEXT - 1 : -1].ravel(), (some[:, CONTEXT:] != start).ravel()
+            for at in range(0, len(owns), STEP * SPAN):
+                own, real = owns[at : at + STEP * SPAN], reals[at : at + STEP * SPAN]
+                seen, shut, found = (part[:, at : at + STEP * SPAN] for part in looked)
+                weights, query, key = self.weighed(own, seen, shut, vectors=True)
+                blame = weights * found
+                blame = (weights - blame / blame.sum(axis=0)) * (real / np.float32(len(own)))
+                g = blame * scale
+                # What the keys of one place pull is added up before places of one subword are.
+                pull_q = summed(own, np.einsum("on,ond->nd", g, key), len(self.query))
+                columns = g * np.ascontiguousarray(query.T)[:, None]
+                pull_k = summed(seen.ravel(), columns.reshape(len(columns), -1).T, len(self.key))
+                pulls = (pull_q, pull_k, blame.sum(axis=1))
+                for weight, pull, square in zip((self.query, self.key, self.bias), pulls, past_squares):
+                    square += pull * pull
+                    weight -= RATE * pull / np.sqrt(square)
 
 
 def _pairs(path: str, rules: int):
@@ -293,30 +445,18 @@ def _pairs(path: str, rules: int):
         sub = subwords(path, rules)
         n = sub.size
         sums = np.zeros((TABLES, n * n), np.int64)
-        gap = np.full(CONTEXT, sub.start)
-
-        def add(held: list[np.ndarray]) -> pa.RecordBatch:
-            x = np.concatenate(held)
+        for texts in gathered(batches):
+            x, _, _ = sub.of_texts(texts.column(0).chunk(0))
             real = np.flatnonzero(x[CONTEXT:] != sub.start) + CONTEXT
-            cells, times = np.unique(pair_row(x[real - 2], x[real - 1]) * n + x[real], return_counts=True)
+            key = pair_row(x[real - 2], x[real - 1]) * n + x[real]
+            cells, times = np.unique(key.astype(np.min_scalar_type(PAIRS * n)), return_counts=True)
             for o in range(CONTEXT):
                 past, target = x[CONTEXT - 1 - o : len(x) - 1 - o], x[CONTEXT:]
                 real = target != sub.start
                 if o:
                     real &= past != sub.start
                 sums[min(o, TABLES - 1)] += np.bincount(past[real] * n + target[real], minlength=n * n)
-            return pa.RecordBatch.from_pydict({"cell": cells + TABLES * n * n, "n": times})
-
-        held, size = [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held += [gap, sub.ids(words_of(text))]
-                size += len(held[-1])
-                if size > 1 << 22:
-                    yield add(held)
-                    held, size = [], 0
-        if held:
-            yield add(held)
+            yield pa.RecordBatch.from_pydict({"cell": cells.astype(np.int64) + TABLES * n * n, "n": times})
         for k in range(TABLES):
             cells = np.flatnonzero(sums[k])
             if len(cells):
@@ -331,14 +471,17 @@ def _trained(start: int, path: str, rules: int, base: Model):
         sub = subwords(path, rules)
         own = replace(base, query=base.query.copy(), key=base.key.copy(), bias=base.bias.copy())
         windows, held, rows = 0, [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(windows_of(sub.ids(words_of(text)), SPAN, start))
-                rows += len(held[-1])
+        for texts in gathered(batches):
+            x, counts = all_windows(*sub.of_texts(texts.column(0).chunk(0)), SPAN, start)
+            begin = end = 0
+            for n in counts.tolist():
+                end += n
+                rows += n
                 if rows >= HELD:
-                    own.learn(np.concatenate(held), start)
-                    windows, held, rows = windows + rows, [], 0
-        if held:
+                    own.learn(np.concatenate([*held, x[begin:end]]), start)
+                    windows, held, rows, begin = windows + rows, [], 0, end
+            held.append(x[begin:])
+        if rows:
             own.learn(np.concatenate(held), start)
             windows += rows
         if windows:
@@ -379,6 +522,43 @@ def train(df: DataFrame, path: str, text: str = "text", rules: int = RULES) -> M
     return model
 
 
+def learned_from(texts: pa.Table) -> np.ndarray:
+    """Whether a text is not held out."""
+    return ~np.array(pc.fill_null(texts.column("held_out"), False).to_numpy(), bool)
+
+
+def added_up(words: list[pa.Array], counts: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words of some lists of words, and the sum of each one's counts."""
+    if len(words) == 1:
+        return words[0], counts[0]
+    found = pa.concat_arrays([pa.array([], pa.binary()), *words]).dictionary_encode()
+    n = np.bincount(found.indices.to_numpy(), np.concatenate([*counts, np.zeros(0, np.int64)]), len(found.dictionary))
+    return found.dictionary, n.astype(np.int64)
+
+
+def buckets_of(words: pa.Array, n: int) -> np.ndarray:
+    """A number under ``n`` for each word, by a polynomial of its bytes."""
+    data, lengths = flat_bytes(words)
+    ends = np.cumsum(lengths)
+    powers = np.cumprod(np.full(lengths.max(initial=0), 0x9E3779B97F4A7C15, np.uint64))
+    terms = (data + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(ends - lengths, lengths)]
+    h = np.add.reduceat(terms, ends - lengths) if len(words) else terms
+    h ^= h >> np.uint64(29)
+    return ((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+
+
+def in_lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def summed_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums over runs of values, some of them empty."""
+    sums, some = np.zeros(len(counts), np.int64 if values.dtype == bool else values.dtype), counts > 0
+    if some.any():
+        sums[some] = np.add.reduceat(values, (np.cumsum(counts) - counts)[some], dtype=sums.dtype)
+    return sums
+
+
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, score double"
 
 
@@ -408,61 +588,105 @@ def scores(
         block.cast("long").alias("block"),
     )
 
-    def block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct words of a task's blocks, with their number in training texts."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-        def words(of: int) -> pa.RecordBatch:
-            found = held.pop(of)
+    def block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct words of a task's blocks, with their number in training texts, by bucket."""
+
+        def sent(of: int | None) -> pa.RecordBatch:
+            pieces = held.pop(of)
+            words, n = added_up([w for w, _ in pieces], [n for _, n in pieces])
+            at = buckets_of(words, buckets)
+            order = np.argsort(at, kind="stable")
+            ends = np.searchsorted(at[order], np.arange(buckets + 1))
+            there = np.flatnonzero(np.diff(ends))
+            lists = [in_lists(x, np.r_[ends[there], len(at)]) for x in (words.take(pa.array(order)), pa.array(n[order]))]
             return pa.RecordBatch.from_arrays(
-                [pa.array([of] * len(found), pa.int64()), pa.array(found, pa.binary()), pa.array(found.values(), pa.int64())],
-                ["block", "word", "n"],
+                [pa.array(there, pa.int64()), pa.array([of] * len(there), pa.int64()), *lists], ["bucket", "block", "words", "n"]
             )
 
-        held: dict[int, Counter] = {}
-        for batch in batches:
-            for of, t, out in zip(*(c.to_pylist() for c in batch.columns)):
-                if of not in held:
-                    # A task that meets many blocks at once sends some early.
-                    if sum(map(len, held.values())) > KEPT_WORDS:
-                        yield words(next(iter(held)))
-                    held[of] = Counter()
-                if out:
-                    held[of].update(dict.fromkeys(words_of(t), 0))
-                else:
-                    held[of].update(words_of(t))
-        for of in list(held):
-            yield words(of)
-
-    used = rows.select("block", "text", "held_out").mapInArrow(block_words, "block long, word binary, n long")
-    used = stored(used, "words")
-    counts = stored(used.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+        held: dict[int | None, list[tuple[pa.Array, np.ndarray]]] = {}
+        for texts in gathered(batches, "text"):
+            words, counts = words_in(texts.column("text").chunk(0))
+            found = words.dictionary_encode()
+            at, words = found.indices.to_numpy(), found.dictionary
+            learned = np.repeat(learned_from(texts), counts)
+            of = texts.column("block").chunk(0).dictionary_encode("encode")
+            block = np.repeat(of.indices.to_numpy(), counts)
+            for k, name in enumerate(of.dictionary.to_pylist()):
+                own = block == k if len(of.dictionary) > 1 else slice(None)
+                here = np.unique(at[own])
+                n = np.bincount(at[own][learned[own]], minlength=len(words))[here]
+                held.setdefault(name, []).append((words.take(pa.array(here)), n))
+            # A task that meets many words at once sends some early.
+            while len(held) and sum(w.nbytes for pieces in held.values() for w, _ in pieces) > HELD_BYTES:
+                yield sent(next(iter(held)))
+        for name in list(held):
+            yield sent(name)
+
+    def bucket_counts(part: pa.Table) -> pa.Table:
+        """To each block the words it does not count rightly by itself; with the sums over a bucket, in one row."""
+        lists = part.column("words").combine_chunks()
+        n = part.column("n").combine_chunks().flatten().to_numpy()
+        found = lists.flatten().dictionary_encode()
+        at = found.indices.to_numpy()
+        c = np.bincount(at, n, len(found.dictionary)).astype(np.int64)
+        other = c[at] != n
+        ends = np.r_[0, np.cumsum(other)][np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]]
+        once = np.zeros(len(part), np.int64)
+        once[0] = 1
+        return pa.table(
+            {
+                "block": part.column("block"),
+                "words": in_lists(lists.flatten().filter(pa.array(other)), ends),
+                "c": in_lists(pa.array(c[at[other]]), ends),
+                "total": once * c.sum(), "distinct": once * np.count_nonzero(c),
+            }
+        )
+
+    used = rows.select("block", "text", "held_out").mapInArrow(
+        block_words, "bucket long, block long, words array<binary>, n array<long>"
+    )
+    counts = stored(
+        used.groupBy("bucket").applyInArrow(
+            bucket_counts, "block long, words array<binary>, c array<long>, total long, distinct long"
+        ),
+        "counts",
+    )
+    total, distinct = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     texts = rows.filter(~F.col("held_out")).count()
     total, distinct = total + texts, distinct + (texts > 0)
     # What a block counted by itself it counts again; sent are the counts that differ.
-    lookup = used.join(counts, "word").filter("c <> n").select("block", "word", "c")
+    lookup = counts.filter(F.size("words") > 0).select("block", "words", "c")
 
-    def block_scores(part: pa.Table, words: pa.Table) -> pa.Table:
+    def block_scores(part: pa.Table, looked: pa.Table) -> pa.Table:
         sub = subwords(path, rules)
-        seen: Counter = Counter()
-        for t, out in zip(part.column("text").to_pylist(), part.column("held_out").to_pylist()):
-            if not out:
-                seen.update(words_of(t))
-        seen = dict(seen) | dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
-        n_tokens, n_known, logs, ids = [], [], [], []
-        for t in part.column("text").to_pylist():
-            found = words_of(t)
-            c = np.array([seen.get(w, 0) for w in found] + [texts], np.float64)
-            n_tokens.append(len(c))
-            n_known.append(int((c > 0).sum()))
-            logs.append(float(np.log10(c + 1).sum()))
-            ids.append(sub.ids(found))
+        pieces, ids = [], []
+        for some in gathered(part.to_batches(), "text"):
+            words, counts = words_in(some.column("text").chunk(0))
+            found = words.dictionary_encode()
+            at = found.indices.to_numpy()
+            n = np.bincount(at[np.repeat(learned_from(some), counts)], minlength=len(found.dictionary))
+            pieces.append((found.dictionary, n, at, counts))
+            ids.append(model.score(*sub.laid_out(at, counts, *sub.spelled(found.dictionary)), sub.start))
+        words = pa.concat_arrays([looked.column("words").combine_chunks().flatten(), *(w for w, *_ in pieces)]).dictionary_encode()
+        place, sent = words.indices.to_numpy(), looked.column("c").combine_chunks().flatten().to_numpy()
+        counted = np.concatenate([np.zeros(len(sent)), *(n for _, n, *_ in pieces)])
+        c = np.bincount(place, counted, len(words.dictionary))
+        c[place[: len(sent)]] = sent
+        places = np.split(place[len(sent) :], np.cumsum([len(w) for w, *_ in pieces]))
+        n_tokens, n_known, logs = [], [], []
+        for (_, _, at, counts), place in zip(pieces, places):
+            of = c[place]
+            n_tokens.append(counts + 1)
+            n_known.append(summed_by(of[at] > 0, counts) + (texts > 0))
+            logs.append(summed_by(np.log10(of + 1.0)[at], counts) + np.log10(texts + 1.0))
+        whole = lambda parts, kind: pa.array(np.concatenate([*parts, np.zeros(0)]).astype(kind))
         return pa.table(
             {
                 "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
-                "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
-                "known_log": pa.array(logs, pa.float64()),
-                "score": pa.array(model.score(ids, sub.start) if ids else [], pa.float64()),
+                "n_tokens": whole(n_tokens, np.int64), "n_known": whole(n_known, np.int64),
+                "known_log": whole(logs, np.float64), "score": whole(ids, np.float64),
             }
         )
 
