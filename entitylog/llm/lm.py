@@ -52,9 +52,9 @@ PAIRS, KINDS = 1 << 16, 32
 #: Documents in a block, on average.
 BLOCK = 2048
 #: Bytes of text whose words are looked up at once, bytes of words held before some are sent early.
-AT_ONCE, HELD_BYTES = 1 << 23, 1 << 25
+AT_ONCE, HELD_BYTES = 1 << 22, 1 << 25
 #: Bytes of a word that is spelled beside others; longer ones are spelled alone. Words beside each other.
-LONG, BESIDE = 64, 8192
+LONG, BESIDE = 64, 1 << 16
 #: Weight of the next subword's overall rate in each row of a table by distance.
 SMOOTH = 0.5
 #: Learning: subwords of a window, windows of a step, step size, windows gathered before the steps.
@@ -70,9 +70,9 @@ class Subwords:
     """Dense ids of the vocabulary's first merges; then the end, then the start.
 
     Distinct words are spelled many at once: each step makes, in every word, the
-    earliest of the merges that its neighbours allow, wherever it can be made.
-    A merge needs what it joins to be made before, so what a step makes allows
-    later merges only, and the steps of a word are no more than its merges.
+    earliest of the merges that its neighbours allow, at the first place where it
+    can be made. A merge needs what it joins to be made before, so what a step makes
+    allows later merges only, and this is what the automaton's path spells.
     """
 
     def __init__(self, path: str, rules: int) -> None:
@@ -84,11 +84,14 @@ class Subwords:
         self.start = self.end + 1
         self.size = self.end + 2
         shown = self.vocab.shown
-        self.inner, self.final = (np.array([self.dense[of[shown[b]]] for b in range(256)]) for of in (self.vocab.inner, self.vocab.final))
+        kind = np.int16 if self.size < 1 << 15 else np.int32
+        self.inner, self.final = (
+            np.array([self.dense[of[shown[b]]] for b in range(256)], kind) for of in (self.vocab.inner, self.vocab.final)
+        )
         #: The merge that two neighbours allow, and what each merge makes; ``never`` stands for none.
         self.never = len(made.parts)
         self.merge = np.full(self.end**2, self.never, np.min_scalar_type(self.never))
-        self.makes = np.zeros(self.never + 1, np.int64)
+        self.makes = np.zeros(self.never + 1, kind)
         for t, (u, v) in made.parts.items():
             self.merge[self.dense[u] * self.end + self.dense[v]] = made.born[t]
             self.makes[made.born[t]] = self.dense[t]
@@ -100,51 +103,61 @@ class Subwords:
     def spelled(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words, and where each word's begin and how many they are."""
         ids, first, counts, n = [], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
+
+        def add(place: np.ndarray, found: np.ndarray) -> None:
+            nonlocal n
+            size = found.shape[1]
+            first[place], counts[place] = np.arange(n, n + found.size, size), size
+            ids.append(found.ravel())
+            n += found.size
+
         for a in range(0, len(words), BESIDE):
             part = words[a : a + BESIDE]
             data, lengths = flat_bytes(part)
-            short = lengths <= LONG
-            at = np.flatnonzero(short)
-            found, place, size = self._merged(data[np.repeat(short, lengths)], lengths[at])
-            alone = np.flatnonzero(~short)
-            lists = [np.array([self.dense[t] for t in self.vocab.spell(part[i].as_py())], np.int64) for i in alone.tolist()]
-            found, place = np.concatenate([found, *lists]), np.r_[at[place], alone] + a
-            size = np.r_[size, np.array([len(x) for x in lists], np.int64)]
-            first[place], counts[place] = np.cumsum(size) - size + n, size
-            ids.append(found)
-            n += len(found)
+            for place, found in self._merged(data, lengths):
+                add(a + place, found)
+            for i in np.flatnonzero(lengths > LONG).tolist():
+                add(np.array([a + i]), np.array([[self.dense[t] for t in self.vocab.spell(part[i].as_py())]]))
         return np.concatenate([np.zeros(0, np.int64), *ids]), first, counts
 
-    def _merged(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of words, the place of each word and the number of its ids, by the steps they take."""
-        ids, word, done = self.inner[data], np.arange(len(size)), []
-        ends = np.cumsum(size)
-        ids[ends - 1] = self.final[data[ends - 1]]
-        while len(size):
-            key = ids.copy()
-            key[:-1] *= self.end
-            key[:-1] += ids[1:]
-            allowed = self.merge[key]
-            allowed[ends - 1] = self.never
-            least = np.minimum.reduceat(allowed, ends - size)
-            more = least < self.never
-            if not more.all():
-                kept = np.repeat(more, size)
-                done.append((ids[~kept], word[~more], size[~more]))
-                ids, allowed, word, size, least = ids[kept], allowed[kept], word[more], size[more], least[more]
-                if not len(size):
-                    break
-            at = np.flatnonzero(allowed == np.repeat(least, size))
-            if (np.diff(at) == 1).any():
-                # Of places that overlap, as in aaa, every other is taken, from the left.
-                runs = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-                at = at[(np.arange(len(at)) - np.repeat(runs, np.diff(np.r_[runs, len(at)]))) % 2 == 0]
-            ids[at] = self.makes[allowed[at]]
-            kept = np.ones(len(ids), bool)
-            kept[at + 1] = False
-            size = np.add.reduceat(kept, np.cumsum(size) - size, dtype=np.int64)
-            ids, ends = ids[kept], np.cumsum(size)
-        return tuple(np.concatenate([none, *parts]) for none, parts in zip(np.zeros((3, 0), np.int64), list(zip(*done)) or [()] * 3))
+    def _merged(self, data: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of words of up to ``LONG`` bytes that have as many ids, and these, a row a word.
+
+        Words with as many ids are columns of one table, those with most first. A
+        step takes one from each, so words it leaves meet those that begin with as many.
+        """
+        begin = np.cumsum(lengths) - lengths
+        order = np.argsort(np.minimum(lengths, LONG + 1).astype(np.int8), kind="stable")
+        ends = np.searchsorted(lengths[order], np.arange(LONG + 2))
+        ids, place = np.zeros((LONG + 1, 0), self.inner.dtype), np.zeros(0, np.int64)
+        for size in range(LONG, 0, -1):
+            new = order[ends[size] : ends[size + 1]]
+            raw = data[begin[new] + np.arange(size)[:, None]]
+            ids = np.concatenate([ids[:size], self.inner[raw]], axis=1)
+            ids[-1, len(place) :] = self.final[raw[-1]]
+            place = np.r_[place, new]
+            if size == 1 or not len(place):
+                if len(place):
+                    yield place, ids.T
+                continue
+            key = ids[:-1].astype(np.int64)
+            key *= self.end
+            key += ids[1:]
+            allowed = self.merge.take(key)
+            least = allowed.min(axis=0)
+            more, done = np.flatnonzero(least < self.never), np.flatnonzero(least == self.never)
+            if len(done):
+                yield place[done], ids.take(done, axis=1).T
+            # The first place where the earliest merge can be made; from there on ids move up by one.
+            moved = (allowed == least).view(np.int8)
+            for k in range(1, size - 1):
+                moved[k] |= moved[k - 1]
+            at = np.minimum(size - 1 - np.add.reduce(moved, axis=0, dtype=np.int8), size - 2)
+            left = ids[1:] - ids[:-1]
+            left *= moved
+            left += ids[:-1]
+            left[at, np.arange(len(at))] = self.makes.take(least)
+            ids, place = left.take(more, axis=1), place[more]
 
     def laid_out(
         self, at: np.ndarray, counts: np.ndarray, ids: np.ndarray, first: np.ndarray, size: np.ndarray
@@ -246,42 +259,43 @@ def all_windows(
 
 
 class Sparse:
-    """A table of positive numbers by keys of 31 bits, open addressing; a slot is a key before its number's bits, or -1."""
+    """A table of positive numbers by keys of 31 bits; a slot is a key before its number's bits, or -1.
+
+    A slot holds one key; keys that find theirs taken go to the next level, a smaller
+    table with a hash of its own, so few levels are looked at however keys fall.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.bits = max(int(2 * len(keys)).bit_length(), 4)
-        self.slots = np.full(1 << self.bits, -1, np.int64)
+        self.levels: list[np.ndarray] = []
         whole = keys << 32 | values.astype(np.float32).view(np.uint32)
-        slot = self._slot(keys)
-        while len(whole):
-            free = self.slots[slot] < 0
-            self.slots[slot[free]] = whole[free]
-            left = self.slots[slot] != whole
-            whole, slot = whole[left], (slot[left] + 1) & (len(self.slots) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        h = keys.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        h >>= np.uint64(64 - self.bits)
+        while len(whole) or not self.levels:
+            self.levels.append(np.full(1 << max(int(2 * len(whole)).bit_length(), 4), -1, np.int64))
+            slot = self._slot(whole >> 32, len(self.levels) - 1)
+            self.levels[-1][slot] = whole
+            whole = whole[self.levels[-1][slot] != whole]
+
+    def _slot(self, keys: np.ndarray, level: int) -> np.ndarray:
+        h = keys.astype(np.uint64) * np.uint64(pow(0xD6E8FEB86659FD93, 2 * level + 1, 1 << 64))
+        h >>= np.uint64(65 - len(self.levels[level]).bit_length())
         return h.view(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values by key, 0 where there is none."""
-        flat = keys.ravel()
-        slot = self._slot(flat)
-        there = self.slots.take(slot)
-        key = there >> 32
-        hit = key == flat
-        out = np.where(hit, there.astype(np.uint32).view(np.float32), np.float32(0))
-        left = np.flatnonzero(~hit & (key >= 0))
-        slot, flat = slot[left], flat[left]
-        while len(left):
-            slot = (slot + 1) & (len(self.slots) - 1)
-            there = self.slots.take(slot)
+        flat, out, left = keys.ravel(), None, slice(None)
+        for level, slots in enumerate(self.levels):
+            there = slots.take(self._slot(flat, level))
             key = there >> 32
             hit = key == flat
-            out[left[hit]] = there[hit].astype(np.uint32).view(np.float32)
-            more = ~hit & (key >= 0)
-            left, slot, flat = left[more], slot[more], flat[more]
+            if out is None:
+                out = np.where(hit, there.astype(np.uint32).view(np.float32), np.float32(0))
+                left = np.flatnonzero(~hit & (key >= 0))
+                flat = flat[left]
+            else:
+                out[left[hit]] = there[hit].astype(np.uint32).view(np.float32)
+                more = ~hit & (key >= 0)
+                left, flat = left[more], flat[more]
+            if not len(left):
+                break
         return out.reshape(keys.shape)
 
 
@@ -356,7 +370,7 @@ class Model:
         target, own = x[:, CONTEXT:], x[:, CONTEXT - 1 : -1]
         seen = np.empty((CONTEXT + 1, *target.shape), np.int64)
         shut, found = np.zeros(seen.shape, np.float32), np.empty(seen.shape, np.float32)
-        row = pair_row(x[:, CONTEXT - 2 : -2], own)
+        row, rows = pair_row(x[:, CONTEXT - 2 : -2], own), x * size
         kind = tables.kinds.take(row)
         np.maximum(kind, 0, out=seen[0])
         seen[0] += size
@@ -370,7 +384,7 @@ class Model:
             seen[o + 1] = past
             if o:
                 shut[o + 1][past == start] = -np.inf
-            found[o + 1] = tables.values[min(o, TABLES - 1)].take(past * size + target)
+            found[o + 1] = tables.values[min(o, TABLES - 1)].take(rows[:, CONTEXT - 1 - o : CONTEXT - 1 - o + span] + target)
         after = target == start  # after a text's end
         if after.any():
             found[:, after] = 1
@@ -439,12 +453,29 @@ class Model:
                     weight -= RATE * pull / np.sqrt(square)
 
 
-def _pairs(path: str, rules: int):
+def in_lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def dealt(bucket: np.ndarray, buckets: int, **columns: pa.Array) -> dict[str, pa.Array]:
+    """Values in lists, one for each bucket that has some."""
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    there = np.flatnonzero(np.diff(ends))
+    ends, order = np.r_[ends[there], len(order)], pa.array(order)
+    return {"bucket": pa.array(there, pa.int64())} | {name: in_lists(c.take(order), ends) for name, c in columns.items()}
+
+
+def _pairs(path: str, rules: int, buckets: int):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts of subwords and what follows them, by table, over a task's texts."""
+        """Counts of subwords and what follows them, by table, over a task's texts, in buckets."""
         sub = subwords(path, rules)
         n = sub.size
         sums = np.zeros((TABLES, n * n), np.int64)
+
+        def sent(cells: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(dealt(cells % buckets, buckets, cells=pa.array(cells), n=pa.array(times)))
+
         for texts in gathered(batches):
             x, _, _ = sub.of_texts(texts.column(0).chunk(0))
             real = np.flatnonzero(x[CONTEXT:] != sub.start) + CONTEXT
@@ -456,15 +487,24 @@ def _pairs(path: str, rules: int):
                 if o:
                     real &= past != sub.start
                 sums[min(o, TABLES - 1)] += np.bincount(past[real] * n + target[real], minlength=n * n)
-            yield pa.RecordBatch.from_pydict({"cell": cells.astype(np.int64) + TABLES * n * n, "n": times})
+            yield sent(cells.astype(np.int64) + TABLES * n * n, times)
         for k in range(TABLES):
             cells = np.flatnonzero(sums[k])
             if len(cells):
-                yield pa.RecordBatch.from_pydict({"cell": cells + k * n * n, "n": sums[k][cells]})
+                yield sent(cells + k * n * n, sums[k][cells])
 
     return pairs
 
 
+def _bucket_cells(part: pa.Table) -> pa.Table:
+    """Cells of a bucket and the sums of their counts."""
+    cells, n = (part.column(name).combine_chunks().flatten().to_numpy() for name in ("cells", "n"))
+    order = np.argsort(cells)
+    cells = cells[order]
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+    return pa.table({"cell": cells[first], "n": np.add.reduceat(n[order], first)})
+
+
 def _trained(start: int, path: str, rules: int, base: Model):
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Weights learned from all windows of a task's texts, times the windows."""
@@ -498,9 +538,9 @@ def train(df: DataFrame, path: str, text: str = "text", rules: int = RULES) -> M
     spark = df.sparkSession
     small_batches(spark)
     sub = subwords(path, rules)
-    counts = df.select(text).mapInArrow(_pairs(path, rules), "cell long, n long").groupBy("cell").agg(
-        F.sum("n").alias("n")
-    )
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(text).mapInArrow(_pairs(path, rules, buckets), "bucket long, cells array<long>, n array<long>")
+    counts = counts.groupBy("bucket").applyInArrow(_bucket_cells, "cell long, n long")
     rng = np.random.default_rng(7)
     query, key = (rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32) for n in (sub.size, sub.size + KINDS))
     bias = np.r_[1.0, -np.arange(CONTEXT)].astype(np.float32)
@@ -547,10 +587,6 @@ def buckets_of(words: pa.Array, n: int) -> np.ndarray:
     return ((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
-def in_lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-
-
 def summed_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums over runs of values, some of them empty."""
     sums, some = np.zeros(len(counts), np.int64 if values.dtype == bool else values.dtype), counts > 0
@@ -597,13 +633,8 @@ def scores(
             pieces = held.pop(of)
             words, n = added_up([w for w, _ in pieces], [n for _, n in pieces])
             at = buckets_of(words, buckets)
-            order = np.argsort(at, kind="stable")
-            ends = np.searchsorted(at[order], np.arange(buckets + 1))
-            there = np.flatnonzero(np.diff(ends))
-            lists = [in_lists(x, np.r_[ends[there], len(at)]) for x in (words.take(pa.array(order)), pa.array(n[order]))]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(there, pa.int64()), pa.array([of] * len(there), pa.int64()), *lists], ["bucket", "block", "words", "n"]
-            )
+            lists = dealt(at, buckets, words=words, n=pa.array(n))
+            return pa.RecordBatch.from_pydict({**lists, "block": pa.array([of] * len(lists["bucket"]), pa.int64())})
 
         held: dict[int | None, list[tuple[pa.Array, np.ndarray]]] = {}
         for texts in gathered(batches, "text"):
@@ -645,7 +676,7 @@ def scores(
         )
 
     used = rows.select("block", "text", "held_out").mapInArrow(
-        block_words, "bucket long, block long, words array<binary>, n array<long>"
+        block_words, "bucket long, words array<binary>, n array<long>, block long"
     )
     counts = stored(
         used.groupBy("bucket").applyInArrow(

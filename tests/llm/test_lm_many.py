@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from entitylog.llm import lm
 from entitylog.llm.queries import VOCABULARY
@@ -91,3 +92,43 @@ def test_numbers_by_key_are_found_and_others_are_none():
     asked = np.r_[keys, rng.integers(0, 1 << 20, 5001)].reshape(2, -1)
     assert table.get(asked).tolist() == [[known.get(k, 0.0) for k in row] for row in asked.tolist()]
     assert lm.Sparse(keys[:0], values[:0]).get(asked[:, :3]).tolist() == [[0.0] * 3] * 2
+
+
+def test_cells_of_all_tasks_are_added_up_by_bucket(monkeypatch):
+    texts = [t for t in TEXTS for _ in range(2)] + ["the station of the station"] * 3
+    tasks = [pa.RecordBatch.from_pydict({"text": pa.array(part, pa.string())}) for part in (texts[:9], texts[9:])]
+    sub, want = lm.subwords(VOCABULARY, lm.RULES), Counter()
+    for t in texts:
+        ids = [sub.start] * lm.CONTEXT + [sub.dense[i] for w in lm.words_of(t) for i in sub.vocab.spell(w)] + [sub.end]
+        for k in range(lm.CONTEXT, len(ids)):
+            row = int(lm.pair_row(np.array([ids[k - 2]]), np.array([ids[k - 1]]))[0])
+            want[(lm.TABLES * sub.size + row) * sub.size + ids[k]] += 1
+            for o in range(lm.CONTEXT):
+                if not o or ids[k - 1 - o] != sub.start:
+                    want[(min(o, lm.TABLES - 1) * sub.size + ids[k - 1 - o]) * sub.size + ids[k]] += 1
+    for at_once in (lm.AT_ONCE, 300):
+        monkeypatch.setattr(lm, "AT_ONCE", at_once)
+        sent = pa.Table.from_batches([b for t in tasks for b in lm._pairs(VOCABULARY, lm.RULES, 5)(iter([t]))])
+        got = {}
+        for bucket in range(5):
+            part = lm._bucket_cells(sent.filter(pa.array([b == bucket for b in sent.column("bucket").to_pylist()])))
+            new = dict(zip(*(part.column(name).to_pylist() for name in ("cell", "n"))))
+            assert len(new) == len(part) and not got.keys() & new.keys()
+            got |= new
+        assert got == want
+
+
+def test_blocks_and_tasks_make_no_difference(spark):
+    rng = random.Random(8)
+    rows = [(n, " ".join(rng.choice("ab cd ef gh Ij kl mn".split()) + rng.choice(["", "s", str(n)]) for _ in range(n % 9)), n % 5 == 2) for n in range(90)]
+    rows += [(None, "ab ab", False), (3, None, False), (None, None, True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    model = lm.train(df.filter("not held_out"), VOCABULARY)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[6])
+    one, many = (
+        sorted((tuple(r) for r in lm.scores(df.repartition(parts), model, VOCABULARY, block=F.expr(block)).collect()), key=key)
+        for parts, block in ((1, "1"), (4, "if(doc_id % 7 = 1, null, doc_id % 4)"))
+    )
+    assert len(one) == len(rows) and one[-1][4] > 200
+    for a, b in zip(one, many):
+        assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-9, atol=1e-9)
