@@ -578,13 +578,16 @@ def added_up(words: list[pa.Array], counts: list[np.ndarray]) -> tuple[pa.Array,
 
 def buckets_of(words: pa.Array, n: int) -> np.ndarray:
     """A number under ``n`` for each word, by a polynomial of its bytes."""
-    data, lengths = flat_bytes(words)
-    ends = np.cumsum(lengths)
-    powers = np.cumprod(np.full(lengths.max(initial=0), 0x9E3779B97F4A7C15, np.uint64))
-    terms = (data + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(ends - lengths, lengths)]
-    h = np.add.reduceat(terms, ends - lengths) if len(words) else terms
-    h ^= h >> np.uint64(29)
-    return ((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+    powers = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
+    out = np.zeros(len(words), np.int64)
+    for a in range(0, len(words), BESIDE):
+        data, lengths = flat_bytes(words[a : a + BESIDE])
+        begin = np.cumsum(lengths) - lengths
+        place = (np.arange(len(data)) - np.repeat(begin, lengths)) % len(powers)
+        h = np.add.reduceat((data + np.uint64(1)) * powers[place], begin)
+        h ^= h >> np.uint64(29)
+        out[a : a + BESIDE] = (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) % np.uint64(n)
+    return out
 
 
 def summed_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -644,10 +647,16 @@ def scores(
             learned = np.repeat(learned_from(texts), counts)
             of = texts.column("block").chunk(0).dictionary_encode("encode")
             block = np.repeat(of.indices.to_numpy(), counts)
-            for k, name in enumerate(of.dictionary.to_pylist()):
-                own = block == k if len(of.dictionary) > 1 else slice(None)
-                here = np.unique(at[own])
-                n = np.bincount(at[own][learned[own]], minlength=len(words))[here]
+            if len(of.dictionary) > 1:
+                order = np.argsort(block.astype(np.min_scalar_type(len(of.dictionary))), kind="stable")
+                at, learned, block = at[order], learned[order], block[order]
+            ends = np.searchsorted(block, np.arange(len(of.dictionary) + 1)).tolist()
+            for name, begin, end in zip(of.dictionary.to_pylist(), ends, ends[1:]):
+                here, known = np.unique(at[begin:end]), at[begin:end][learned[begin:end]]
+                if len(known) > len(words) / 8:
+                    n = np.bincount(known, minlength=len(words))[here]
+                else:
+                    n = np.bincount(np.searchsorted(here, known), minlength=len(here))
                 held.setdefault(name, []).append((words.take(pa.array(here)), n))
             # A task that meets many words at once sends some early.
             while len(held) and sum(w.nbytes for pieces in held.values() for w, _ in pieces) > HELD_BYTES:

@@ -68,6 +68,8 @@ def test_words_of_many_texts_and_their_sums():
     at = lm.buckets_of(pa.array(made, pa.binary()), 8)
     assert at.tolist() == [int(lm.buckets_of(pa.array([w], pa.binary()), 8)[0]) for w in made]
     assert min(Counter(at.tolist())[k] for k in range(8)) > len(made) / 16
+    # Later bytes of long words count too.
+    assert len(set(lm.buckets_of(pa.array([b"x" * 9000 + b"%d" % n for n in range(50)], pa.binary()), 1000).tolist())) > 40
 
 
 def test_rows_are_put_together_up_to_a_bound_and_all_stay(monkeypatch):
@@ -125,10 +127,10 @@ def test_blocks_and_tasks_make_no_difference(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
     model = lm.train(df.filter("not held_out"), VOCABULARY)
     key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[6])
-    one, many = (
+    one, many, own = (
         sorted((tuple(r) for r in lm.scores(df.repartition(parts), model, VOCABULARY, block=F.expr(block)).collect()), key=key)
-        for parts, block in ((1, "1"), (4, "if(doc_id % 7 = 1, null, doc_id % 4)"))
+        for parts, block in ((1, "1"), (4, "if(doc_id % 7 = 1, null, doc_id % 4)"), (2, "doc_id"))
     )
     assert len(one) == len(rows) and one[-1][4] > 200
-    for a, b in zip(one, many):
+    for a, b in [*zip(one, many), *zip(one, own)]:
         assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-9, atol=1e-9)
